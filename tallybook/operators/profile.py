@@ -63,40 +63,48 @@ def compare(
     part_col: str,
     d0: date | Column,
     d1: date | Column,
-    counts: dict[str, Column],
+    counts: dict[str, Column] | None = None,
+    distinct: dict[str, str] | None = None,
     sums: dict[str, Column] | None = None,
     nulls: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Two partitions side by side, one row.
 
-    Counts give ``total_x_0d``, ``_1d`` and ``_diff``; sums give rounded values and the
-    change in percent; null checks are counted in the newer partition.  One scan reads both partitions and aggregates per partition, so
-    distinct counts expand by the number of metrics, not twice that.
+    Counts and distinct counts give ``total_x_0d``, ``_1d`` and ``_diff``; sums give
+    rounded values and the change in percent; null checks are counted in the newer
+    partition.  One scan reads both partitions and aggregates per partition.  Distinct
+    counts go over their own columns in a second one: in one aggregate they would copy
+    every row, with all columns the checks need, once per distinct column.
     """
-    sums, nulls = sums or {}, nulls or {}
+    counts, distinct, sums, nulls = counts or {}, distinct or {}, sums or {}, nulls or {}
     new, old = _lit(d0), _lit(d1)
-    per = (
-        df.where((F.col(part_col) == new) | (F.col(part_col) == old))
-        .groupBy(F.col(part_col).alias("_part"))
-        .agg(
-            *[c.alias(f"c_{n}") for n, c in counts.items()],
-            *[c.alias(f"s_{n}") for n, c in sums.items()],
-            *[F.count_if(c).alias(f"n_{n}") for n, c in nulls.items()],
-        )
-    )
+    both = df.where((F.col(part_col) == new) | (F.col(part_col) == old))
+    part = F.col(part_col).alias("_part")
+    sides = ((new, "0"), (old, "1"))
+    zero = F.lit(0)
 
     def pick(name: str, day: Column) -> Column:
         return F.max(F.when(F.col("_part") == day, F.col(name)))
 
-    sides = ((new, "0"), (old, "1"))
-    zero = F.lit(0)
-    one = per.agg(
+    plain = both.groupBy(part).agg(
+        *[c.alias(f"c_{n}") for n, c in ({"": F.count(F.lit(1))} | counts).items()],
+        *[c.alias(f"s_{n}") for n, c in sums.items()],
+        *[F.count_if(c).alias(f"n_{n}") for n, c in nulls.items()],
+    )
+    one = plain.agg(
         *[F.coalesce(pick(f"c_{n}", d), zero).alias(f"c_{n}_{t}") for n in counts for d, t in sides],
         *[pick(f"s_{n}", d).alias(f"s_{n}_{t}") for n in sums for d, t in sides],
         *[F.coalesce(pick(f"n_{n}", new), zero).alias(n) for n in nulls],
+        F.count(F.lit(1)).alias("_parts"),
     )
-    out = [new.alias("partition_0d"), old.alias("partition_1d"), *[F.col(n) for n in nulls]]
-    for n in counts:
+    if distinct:
+        per = both.groupBy(part).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
+        unique = per.agg(
+            *[F.coalesce(pick(n, d), zero).alias(f"c_{n}_{t}") for n in distinct for d, t in sides]
+        )
+        one = one_row(one, unique)
+    out = [new.alias("partition_0d"), old.alias("partition_1d"), *nulls]
+    for n in [*distinct, *counts]:
         a, b = F.col(f"c_{n}_0"), F.col(f"c_{n}_1")
         out += [
             a.alias(f"total_{n}_0d"),

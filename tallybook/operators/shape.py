@@ -3,29 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order; a missing column or failed cast gives NULL.
 
-    Columns the schema does not name are dropped.
+    Columns the schema does not name are dropped.  A column that has its type already
+    is passed through, whatever its nullability, so structs are not copied.
     """
-    have = {f.name: f.dataType for f in df.schema}
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
 
-    def column(field: T.StructField):
+    def column(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType.simpleString()
         if field.name not in have:
-            c = F.lit(None).cast(field.dataType)
-        elif have[field.name] == field.dataType:
-            c = F.col(field.name)
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            c = F.col(field.name).cast(field.dataType)
-        else:
-            c = F.col(field.name).try_cast(field.dataType)
-        return c.alias(field.name)
-
-    return df.select([column(f) for f in schema])
+            return f"CAST(NULL AS {kind}) AS {name}"
+        if have[field.name] == kind:
+            return name
+        nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
+        return f"{'CAST' if nested else 'TRY_CAST'}({name} AS {kind}) AS {name}"
+
+    return df.selectExpr(*[column(f) for f in schema])
 
 
 def union_all(*dfs: DataFrame | None) -> DataFrame:

@@ -24,8 +24,9 @@ from tallybook.operators.dedup import apply_tombstones, latest_by, version_order
 from tallybook.operators.joins import enrich
 from tallybook.operators.rules import Rule, apply_rules, resolve_name
 from tallybook.operators.shape import conform, union_all
-from tallybook.schemas import MART
-from tallybook.sources.partitions import PARTITION, since_year_start
+from tallybook.schemas import MART, TABLES
+from tallybook.sources.partitions import PARTITION, scan, since_year_start
+from tallybook.sources.tables import write
 
 # Metric classes and the category that is left out.
 TRANSACTIONS_AGG = "TRANSACTIONS_AGG"
@@ -219,6 +220,11 @@ def with_paths(df: DataFrame) -> DataFrame:
     )
 
 
+def aggregate_lines(tx: DataFrame, budget: DataFrame) -> DataFrame:
+    """Budget lines with their actuals, and the monthly balance rows."""
+    return with_paths(with_balance(budget_vs_actual(budget_totals(budget), actuals(tx))))
+
+
 def mart_parts(
     tables: dict[str, DataFrame],
     as_of: date | Column,
@@ -233,12 +239,11 @@ def mart_parts(
     tx = categorized_transactions(label_transactions(live, labels, rules), budget, rules)
     if stage is not None:
         tx = stage(tx)
-    lines = with_balance(budget_vs_actual(budget_totals(budget), actuals(tx)))
     held = enrich(
         positions(tables["investment_holdings"]), labels.drop("institution_name"), ["item_id", "account_id"]
     )
     return {
-        TRANSACTIONS_AGG: with_paths(lines).withColumn(PARTITION, today),
+        TRANSACTIONS_AGG: aggregate_lines(tx, budget).withColumn(PARTITION, today),
         TRANSACTIONS: with_paths(tx),
         ACCOUNTS: balances.withColumn("transaction_month", F.trunc("transaction_date", "MM")),
         INVESTMENTS: held.select(
@@ -265,3 +270,30 @@ def build_mart(
     (``session.stage``) so their shuffles and rules do not run twice.
     """
     return metric_union(mart_parts(tables, as_of, rules or MartRules.load(), stage))
+
+
+def write_mart(
+    tables: dict[str, DataFrame],
+    as_of: date,
+    root: str,
+    day: date | None = None,
+    rules: MartRules | None = None,
+) -> DataFrame:
+    """Store the mart of ``as_of`` as partition ``day`` and return the stored rows.
+
+    Detail rows are written first, and the aggregate rows read them back from the mart
+    (five columns of it), so the transaction pipeline runs once.  A rerun starts by
+    replacing the partition.
+    """
+    parts = mart_parts(tables, as_of, rules or MartRules.load())
+    del parts[TRANSACTIONS_AGG]
+    table = TABLES["metric_mart"]
+    day, col, spark = day or as_of, table.partition_col, parts[ACCOUNTS].sparkSession
+    write(metric_union(parts), root, MART, "TRUNCATE", day, col=col)
+    stored = scan(spark, root, MART, partition=day, col=col)
+    lines = aggregate_lines(
+        stored.where(F.col("metric_category") == TRANSACTIONS), budget_months(tables["budget_values"])
+    )
+    aggregate = lines.withColumn(PARTITION, F.lit(as_of))
+    write(metric_union({TRANSACTIONS_AGG: aggregate}), root, MART, "APPEND", day, col=col)
+    return scan(spark, root, MART, partition=day, col=col)

@@ -10,16 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.joins import last_cursors, merge_cursors
 from tallybook.operators.shape import conform, union_all
-from tallybook.plans.mart import (
-    TRANSACTIONS,
-    TRANSACTIONS_AGG,
-    MartRules,
-    budget_months,
-    mart_parts,
-    metric_union,
-    with_paths,
-)
-from tallybook.operators.budgeting import actuals, budget_totals, budget_vs_actual, with_balance
+from tallybook.plans.mart import MartRules, write_mart
 from tallybook.schemas import ACCOUNTS, TABLES
 from tallybook.sources import pages as landed
 from tallybook.sources.balances import value_balances
@@ -102,23 +93,19 @@ def missing_dependencies(ledger: Ledger, required: dict[str, date]) -> DataFrame
     return union_all(*reports).where(~F.col("has_rows"))
 
 
-def load_mart(ledger: Ledger, day: date, as_of: date, rules: MartRules | None = None) -> None:
-    """Build the mart partition ``day``.
+MART_INPUTS = (
+    "financial_accounts",
+    "investment_holdings",
+    "transactions",
+    "removed_transactions",
+    "budget_values",
+)
+
 
-    Detail rows are written first; the aggregate rows read them back from the mart, so
-    the transaction pipeline runs once.
-    """
-    rules = rules or MartRules.load()
-    names = ("financial_accounts", "investment_holdings", "transactions", "removed_transactions", "budget_values")
-    tables = {n: ledger.read(n) for n in names}
-    parts = mart_parts(tables, as_of, rules)
-    parts.pop(TRANSACTIONS_AGG)
-    ledger.load("metric_mart", metric_union(parts), "TRUNCATE", day)
-    tx = ledger.read("metric_mart", day).where(F.col("metric_category") == TRANSACTIONS)
-    budget = budget_totals(budget_months(tables["budget_values"]))
-    lines = with_paths(with_balance(budget_vs_actual(budget, actuals(tx))))
-    aggregate = metric_union({TRANSACTIONS_AGG: lines.withColumn(PARTITION, F.lit(as_of))})
-    ledger.load("metric_mart", aggregate, "APPEND", day)
+def load_mart(ledger: Ledger, day: date, as_of: date, rules: MartRules | None = None) -> DataFrame:
+    """Build the mart partition ``day`` from the stored tables."""
+    tables = {n: ledger.read(n) for n in MART_INPUTS}
+    return write_mart(tables, as_of, ledger.path("metric_mart"), day, rules)
 
 
 def run_retention(ledger: Ledger, names: list[str], as_of: date, keep_days: int = 30) -> int:

@@ -6,10 +6,10 @@ turns them into rows; ``alerts`` keeps the rows that break a rule.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.numbers import money_sum
@@ -65,8 +65,16 @@ def account_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
         "null_plaid_products": bank & is_empty(F.col("products")),
         "null_plaid_billed_products": bank & is_empty(F.col("billed_products")),
     }
-    counts = {"items": F.count_distinct("item_id"), "accounts": _rows()}
-    return compare(df, PARTITION, d0, d1, counts, {"account_value": money_sum(F.col("balance.current"))}, nulls)
+    return compare(
+        df,
+        PARTITION,
+        d0,
+        d1,
+        counts={"accounts": _rows()},
+        distinct={"items": "item_id"},
+        sums={"account_value": money_sum(F.col("balance.current"))},
+        nulls=nulls,
+    )
 
 
 def holding_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
@@ -86,8 +94,15 @@ def holding_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
             "null_security_types": "security.type",
         }
     )
-    counts = {"items": F.count_distinct("item_id"), "accounts": F.count_distinct("account_id")}
-    return compare(df, PARTITION, d0, d1, counts, {"investment_value": money_sum(F.col("institution_value"))}, nulls)
+    return compare(
+        df,
+        PARTITION,
+        d0,
+        d1,
+        distinct={"items": "item_id", "accounts": "account_id"},
+        sums={"investment_value": money_sum(F.col("institution_value"))},
+        nulls=nulls,
+    )
 
 
 def trade_check(df: DataFrame, d0: Day) -> DataFrame:
@@ -110,8 +125,15 @@ def trade_check(df: DataFrame, d0: Day) -> DataFrame:
 
 def budget_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
     names = ("category_raw", "subcategory_raw", "category", "subcategory")
-    counts = {n: F.count_distinct(n) for n in names} | {"rows": _rows()}
-    change = compare(df, PARTITION, d0, d1, counts, {"budget_amount": money_sum(F.col("budget_amount"))})
+    change = compare(
+        df,
+        PARTITION,
+        d0,
+        d1,
+        counts={"rows": _rows()},
+        distinct={n: n for n in names},
+        sums={"budget_amount": money_sum(F.col("budget_amount"))},
+    )
     checks = null_checks({f"null_{n}": n for n in names})
     return one_row(change, null_profile_by_partition(df, checks, PARTITION))
 
@@ -168,36 +190,62 @@ def mart_check(mart: DataFrame, accounts: DataFrame, d0: Day, d1: Day, acct_day:
             missing = F.col(column).isNull()
             nulls[f"null_{name}"] = missing if test is None else missing & test
 
-    check(None, partition_dates=PARTITION, metric_categories="metric_category",
-          transaction_dates="transaction_date", transaction_months="transaction_month",
-          actual_amounts="actual_amount")
-    check(not_agg, item_ids="item_id", account_names="account_name",
-          account_subnames="account_subname", account_types="account_type")
+    check(
+        None,
+        partition_dates=PARTITION,
+        metric_categories="metric_category",
+        transaction_dates="transaction_date",
+        transaction_months="transaction_month",
+        actual_amounts="actual_amount",
+    )
+    check(
+        not_agg,
+        item_ids="item_id",
+        account_names="account_name",
+        account_subnames="account_subname",
+        account_types="account_type",
+        currency_codes="currency_code",
+    )
     check(agg, budget_amounts="budget_amount", transaction_counts="transactions_count")
-    check(not_agg, currency_codes="currency_code")
-    check(tx, transaction_types="transaction_type", category_raws="category_raw",
-          subcategory_raws="subcategory_raw", category_updated="category_updated",
-          subcategory_updated="subcategory_updated", payment_channels="payment_channel",
-          merchant_names="merchant_name", name_raw="name_raw")
-    check(both, categories="category")
+    check(
+        tx,
+        transaction_types="transaction_type",
+        category_raws="category_raw",
+        subcategory_raws="subcategory_raw",
+        category_updated="category_updated",
+        subcategory_updated="subcategory_updated",
+        payment_channels="payment_channel",
+        merchant_names="merchant_name",
+        name_raw="name_raw",
+    )
+    check(
+        both,
+        categories="category",
+        final_categories="final_category",
+        full_categories="full_category",
+    )
     check(both & (F.col("category") != "Balance"), subcategories="subcategory")
-    check(both, final_categories="final_category", full_categories="full_category")
     check(~kind.isin([TRANSACTIONS_AGG, ACCOUNTS]), account_ids="account_id")
-    check(held, institution_prices="institution_price", quantities="quantity",
-          security_types="security_type", security_names="security_name")
+    check(
+        held,
+        institution_prices="institution_price",
+        quantities="quantity",
+        security_types="security_type",
+        security_names="security_name",
+    )
     check(kind.isin([TRANSACTIONS, INVESTMENTS]), transaction_ids="transaction_id")
 
     amount = F.col("actual_amount")
-    counts = {
-        "metric_categories": F.count_distinct("metric_category"),
-        "items": F.count_distinct("item_id"),
-        "accounts": F.count_distinct("account_id"),
+    distinct = {
+        "metric_categories": "metric_category",
+        "items": "item_id",
+        "accounts": "account_id",
     }
     sums = {
         "account_summed_value": money_sum(F.when(kind == ACCOUNTS, amount).otherwise(0.0)),
         "actual_amount": money_sum(amount),
     }
-    change = compare(mart, "built_on", d0, d1, counts, sums, nulls)
+    change = compare(mart, "built_on", d0, d1, distinct=distinct, sums=sums, nulls=nulls)
     new = mart.where(F.col("built_on") == (d0 if isinstance(d0, Column) else F.lit(d0)))
     dated = F.col("transaction_date").isNotNull()
     per_date = duplicate_count(
@@ -230,7 +278,6 @@ class Check:
     pct: tuple[str, ...] = ()
     empty: bool = False
     missing: bool = False
-    extra: tuple[str, ...] = field(default=())
 
 
 CHECKS = {
@@ -290,33 +337,55 @@ def quality_report(
     return out
 
 
+# columns of a report that are no metric
+_DAYS = ("partition_0d", "partition_1d")
 _TEXT = ("partitions_null", "missing_categories")
+_OTHER = (*_DAYS, *_TEXT, "partition_fin_accts")
+
+
+def _head(name: str, report: DataFrame) -> list[str]:
+    """The check's name, its partitions and its text, as SQL."""
+    have = report.columns
+    days = [f"CAST({d if d in have else 'NULL'} AS DATE) AS {d}" for d in _DAYS]
+    text = next((t for t in _TEXT if t in have), "CAST(NULL AS STRING)")
+    return [f"'{name}' AS check", *days, f"{text} AS detail"]
 
 
 def long_report(reports: dict[str, DataFrame]) -> DataFrame:
-    """(check, partition_0d, partition_1d, metric, value, detail): a row per metric."""
+    """(check, partition_0d, partition_1d, detail, metric, value): a row per metric."""
     rows = []
     for name, report in reports.items():
-        ids = {"partition_0d", "partition_1d", "partition_fin_accts", *_TEXT}
-        metrics = [c for c in report.columns if c not in ids]
-        typed = report.select(
-            F.lit(name).alias("check"),
-            *[
-                (F.col(p) if p in report.columns else F.lit(None)).cast("date").alias(p)
-                for p in ("partition_0d", "partition_1d")
-            ],
-            _detail(report).alias("detail"),
-            *[F.col(m).cast("double").alias(m) for m in metrics],
-        )
-        rows.append(
-            typed.unpivot(["check", "partition_0d", "partition_1d", "detail"], metrics, "metric", "value")
+        metrics = [c for c in report.columns if c not in _OTHER]
+        typed = report.selectExpr(
+            *_head(name, report), *[f"CAST({m} AS DOUBLE) AS {m}" for m in metrics]
         )
+        rows.append(typed.unpivot(["check", *_DAYS, "detail"], metrics, "metric", "value"))
     return union_all(*rows)
 
 
-def _detail(report: DataFrame) -> Column:
-    text = [F.col(c) for c in _TEXT if c in report.columns]
-    return F.coalesce(*text) if text else F.lit(None).cast("string")
+def _alert_rules(
+    spec: Check, columns: list[str], zero: float, pct: float, signed: bool
+) -> list[tuple[str, str, float, list[str], dict[str, str]]]:
+    """(rule, comparison, threshold, metrics shown, SQL of each metric's share of the total)."""
+    totals = [c for c in columns if c.startswith("total_")]
+    rules = []
+    if spec.null:
+        shown = [c for c in columns if c.startswith("null_")]
+        rules.append(("null", "<>", zero, shown, {c: c for c in shown}))
+    if spec.diff_excluded is not None:
+        shown = [c for c in totals if not any(x in c for x in spec.diff_excluded)]
+        diffs = [c for c in shown if "diff" in c]
+        rules.append(("diff", "<>", zero, shown, {c: c if signed else f"abs({c})" for c in diffs}))
+    for metric in spec.pct:
+        shown = [c for c in totals if metric in c]
+        change = f"total_{metric}_pct_chg_abs"
+        rules.append((f"pct {metric}", ">", pct, shown, {change: change}))
+    if spec.empty:
+        rules.append(("empty", "=", zero, ["total_rows"], {"total_rows": "total_rows"}))
+    if spec.missing:
+        count = "missing_categories_count"
+        rules.append(("missing", ">", zero, [count], {count: count}))
+    return rules
 
 
 def alerts(
@@ -334,53 +403,45 @@ def alerts(
     empty    the partition has no rows
     missing  the budget lacks categories in use
 
-    An alert carries the metrics that make it up and the summed value in ``total``.
+    An alert carries the metrics that make it up and the compared value in ``total``; a
+    NULL metric adds nothing.  Each report is computed once: its row is turned into one
+    row per rule and metric, and the totals are added up over those.
     """
     checks = checks or CHECKS
     rows = []
     for name, report in reports.items():
-        spec, columns = checks[name], report.columns
-        totals = [c for c in columns if c.startswith("total_")]
-        if spec.null:
-            cols = [c for c in columns if c.startswith("null_")]
-            rows.append(_alert(name, "null", report, cols, _sum(cols), lambda t: t != zero, zero))
-        if spec.diff_excluded is not None:
-            kept = [c for c in totals if not any(x in c for x in spec.diff_excluded)]
-            diffs = [c for c in kept if "diff" in c]
-            total = _sum(diffs, absolute=not signed)
-            rows.append(_alert(name, "diff", report, kept, total, lambda t: t != zero, zero))
-        for metric in spec.pct:
-            cols = [c for c in totals if metric in c]
-            change = F.col(f"total_{metric}_pct_chg_abs")
-            rows.append(_alert(name, "pct", report, cols, change, lambda t: t > pct, pct))
-        if spec.empty:
-            rows.append(
-                _alert(name, "empty", report, ["total_rows"], F.col("total_rows"), lambda t: t == zero, zero)
-            )
-        if spec.missing:
-            cols = ["missing_categories_count"]
-            rows.append(_alert(name, "missing", report, cols, F.col(cols[0]), lambda t: t > zero, zero))
-    return union_all(*rows)
-
-
-def _sum(columns: list[str], absolute: bool = False) -> Column:
-    """A NULL metric adds nothing, as in a sum over a column."""
-    parts = [F.coalesce(F.abs(c) if absolute else F.col(c), F.lit(0)) for c in columns]
-    return sum(parts, F.lit(0))
-
-
-def _alert(name, rule, report, columns, total, fires, threshold) -> DataFrame:
-    base = report.select(
-        F.lit(name).alias("check"),
-        F.lit(rule).alias("rule"),
-        *[
-            (F.col(p) if p in report.columns else F.lit(None)).cast("date").alias(p)
-            for p in ("partition_0d", "partition_1d")
-        ],
-        _detail(report).alias("detail"),
-        total.cast("double").alias("total"),
-        F.lit(float(threshold)).alias("threshold"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
-    ).where(fires(F.col("total")))
-    ids = ["check", "rule", "partition_0d", "partition_1d", "detail", "total", "threshold"]
-    return base.unpivot(ids, columns, "metric", "value")
+        cells = []
+        for rule, op, threshold, shown, shares in _alert_rules(
+            checks[name], report.columns, zero, pct, signed
+        ):
+            for m in shown:
+                share = f"CAST({shares[m]} AS DOUBLE)" if m in shares else "CAST(NULL AS DOUBLE)"
+                cells.append(
+                    f"struct('{rule}' AS rule, '{op}' AS op, CAST({threshold} AS DOUBLE) AS threshold, "
+                    f"'{m}' AS metric, CAST({m} AS DOUBLE) AS value, {share} AS share)"
+                )
+        rows.append(report.selectExpr(*_head(name, report), f"inline(array({', '.join(cells)}))"))
+    cells = union_all(*rows)
+    total = F.sum("share").over(Window.partitionBy("check", "rule"))
+    # an empty sum compares as zero, except for a change that could not be computed
+    seen = F.when(F.col("rule").startswith("pct"), total).otherwise(F.coalesce(total, F.lit(0.0)))
+    op, threshold = F.col("op"), F.col("threshold")
+    fires = (
+        F.when(op == "<>", F.col("total") != threshold)
+        .when(op == ">", F.col("total") > threshold)
+        .otherwise(F.col("total") == threshold)
+    )
+    return (
+        cells.withColumn("total", seen)
+        .where(fires)
+        .select(
+            "check",
+            F.split_part("rule", F.lit(" "), F.lit(1)).alias("rule"),
+            *_DAYS,
+            "detail",
+            "total",
+            "threshold",
+            "metric",
+            "value",
+        )
+    )

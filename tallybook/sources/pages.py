@@ -202,21 +202,34 @@ def attach_security(
     with ``unknown="flag"`` is marked in a boolean column ``unknown_security``.
     """
     found = securities.select(*on, "security", F.lit(True).alias("_hit"))
-    joined = df.join(found, list(on), "left")
-    missing = F.col("_hit").isNull() & F.col("security_id").isNotNull()
+    return _known_security(df.join(found, list(on), "left"), unknown)
+
+
+def _known_security(df: DataFrame, unknown: str) -> DataFrame:
+    hit = F.coalesce("_hit", F.lit(False))
+    missing = ~hit & F.col("security_id").isNotNull()
     empty = _null_security()
     if unknown == "flag":
-        joined = joined.withColumn("unknown_security", missing)
+        df = df.withColumn("unknown_security", missing)
     else:
         message = F.concat(F.lit("unknown security id "), F.col("security_id"))
         empty = F.when(missing, F.raise_error(message).cast(SECURITY)).otherwise(empty)
-    security = F.when(F.col("_hit").isNotNull(), F.col("security")).otherwise(empty)
-    return joined.withColumn("security", security).drop("_hit", "security_id")
+    security = F.when(hit, F.col("security")).otherwise(empty)
+    return df.withColumn("security", security).drop("_hit", "security_id")
 
 
 def normalize_holdings(raw: DataFrame, unknown: str = "error") -> DataFrame:
-    h = F.col("h")
-    rows = raw.select(F.col("item.item_id").alias("item_id"), F.explode("holdings").alias("h")).select(
+    """Positions with their security, which stands on the same page: no join is needed."""
+
+    def position(h: Column) -> Column:
+        same = F.filter("securities", lambda s: s["security_id"] == h["security_id"])
+        return F.struct(h.alias("h"), F.try_element_at(same, F.lit(-1)).alias("s"))
+
+    h, s = F.col("p.h"), F.col("p.s")
+    found = raw.select(
+        F.col("item.item_id").alias("item_id"), F.explode(F.transform("holdings", position)).alias("p")
+    )
+    rows = found.select(
         "item_id",
         h["account_id"].alias("account_id"),
         h["cost_basis"].alias("cost_basis"),
@@ -230,8 +243,10 @@ def normalize_holdings(raw: DataFrame, unknown: str = "error") -> DataFrame:
         h["vested_quantity"].alias("vested_quantity"),
         h["vested_value"].alias("vested_value"),
         h["security_id"].alias("security_id"),
+        security_struct(s).alias("security"),
+        s.isNotNull().alias("_hit"),
     )
-    return _typed(attach_security(rows, securities_of(raw), unknown=unknown), HOLDINGS, unknown)
+    return _typed(_known_security(rows, unknown), HOLDINGS, unknown)
 
 
 def normalize_trades(raw: DataFrame, unknown: str = "error") -> DataFrame:

@@ -53,7 +53,8 @@ def partitions(df: DataFrame, col: str = PARTITION) -> DataFrame:
 
 def newest(df: DataFrame, n: int = 1, col: str = PARTITION) -> DataFrame:
     """The ``n`` newest partitions as (col, age); fails when fewer exist."""
-    top = partitions(df, col).orderBy(F.desc(col)).limit(n)
+    days = df.where(F.col(col).isNotNull()).select(col).distinct()
+    top = days.orderBy(F.desc(col)).limit(n)
     found = F.sort_array(F.collect_list(col), asc=False)
     short = F.lit(f"fewer than {n} partitions in the table")
     checked = F.when(F.size(found) >= n, found).otherwise(F.raise_error(short))

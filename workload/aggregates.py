@@ -204,14 +204,15 @@ FROM a, b""",
     ),
 )
 def partition_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = {
-        "rows": F.count(F.lit(1)),
-        "users": F.count_distinct("user_id"),
-        "types": F.count_distinct("event_type"),
-    }
     return compare(
-        gaps(spark, sf_dir), "partition_date", date(2024, 1, 30), date(2024, 1, 29), counts,
-        {"value": money_sum(F.col("value"))}, null_checks({"null_values": "value"}),
+        gaps(spark, sf_dir),
+        "partition_date",
+        date(2024, 1, 30),
+        date(2024, 1, 29),
+        counts={"rows": F.count(F.lit(1))},
+        distinct={"users": "user_id", "types": "event_type"},
+        sums={"value": money_sum(F.col("value"))},
+        nulls=null_checks({"null_values": "value"}),
     )
 
 

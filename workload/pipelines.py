@@ -8,13 +8,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.plans.mart import build_mart
+from tallybook.plans.mart import build_mart, write_mart
 from tallybook.plans.pipelines import accounts_snapshot
 from tallybook.plans.quality import alerts, long_report, quality_report
 from tallybook.schemas import ACCOUNT_PAGE, MART
 from tallybook.session import new_scratch_table, stage
 from tallybook.sources.partitions import scan
-from tallybook.sources.tables import write
 from workload.ingest import (
     account_pages,
     as_json,
@@ -73,10 +72,10 @@ def metric_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The marts of two days, written as two partitions."""
+    """The marts of two days, stored as two partitions."""
     root = new_scratch_table(spark, "mart")
     for day in (AS_OF, DAY_BEFORE):
-        write(mart(spark, sf_dir, day), root, MART, partition=date.fromisoformat(day), col="built_on")
+        write_mart(ledger(spark, sf_dir), date.fromisoformat(day), root)
     return scan(spark, root, MART, col="built_on")
 
 

@@ -121,8 +121,8 @@ FROM d CROSS JOIN n CROSS JOIN o""",
 )
 def cross_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, d0, d1 = _newest_two(spark, sf_dir)
-    counts = {"rows": F.count(F.lit(1)), "users": F.count_distinct("user_id")}
-    return compare(rows, "partition_date", d0, d1, counts)
+    counts = {"rows": F.count(F.lit(1))}
+    return compare(rows, "partition_date", d0, d1, counts, {"users": "user_id"})
 
 
 @query("c7_existing_keys", "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
