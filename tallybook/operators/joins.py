@@ -30,19 +30,20 @@ def enrich(df: DataFrame, dim: DataFrame, on: list[str], required: bool = False)
 
 def missing_keys(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is absent from ``other``; a key with a NULL counts as absent."""
-    return df.join(other.select(*on), on, "left_anti")
+    return df.join(other.select(*on), on, "left_anti").select(*df.columns)
 
 
 def existing_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that share at least one of the ``keys`` with ``other``; NULLs match nothing."""
+    columns = df.columns
     if len(keys) == 1:
-        return df.join(other.select(*keys), keys, "left_semi")
+        return df.join(other.select(*keys), keys, "left_semi").select(*columns)
     hits = []
     for k in keys:
         seen = other.where(F.col(k).isNotNull()).select(k).distinct()
         df = df.join(seen.withColumn(f"_hit_{k}", F.lit(True)), k, "left")
         hits.append(F.col(f"_hit_{k}").isNotNull())
-    return df.where(reduce(or_, hits)).drop(*[f"_hit_{k}" for k in keys])
+    return df.where(reduce(or_, hits)).select(*columns)
 
 
 def merge_cursors(refreshed: DataFrame, previous: DataFrame, key: str = "item_id") -> DataFrame:

@@ -155,6 +155,13 @@ def label_transactions(tx: DataFrame, labels: DataFrame, rules: MartRules) -> Da
         rules.merchant,
         F.col("name_raw"),
     )
+    # one generated row per transaction: a filter on the outcome then stays above the
+    # rules, where a projection would run them once more inside the filter
+    ruled = F.struct(
+        apply_rules(rules.category, F.col("category_raw")).alias("category_updated"),
+        apply_rules(rules.subcategory, F.col("subcategory_raw")).alias("subcategory_updated"),
+        merchant.alias("merchant_name"),
+    )
     return joined.select(
         PARTITION,
         *TX_KEY,
@@ -165,10 +172,8 @@ def label_transactions(tx: DataFrame, labels: DataFrame, rules: MartRules) -> Da
         "currency_code",
         "category_raw",
         "subcategory_raw",
-        apply_rules(rules.category, F.col("category_raw")).alias("category_updated"),
-        apply_rules(rules.subcategory, F.col("subcategory_raw")).alias("subcategory_updated"),
+        F.inline(F.array(ruled)),
         "payment_channel",
-        merchant.alias("merchant_name"),
         "merchant_name_raw",
         "counterparty_name_raw",
         "name_raw",

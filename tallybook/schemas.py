@@ -71,9 +71,9 @@ BUDGET_VALUES = struct(
     ("category_raw subcategory_raw category subcategory detail_category", "string"),
     ("budget_amount", "double"),
 )
-# What a budget file holds before a month is chosen.
+# What a budget file holds before a month is chosen; JSON has text keys only.
 BUDGET_SOURCE = T.StructType(
-    [*BUDGET_VALUES.fields, T.StructField("backfill", T.MapType(T.DateType(), T.DoubleType()))]
+    [*BUDGET_VALUES.fields, T.StructField("backfill", T.MapType(T.StringType(), T.DoubleType()))]
 )
 ACCOUNTS = struct(
     ("item_id persistent_account_id account_id account_mask account_name", "string"),

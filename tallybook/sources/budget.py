@@ -12,8 +12,10 @@ from tallybook.schemas import BUDGET_SOURCE, BUDGET_VALUES
 
 
 def read_budget(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON object per line; ``backfill`` maps a month to an amount."""
-    return spark.read.schema(BUDGET_SOURCE).json(path)
+    """One JSON object per line; ``backfill`` maps a month (first day) to an amount."""
+    rows = spark.read.schema(BUDGET_SOURCE).json(path)
+    months = F.transform_keys("backfill", lambda month, _: month.cast("date"))
+    return rows.withColumn("backfill", months)
 
 
 def budget_for(budget: DataFrame, month: date | Column) -> DataFrame:

@@ -53,7 +53,8 @@ def account_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("transactions"), F.lit("auth")).alias("products"),
         F.array().cast("array<string>").alias("billed_products"),
     )
-    return table(spark, sf_dir, "customer").select(accounts.alias("accounts"), item.alias("item"))
+    pages = table(spark, sf_dir, "customer").select(accounts.alias("accounts"), item.alias("item"))
+    return as_json(pages, ACCOUNT_PAGE)
 
 
 def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +88,7 @@ LEFT JOIN nation n ON n.n_nationkey = c_nationkey + 3
     ),
 )
 def normalize_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = as_json(account_pages(spark, sf_dir), ACCOUNT_PAGE)
+    pages = account_pages(spark, sf_dir)
     return flat_accounts(landed.normalize_accounts(pages, institutions(spark, sf_dir)))
 
 

@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from tallybook.plans.mart import build_mart, write_mart
 from tallybook.plans.pipelines import accounts_snapshot
 from tallybook.plans.quality import alerts, long_report, quality_report
-from tallybook.schemas import ACCOUNT_PAGE, MART
+from tallybook.schemas import MART
 from tallybook.session import new_scratch_table, stage
 from tallybook.sources.partitions import scan
 from workload.ingest import (
     account_pages,
-    as_json,
     flat_accounts,
     institutions,
     supplier_balances,
@@ -56,7 +55,7 @@ FROM valued""",
 )
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     balances, rates = supplier_balances(spark, sf_dir)
-    pages = as_json(account_pages(spark, sf_dir), ACCOUNT_PAGE)
+    pages = account_pages(spark, sf_dir)
     return flat_accounts(accounts_snapshot(pages, institutions(spark, sf_dir), balances, rates))
 
 
