@@ -1,6 +1,7 @@
 from tallybook.functions.calendar import (
     offset_of,
     parse_suffix,
+    partition_id,
     partition_offset,
     shift,
     split_suffix,
@@ -22,6 +23,7 @@ __all__ = [
     "money_sum",
     "offset_of",
     "parse_suffix",
+    "partition_id",
     "partition_offset",
     "pct_change",
     "round2",

@@ -9,6 +9,13 @@ from tallybook.schemas import GRAIN_FORMATS
 
 # Longest suffix first, so an hour is not read as a day.
 _SUFFIX = r"^(.*?)(\d{8}T\d{2}|\d{10}|\d{8}|\d{6})$"
+# How a table name spells its grain.
+FORMAT_NAMES = {
+    "day": "YYYYMMDD",
+    "month": "YYYYMM",
+    "hour": "YYYYMMDDHH",
+    "hour_t": "YYYYMMDDTHH",
+}
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -42,6 +49,18 @@ def partition_offset(ts: Column, offset: Column, grain: str) -> Column:
     return F.date_format(shift(ts, offset, grain), _check(grain))
 
 
+def partition_id(template: Column, ts: Column, offset: Column) -> Column:
+    """``events_YYYYMMDD`` with the format replaced by the suffix ``offset`` steps from ``ts``.
+
+    A name that ends in no format is left as it is.
+    """
+    out = template
+    for grain, name in reversed(FORMAT_NAMES.items()):
+        stem = F.regexp_replace(template, f"{name}$", "")
+        out = F.when(template.endswith(name), F.concat(stem, partition_offset(ts, offset, grain))).otherwise(out)
+    return out
+
+
 def offset_of(part: Column, now: Column, grain: str) -> Column:
     """Steps from ``now`` to ``part``; days and hours floor, months truncate."""
     _check(grain)

@@ -19,6 +19,7 @@ from tallybook.sources.partitions import (
     PARTITION,
     dependency_report,
     latest_partition,
+    newest,
     retention_candidates,
     scan,
 )
@@ -117,3 +118,13 @@ def run_retention(ledger: Ledger, names: list[str], as_of: date, keep_days: int
         old = retention_candidates(listed, as_of, keep_days, col)
         dropped += drop_partitions(ledger.spark, path, old, col)
     return dropped
+
+
+def drop_newest(ledger: Ledger, names: list[str]) -> int:
+    """Drop the newest partition of each table, so that a day can be loaded afresh."""
+    dropped = 0
+    for name in names:
+        path, col = ledger.path(name), TABLES[name].partition_col
+        last = newest(list_partitions(ledger.spark, path, col), 1, col)
+        dropped += drop_partitions(ledger.spark, path, last, col)
+    return dropped

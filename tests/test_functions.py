@@ -90,6 +90,15 @@ def test_offset_of_floors_days_and_hours_but_truncates_months(spark):
     assert list(got) == [c[2] for c in cases]
 
 
+def test_partition_id(spark):
+    names = ["a_YYYYMMDD", "b_YYYYMM", "c_YYYYMMDDHH", "d_YYYYMMDDTHH", "plain", None]
+    rows = [(n, datetime(2024, 1, 1, 5)) for n in names]
+    made = fn.partition_id(F.col("t"), F.col("ts"), F.lit(-1))
+    assert values(spark, rows, "t string, ts timestamp_ntz", made) == [
+        "a_20231231", "b_202312", "c_2024010104", "d_20240101T04", "plain", None,
+    ]
+
+
 def test_suffix_round_trip(spark):
     rows = [("events_20240105",), ("a_202401",), ("b_2024010512",), ("c_20240105T12",), ("temp",)]
     df = spark.createDataFrame(rows, "t string").select(fn.split_suffix(F.col("t")).alias("p"))

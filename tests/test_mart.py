@@ -10,6 +10,7 @@ from tallybook.plans.pipelines import (
     MART_INPUTS,
     Ledger,
     accounts_snapshot,
+    drop_newest,
     load_budget,
     load_investments,
     load_mart,
@@ -97,4 +98,6 @@ def test_daily_jobs(spark, tables, tmp_path):
     assert stored.exceptAll(fresh).isEmpty() and fresh.exceptAll(stored).isEmpty()
     assert run_retention(store, ["cursors", "metric_mart"], date(2001, 8, 30), 30) == 1
     assert [r[0] for r in list_partitions(spark, store.path("cursors")).collect()] == [day]
+    assert drop_newest(store, ["cursors", "transactions"]) == 2
+    assert list_partitions(spark, store.path("transactions")).isEmpty()
     assert TABLES["metric_mart"].partition_col == "built_on"

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions.calendar import offset_of, partition_offset, split_suffix
+from tallybook.functions.calendar import (
+    offset_of,
+    partition_id,
+    partition_offset,
+    split_suffix,
+)
 from tallybook.functions.numbers import money_sum
 from tallybook.operators.shape import conform, union_all
 from tallybook.schemas import struct
@@ -16,7 +21,7 @@ from tallybook.session import new_scratch_table
 from tallybook.sources import partitions as P
 from tallybook.sources.tables import sql, write
 from workload.registry import query
-from workload.tables import daily, table, with_
+from workload.tables import case, daily, table, with_
 
 EVENT = struct(("event_id user_id", "bigint"), ("event_type", "string"), ("value", "double"))
 _TABLES = (
@@ -152,6 +157,27 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "a7_partition_ids",
+    """
+SELECT event_id, event_type || CASE event_type
+    WHEN 'view' THEN strftime(ts - INTERVAL 1 DAY, '_%Y%m%d') WHEN 'click' THEN strftime(ts - INTERVAL 1 MONTH, '_%Y%m')
+    WHEN 'signup' THEN strftime(ts - INTERVAL 1 HOUR, '_%Y%m%d%H') WHEN 'purchase' THEN strftime(ts - INTERVAL 1 HOUR, '_%Y%m%dT%H')
+    ELSE '' END AS table_id
+FROM events""",
+)
+def partition_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table names that spell their grain, moved to the partition before each event."""
+    kind = F.col("event_type")
+    grain = case(
+        kind,
+        {"view": "_YYYYMMDD", "click": "_YYYYMM", "signup": "_YYYYMMDDHH", "purchase": "_YYYYMMDDTHH"},
+        default="",
+    )
+    made = partition_id(F.concat(kind, grain), F.col("ts"), F.lit(-1))
+    return table(spark, sf_dir, "events").select("event_id", made.alias("table_id"))
+
+
 @query(
     "a8_suffix_parse",
     """
