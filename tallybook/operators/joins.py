@@ -1,6 +1,7 @@
 """Lookups and key tests.
 
-No side is force-broadcast here: dimensions of a ledger (accounts, securities) grow with
+Keys that are only tested for presence are made distinct first: a key that fills a third
+of the other side then crosses the shuffle once per task.  No side is force-broadcast here: dimensions of a ledger (accounts, securities) grow with
 it.  Catalyst broadcasts a side whose size is under the session's threshold; otherwise
 these are shuffled joins on unique right keys, where a hot left key is split at run time.
 """
@@ -30,14 +31,14 @@ def enrich(df: DataFrame, dim: DataFrame, on: list[str], required: bool = False)
 
 def missing_keys(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is absent from ``other``; a key with a NULL counts as absent."""
-    return df.join(other.select(*on), on, "left_anti").select(*df.columns)
+    return df.join(other.select(*on).distinct(), on, "left_anti").select(*df.columns)
 
 
 def existing_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that share at least one of the ``keys`` with ``other``; NULLs match nothing."""
     columns = df.columns
     if len(keys) == 1:
-        return df.join(other.select(*keys), keys, "left_semi").select(*columns)
+        return df.join(other.select(*keys).distinct(), keys, "left_semi").select(*columns)
     hits = []
     for k in keys:
         seen = other.where(F.col(k).isNotNull()).select(k).distinct()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallybook.operators.joins import last_cursors, merge_cursors
 from tallybook.operators.shape import conform, union_all
 from tallybook.plans.mart import MartRules, write_mart
+from tallybook.plans.quality import quality_report
 from tallybook.schemas import ACCOUNTS, TABLES
 from tallybook.sources import pages as landed
 from tallybook.sources.balances import value_balances
@@ -23,7 +24,7 @@ from tallybook.sources.partitions import (
     retention_candidates,
     scan,
 )
-from tallybook.sources.tables import drop_partitions, list_partitions, write
+from tallybook.sources.tables import drop_partitions, list_partitions, partition_days, write
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,28 @@ def load_mart(ledger: Ledger, day: date, as_of: date, rules: MartRules | None =
     return write_mart(tables, as_of, ledger.path("metric_mart"), day, rules)
 
 
+CHECK_INPUTS = {
+    "accounts": "financial_accounts",
+    "holdings": "investment_holdings",
+    "trades": "investment_transactions",
+    "budget": "budget_values",
+    "tombstones": "removed_transactions",
+    "transactions": "transactions",
+    "cursors": "cursors",
+    "mart": "metric_mart",
+}
+
+
+def run_checks(ledger: Ledger) -> dict[str, DataFrame]:
+    """Reports on the newest partitions of all stored tables, the days read off the folders."""
+    days = {
+        check: tuple(reversed(partition_days(ledger.spark, ledger.path(n), TABLES[n].partition_col)))
+        for check, n in CHECK_INPUTS.items()
+    }
+    tables = {check: ledger.read(n) for check, n in CHECK_INPUTS.items()}
+    return quality_report(tables, days)
+
+
 def run_retention(ledger: Ledger, names: list[str], as_of: date, keep_days: int = 30) -> int:
     """Drop old partitions of each table; the listing opens no data file."""
     dropped = 0

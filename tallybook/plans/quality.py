@@ -312,7 +312,12 @@ def quality_report(
     out: dict[str, DataFrame] = {}
 
     def pick(name: str, n: int, col: str = PARTITION) -> tuple[Day, ...]:
-        return days.get(name) or newest_days(tables[name], n, col)
+        given = days.get(name)
+        if given is None:
+            return newest_days(tables[name], n, col)
+        if len(given) < n:
+            raise ValueError(f"fewer than {n} partitions for the check of {name}")
+        return given
 
     if "accounts" in tables:
         out["accounts"] = account_check(tables["accounts"], *pick("accounts", 2)[:2])

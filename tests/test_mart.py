@@ -16,11 +16,13 @@ from tallybook.plans.pipelines import (
     load_mart,
     load_transactions,
     missing_dependencies,
+    run_checks,
     run_retention,
 )
-from tallybook.schemas import MART, TABLES
+from tallybook.plans.quality import alerts
+from tallybook.schemas import MART
 from tallybook.session import stage
-from tallybook.sources.tables import list_partitions
+from tallybook.sources.tables import partition_days
 from workload.ingest import (
     account_pages,
     holding_pages,
@@ -66,38 +68,46 @@ def test_staged_mart_is_the_same(spark, tables):
 
 
 def test_daily_jobs(spark, tables, tmp_path):
-    """Landed pages to loaded tables to the mart, run twice."""
+    """Landed pages to loaded tables to the mart and its checks, the last day run twice."""
     store = Ledger(spark, str(tmp_path))
-    day, month = AS_OF, date(2001, 8, 1)
+    before, day = date(2001, 7, 31), AS_OF
     balances, rates = supplier_balances(spark, SF)
-    for _ in range(2):
-        snapshot = accounts_snapshot(account_pages(spark, SF), institutions(spark, SF), balances, rates)
-        store.load("financial_accounts", snapshot, partition=day)
     cursors = spark.createDataFrame([("item-1", ""), ("gone", "x")], "item_id string, next_cursor string")
-    store.load("cursors", cursors, partition=date(2001, 7, 31))
-    budget = tables["budget_values"].where(F.col("partition_date") == F.lit(month))
-    load_budget(store, budget, month)
-    required = {"financial_accounts": day, "budget_values": month}
+    store.load("cursors", cursors, partition=before)
+    for month in (date(2001, 7, 1), date(2001, 8, 1)):
+        load_budget(store, tables["budget_values"].where(F.col("partition_date") == F.lit(month)), month)
+    for today in (before, day, day):
+        snapshot = accounts_snapshot(account_pages(spark, SF), institutions(spark, SF), balances, rates)
+        store.load("financial_accounts", snapshot, partition=today)
+        load_investments(store, holding_pages(spark, SF), trade_pages(spark, SF), today)
+    required = {"financial_accounts": day, "budget_values": date(2001, 8, 1)}
     assert missing_dependencies(store, required).count() == 0
     late = missing_dependencies(store, required | {"cursors": day}).collect()
     assert [(r.table, r.exists) for r in late] == [("cursors", False)]
     for _ in range(2):
         load_transactions(store, sync_pages(spark, SF), day)
-        load_investments(store, holding_pages(spark, SF), trade_pages(spark, SF), day)
     pages = sync_pages(spark, SF)
     assert store.read("transactions").count() == pages.where("size(added) + size(modified) > 0").count()
     assert store.read("removed_transactions").count() == pages.where("size(removed) > 0").count()
     newest = {r.item_id: r.next_cursor for r in store.read("cursors", day).collect()}
     assert newest["gone"] == "x" and newest["item-1"].startswith("cursor-")
     assert set(newest) == {r[0] for r in pages.select("item_id").distinct().collect()} | {"gone"}
-    for _ in range(2):
-        stored = load_mart(store, day, AS_OF)
+    for today in (before, day, day):
+        stored = load_mart(store, today, today)
     fresh = build_mart({n: store.read(n) for n in MART_INPUTS}, AS_OF)
     stored = stored.drop("built_on")
     assert stored.count() > 0
     assert stored.exceptAll(fresh).isEmpty() and fresh.exceptAll(stored).isEmpty()
-    assert run_retention(store, ["cursors", "metric_mart"], date(2001, 8, 30), 30) == 1
-    assert [r[0] for r in list_partitions(spark, store.path("cursors")).collect()] == [day]
+
+    reports = run_checks(store)
+    mart = reports["mart"].first()
+    assert (mart.partition_0d, mart.partition_1d, mart.partition_fin_accts) == (day, before, day)
+    assert mart.total_account_value_diff == 0 and mart.null_duplicate_account_ids_per_date == 0
+    assert reports["accounts"].first().total_accounts_diff == 0
+    raised = {(r.check, r.rule) for r in alerts(reports).collect()}
+    assert ("accounts", "diff") not in raised and ("transactions", "missing") in raised
+
+    assert run_retention(store, ["cursors", "metric_mart"], date(2001, 8, 30), 30) == 2
+    assert partition_days(spark, store.path("cursors")) == [day]
     assert drop_newest(store, ["cursors", "transactions"]) == 2
-    assert list_partitions(spark, store.path("transactions")).isEmpty()
-    assert TABLES["metric_mart"].partition_col == "built_on"
+    assert partition_days(spark, store.path("transactions")) == []
