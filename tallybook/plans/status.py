@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallybook.functions.text import extract_or_null, format_size
 from tallybook.operators.dedup import latest_by
 
-# Suffix length per dataset, and the table that has no suffix.
-DAILY_DATASETS = ("personal_finance",)
+# Defaults: datasets with daily suffixes (others are monthly), and the table without one.
+DAILY_DATASETS = ("ledger",)
 UNPARTITIONED = ("temp_cursors",)
 
 

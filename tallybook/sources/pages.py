@@ -293,6 +293,12 @@ def merge_pages(
     return rows, done.withColumn("complete", complete)
 
 
+def feed_complete(pages: DataFrame, key: str = "item_id", order: str = "page") -> DataFrame:
+    """Per item: pages landed, and whether the last one says that no more follow."""
+    last = F.max_by("has_more", order)
+    return pages.groupBy(key).agg(F.count(F.lit(1)).alias("pages"), (~last).alias("complete"))
+
+
 def with_product(items: DataFrame, products: list[str], col: str = "products") -> DataFrame:
     """Items that have any of the products; asking for none keeps none."""
     if not products:

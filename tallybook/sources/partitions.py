@@ -152,19 +152,27 @@ def since_year_start(df: DataFrame, col: str, as_of: date | Column, years: int =
     return df.where(F.col(col) >= F.trunc(F.add_months(today, -12 * years), "YEAR"))
 
 
-def table_stats(df: DataFrame, dataset_id: str, table_id: str | Column) -> DataFrame:
-    """Row count, bytes and file times of a file-based table, one row per table id.
-
-    Only file metadata is asked for, so the scan reads footers and no column.
-    """
+def table_files(df: DataFrame, table_id: str | Column) -> DataFrame:
+    """One row per stored row, with its table and file but no column of the table."""
     meta = F.col("_metadata")
     table = table_id if isinstance(table_id, Column) else F.lit(table_id)
-    per_file = df.groupBy(
+    return df.select(
         table.alias("table_id"),
         meta["file_path"].alias("file"),
         meta["file_size"].alias("size"),
         meta["file_modification_time"].alias("modified"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def table_stats(files: DataFrame, dataset_id: str) -> DataFrame:
+    """Row count, bytes and file times per table, from the rows of ``table_files``.
+
+    Rows are counted per file in the scan's own tasks; the scan reads footers only.
+    Several tables may be united first and share one aggregate.
+    """
+    per_file = files.groupBy("table_id", "file", "size", "modified").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
     return per_file.groupBy("table_id").agg(
         F.unix_millis(F.min("modified")).alias("creation_time"),
         F.unix_millis(F.max("modified")).alias("last_modified_time"),

@@ -68,6 +68,8 @@ def test_transactions_and_tombstones(spark, tmp_path):
     assert [f.name for f in P.normalize_transactions(pages).schema] == TRANSACTIONS.names
     dead = P.normalize_tombstones(pages, date(2024, 1, 3)).collect()
     assert [tuple(r) for r in dead] == [("i", "a", "t9", date(2024, 1, 3))]
+    cut = pages.withColumn("has_more", (F.col("item_id") == "j") | (F.col("page") == 1))
+    assert {tuple(r) for r in P.feed_complete(cut).collect()} == {("i", 2, True), ("j", 1, False)}
     # an item whose pages hold only removals, or nothing, moves its cursor too
     assert {tuple(r) for r in last_cursors(pages).collect()} == {("i", "c2"), ("j", "d1")}
 

@@ -168,7 +168,7 @@ def test_create_as_and_parameters(spark, root, tmp_path):
 
 
 def test_table_stats_reads_no_column(spark, root):
-    stats = P.table_stats(P.scan(spark, root, SCHEMA), "d", "t")
+    stats = P.table_stats(P.table_files(P.scan(spark, root, SCHEMA), "t"), "d")
     r = stats.first()
     assert (r.dataset_id, r.table_id, r.row_count) == ("d", "t", 6)
     assert r.size_bytes > 0 and r.last_modified_time >= r.creation_time

@@ -134,8 +134,8 @@ def test_account_check(spark):
 def test_daily_status(spark):
     stats = spark.createDataFrame(
         [
-            ("personal_finance", "tx_20240101", 0, 1000, 5, 10), ("personal_finance", "tx_20240102", 0, 86_400_000, 6, 2048),
-            ("personal_finance", "temp_cursors", 0, 0, 1, 1), ("budget_values", "budget_202312", 0, 0, 1, 1), ("budget_values", "budget_202401", 0, 0, 2, 1),
+            ("ledger", "tx_20240101", 0, 1000, 5, 10), ("ledger", "tx_20240102", 0, 86_400_000, 6, 2048),
+            ("ledger", "temp_cursors", 0, 0, 1, 1), ("budget_values", "budget_202312", 0, 0, 1, 1), ("budget_values", "budget_202401", 0, 0, 2, 1),
         ],
         TABLE_STATS,
     )

@@ -211,7 +211,7 @@ def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 cte(
     "shards",
     """
-SELECT 'personal_finance' AS dataset_id, event_type || '_' || strftime(ts, '%Y%m%d') AS table_id,
+SELECT 'ledger' AS dataset_id, event_type || '_' || strftime(ts, '%Y%m%d') AS table_id,
        epoch_ms(date_trunc('hour', min(ts))) AS creation_time, epoch_ms(date_trunc('hour', max(ts))) AS last_modified_time,
        COUNT(*) AS row_count, CAST(SUM(event_id) AS BIGINT) * 10 AS size_bytes
 FROM events GROUP BY event_type, strftime(ts, '%Y%m%d')
@@ -220,7 +220,7 @@ SELECT 'budget_values', 'budget_' || strftime(o_orderdate, '%Y%m'),
        epoch_ms(min(o_orderdate)), epoch_ms(max(o_orderdate)), COUNT(*), CAST(SUM(o_orderkey) AS BIGINT)
 FROM orders GROUP BY strftime(o_orderdate, '%Y%m')
 UNION ALL
-SELECT 'personal_finance', 'temp_cursors', epoch_ms(date_trunc('day', min(ts))), epoch_ms(date_trunc('day', max(ts))),
+SELECT 'ledger', 'temp_cursors', epoch_ms(date_trunc('day', min(ts))), epoch_ms(date_trunc('day', max(ts))),
        COUNT(DISTINCT user_id), CAST(COUNT(*) AS BIGINT) FROM events
 """,
 )
@@ -246,10 +246,10 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_day = F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd"))
     per_month = F.concat(F.lit("budget_"), F.date_format("o_orderdate", "yyyyMM"))
     return (
-        stats(events, "personal_finance", per_day, "HOUR", "ts", count, F.sum("event_id") * 10)
+        stats(events, "ledger", per_day, "HOUR", "ts", count, F.sum("event_id") * 10)
         .unionByName(stats(orders, "budget_values", per_month, "DAY", "o_orderdate", count, F.sum("o_orderkey")))
         .unionByName(
-            stats(events, "personal_finance", F.lit("temp_cursors"), "DAY", "ts", F.count_distinct("user_id"), count)
+            stats(events, "ledger", F.lit("temp_cursors"), "DAY", "ts", F.count_distinct("user_id"), count)
         )
     )
 
@@ -259,7 +259,7 @@ cte(
     r"""
 SELECT * FROM shards
 QUALIFY row_number() OVER (PARTITION BY
-  CASE WHEN dataset_id = 'personal_finance'
+  CASE WHEN dataset_id = 'ledger'
        THEN CASE WHEN regexp_matches(table_id, '(.*)\d{8}$') THEN regexp_extract(table_id, '(.*)\d{8}$', 1) END
        ELSE CASE WHEN regexp_matches(table_id, '(.*)\d{6}$') THEN regexp_extract(table_id, '(.*)\d{6}$', 1) END END
   ORDER BY table_id DESC) = 1
@@ -274,7 +274,7 @@ def latest_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SUFFIX_SQL = """CASE WHEN table_id IN ('temp_cursors') THEN NULL
-  WHEN dataset_id = 'personal_finance' THEN right(table_id, 8) ELSE right(table_id, 6) END"""
+  WHEN dataset_id = 'ledger' THEN right(table_id, 8) ELSE right(table_id, 6) END"""
 
 
 @query(
@@ -282,7 +282,7 @@ _SUFFIX_SQL = """CASE WHEN table_id IN ('temp_cursors') THEN NULL
     with_("shards", f"SELECT {_SUFFIX_SQL} AS partition_date, table_id, row_count FROM shards ORDER BY 1 DESC NULLS LAST, 2"),
 )
 def status_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, daily_set = F.col("table_id"), F.col("dataset_id") == "personal_finance"
+    t, daily_set = F.col("table_id"), F.col("dataset_id") == "ledger"
     suffix = F.when(t != "temp_cursors", F.when(daily_set, F.substring(t, -8, 8)).otherwise(F.substring(t, -6, 6)))
     rows = shards(spark, sf_dir).select(suffix.alias("partition_date"), "table_id", "row_count")
     return rows.orderBy(F.desc_nulls_last("partition_date"), F.asc_nulls_first("table_id"))

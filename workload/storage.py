@@ -269,7 +269,8 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a16_table_stats")
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return union_all(*[P.table_stats(table(spark, sf_dir, t), "warehouse", t) for t in _TABLES])
+    files = union_all(*[P.table_files(table(spark, sf_dir, t), t) for t in _TABLES])
+    return P.table_stats(files, "warehouse")
 
 
 @query(
