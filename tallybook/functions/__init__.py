@@ -6,7 +6,7 @@ from tallybook.functions.calendar import (
     shift,
     split_suffix,
 )
-from tallybook.functions.numbers import money_sum, pct_change, round2
+from tallybook.functions.numbers import money_sum, pct_change_sql, round2
 from tallybook.functions.text import (
     category_path,
     extract_or_null,
@@ -25,7 +25,7 @@ __all__ = [
     "parse_suffix",
     "partition_id",
     "partition_offset",
-    "pct_change",
+    "pct_change_sql",
     "round2",
     "shift",
     "split_suffix",

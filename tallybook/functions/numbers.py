@@ -15,6 +15,6 @@ def round2(c: Column) -> Column:
     return F.round(c, 2)
 
 
-def pct_change(new: Column, old: Column) -> Column:
+def pct_change_sql(new: str, old: str) -> str:
     """Change against ``|old|`` in percent; NULL where ``old`` is zero or NULL."""
-    return F.try_divide(new - old, F.abs(old)) * F.lit(100.0)
+    return f"try_divide({new} - {old}, abs({old})) * 100D"

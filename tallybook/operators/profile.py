@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.numbers import money_sum, pct_change, round2
+from tallybook.functions.numbers import money_sum, pct_change_sql, round2
 from tallybook.operators.shape import union_all
 
 
@@ -55,7 +55,7 @@ def ordered_list(name: str) -> Column:
 def one_row(*reports: DataFrame) -> DataFrame:
     """One-row reports side by side, without a cross join."""
     columns = list(dict.fromkeys(c for r in reports for c in r.columns))
-    return union_all(*reports).agg(*[F.max(c).alias(c) for c in columns])
+    return union_all(*reports).selectExpr(*[f"max(`{c}`) AS `{c}`" for c in columns])
 
 
 def compare(
@@ -78,49 +78,55 @@ def compare(
     """
     counts, distinct, sums, nulls = counts or {}, distinct or {}, sums or {}, nulls or {}
     new, old = _lit(d0), _lit(d1)
-    both = df.where((F.col(part_col) == new) | (F.col(part_col) == old))
-    part = F.col(part_col).alias("_part")
-    sides = ((new, "0"), (old, "1"))
-    zero = F.lit(0)
-
-    def pick(name: str, day: Column) -> Column:
-        return F.max(F.when(F.col("_part") == day, F.col(name)))
+    day = F.col(part_col)
+    both = df.where((day == new) | (day == old))
+    side = [(day == new).alias("_new"), (day == old).alias("_old")]
+
+    def pick(name: str, flag: str) -> str:
+        return f"max(CASE WHEN {flag} THEN `{name}` END)"
+
+    def pair(names: Iterable[str], prefix: str, empty: str) -> list[str]:
+        """Both sides of each metric; ``empty`` is what a side without rows gives."""
+        return [
+            f"coalesce({pick(prefix + n, flag)}, {empty}) AS `{prefix}{n}_{t}`"
+            for n in names
+            for flag, t in (("_new", 0), ("_old", 1))
+        ]
 
-    plain = both.groupBy(part).agg(
-        *[c.alias(f"c_{n}") for n, c in ({"": F.count(F.lit(1))} | counts).items()],
+    aggregates = [
+        *[c.alias(f"c_{n}") for n, c in counts.items()],
         *[c.alias(f"s_{n}") for n, c in sums.items()],
-        *[F.count_if(c).alias(f"n_{n}") for n, c in nulls.items()],
-    )
-    one = plain.agg(
-        *[F.coalesce(pick(f"c_{n}", d), zero).alias(f"c_{n}_{t}") for n in counts for d, t in sides],
-        *[pick(f"s_{n}", d).alias(f"s_{n}_{t}") for n in sums for d, t in sides],
-        *[F.coalesce(pick(f"n_{n}", new), zero).alias(n) for n in nulls],
-        F.count(F.lit(1)).alias("_parts"),
-    )
-    if distinct:
-        per = both.groupBy(part).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
-        unique = per.agg(
-            *[F.coalesce(pick(n, d), zero).alias(f"c_{n}_{t}") for n in distinct for d, t in sides]
+        *[F.count_if(c).alias(n) for n, c in nulls.items()],
+    ]
+    reports = []
+    if aggregates:
+        reports.append(
+            both.groupBy(*side)
+            .agg(*aggregates)
+            .selectExpr(
+                *pair(counts, "c_", "0"),
+                *pair(sums, "s_", "NULL"),
+                *[f"coalesce({pick(n, '_new')}, 0) AS `{n}`" for n in nulls],
+            )
         )
-        one = one_row(one, unique)
-    out = [new.alias("partition_0d"), old.alias("partition_1d"), *nulls]
+    if distinct:
+        unique = [F.count_distinct(c).alias(f"c_{n}") for n, c in distinct.items()]
+        reports.append(both.groupBy(*side).agg(*unique).selectExpr(*pair(distinct, "c_", "0")))
+    one = reports[0] if len(reports) == 1 else one_row(*reports)
+    out = [f"`{n}`" for n in nulls]
     for n in [*distinct, *counts]:
-        a, b = F.col(f"c_{n}_0"), F.col(f"c_{n}_1")
-        out += [
-            a.alias(f"total_{n}_0d"),
-            b.alias(f"total_{n}_1d"),
-            (a - b).alias(f"total_{n}_diff"),
-        ]
+        a, b, total = f"`c_{n}_0`", f"`c_{n}_1`", f"total_{n}"
+        out += [f"{a} AS {total}_0d", f"{b} AS {total}_1d", f"{a} - {b} AS {total}_diff"]
     for n in sums:
-        a, b = F.col(f"s_{n}_0"), F.col(f"s_{n}_1")
-        change = pct_change(a, b)
+        a, b, total = f"`s_{n}_0`", f"`s_{n}_1`", f"total_{n}"
+        change = pct_change_sql(a, b)
         out += [
-            round2(a).alias(f"total_{n}_0d"),
-            round2(b).alias(f"total_{n}_1d"),
-            round2(change).alias(f"total_{n}_pct_chg"),
-            round2(F.abs(change)).alias(f"total_{n}_pct_chg_abs"),
+            f"round({a}, 2) AS {total}_0d",
+            f"round({b}, 2) AS {total}_1d",
+            f"round({change}, 2) AS {total}_pct_chg",
+            f"round(abs({change}), 2) AS {total}_pct_chg_abs",
         ]
-    return one.select(*out)
+    return one.selectExpr(*out).select(new.alias("partition_0d"), old.alias("partition_1d"), "*")
 
 
 def _lit(value: date | Column) -> Column:

@@ -6,7 +6,6 @@ import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallybook.plans.mart import build_mart, write_mart
 from tallybook.plans.pipelines import accounts_snapshot
@@ -14,6 +13,8 @@ from tallybook.plans.quality import alerts, long_report, quality_report
 from tallybook.schemas import MART
 from tallybook.session import new_scratch_table, stage
 from tallybook.sources.partitions import scan
+import workload.mart  # noqa: F401  (defines the mart's CTEs)
+from workload.columns import size_sql
 from workload.ingest import (
     account_pages,
     flat_accounts,
@@ -22,7 +23,6 @@ from workload.ingest import (
 )
 from workload.registry import query
 from workload.relations import status, status_sql
-from workload.mart import mart_rows  # noqa: F401  (defines the mart's CTEs)
 from workload.tables import (
     AS_OF,
     CTES,
@@ -38,7 +38,6 @@ from workload.tables import (
     ledger,
     with_,
 )
-from workload.columns import size_sql
 
 
 @query(
