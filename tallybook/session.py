@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,26 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _own_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tallybook-")
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``, else one inside the warehouse.
+
+    Both are folders that whoever starts the session names and every executor reaches.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _own_scratch()
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch").rstrip("/")
 
 
 def new_scratch_table(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/tallybook/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
     For results that several branches of a plan need.  Unlike a cache the table
@@ -55,5 +47,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_scratch_table(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
