@@ -8,6 +8,8 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, compare
 
+from workload.registry import ORACLES, QUERIES
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -19,16 +21,16 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     assert compare(name, spark, db, SF).startswith(("ok", "rows-only"))
 
 
 def test_only_file_statistics_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"a16_table_stats"}
+    assert set(QUERIES) - set(ORACLES) == {"a16_table_stats"}
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(("k6", "k7"))])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(("k6", "k7"))])
 def test_plan_has_no_cross_join_and_no_python(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
