@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
-from .subwords import WordEncoder
+from .subwords import encoder
 
 #: Pieces of one length are numbered in this many parts, so a hot length is no single task.
 PARTS = 256
@@ -117,10 +117,10 @@ def pieces(docs: DataFrame, path: str, width: int, end_id: int) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         for batch in batches:
             docs_at, numbers, starts, lengths, sums = [], [], [], [], []
-            for k, ids in enumerate(encoder.encode(batch.column(1))):
+            for k, ids in enumerate(words.encode(batch.column(1))):
                 ids = np.append(ids, end_id).astype("<u4")
                 first = (len(ids) - 1) % width + 1
                 begin = 0
@@ -169,7 +169,7 @@ def pack(docs: DataFrame, path: str, width: int = 2048, end_id: int = 0) -> Data
 
     own = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = cut.withColumn("number", F.row_number().over(own)).join(
-        counts.select("length", "part", "base"), ["length", "part"]
+        counts.select("length", "part", "base").hint("merge"), ["length", "part"]
     )
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     ranked = ranked.select(*columns, (F.col("base") + F.col("number") - 1).alias("rank"))

@@ -3,15 +3,30 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Characters of text encoded together, and distinct words remembered between them.
-PART = 6_000_000
-REMEMBERED = 500_000
+_PLAIN = re.compile(r" ?[^\s\x01\x1c-\x1f]+")
+#: Characters of text encoded together, and distinct words that a worker remembers.
+PART = 8_000_000
+REMEMBERED = 1_000_000
+#: Words that are given to the library as one text.
+TOGETHER = 1000
+
+
+def encoder(path: str) -> WordEncoder:
+    """The worker's encoder of a file; it keeps what it knows for the worker's next task."""
+    import tokenizers
+
+    # functions travel by value, so what a worker keeps can't be a global of this module
+    kept = vars(tokenizers).setdefault("_word_encoders", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 class WordEncoder:
@@ -30,27 +45,50 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # between words stands what is always one token: a line break, or where white space is
+        # dropped a control character
+        self.between = next(x for x in ("\n", " \x01 ") if len(self._ids([f"a{x}b"])[0]) == 3)
+        self.mark = self._ids([f"a{self.between}b"])[0][1]
         self.forget()
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.pool = np.zeros(0, dtype=np.uint32)
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.lengths = np.zeros(0, dtype=np.int64)
+        self.starts = np.zeros(0, dtype=np.int32)
+        self.lengths = np.zeros(0, dtype=np.int32)
+
+    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has."""
+        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
+        simple = [w for w, p in zip(words, plain) if p]
+        joined = [self.between.join(simple[k : k + TOGETHER]) + self.between for k in range(0, len(simple), TOGETHER)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, dtype=np.uint32) for x in self._ids(joined))])
+        ends = np.flatnonzero(ids == self.mark)
+        assert len(ends) == len(simple)
+        begins = np.concatenate((np.zeros(1, ends.dtype), ends + 1))[:-1]
+        rest = [np.array(x, dtype=np.uint32) for x in self._ids([w for w, p in zip(words, plain) if not p])]
+        order = np.argsort(~np.array(plain, dtype=bool), kind="stable")  # the simple ones, then the rest
+        lengths = np.zeros(len(words), dtype=np.int32)
+        lengths[order] = np.concatenate((ends - begins, [len(x) for x in rest])).astype(np.int32)
+        starts = np.zeros(len(words), dtype=np.int64)
+        sizes = np.cumsum([0, *(len(x) for x in rest)])[:-1]
+        starts[order] = np.concatenate((begins, len(ids) + sizes))
+        return _gather(np.concatenate([ids, *rest]), starts, lengths), lengths
 
     def learn(self, words: list[str]) -> np.ndarray:
         """Slot of each word; the new ones are encoded."""
         new = [w for w in dict.fromkeys(words) if w not in self.slots]
         if new:
-            for k, w in enumerate(new, len(self.slots)):
-                self.slots[w] = k
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lengths.sum()))
-            self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
+            self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
+            flat, lengths = self._flat(new)
+            starts = len(self.pool) + np.cumsum(lengths) - lengths
+            self.starts = np.concatenate((self.starts, starts.astype(np.int32)))
             self.lengths = np.concatenate((self.lengths, lengths))
             self.pool = np.concatenate((self.pool, flat))
-        return np.fromiter((self.slots[w] for w in words), dtype=np.int64, count=len(words))
+        return np.fromiter(map(self.slots.__getitem__, words), dtype=np.int32, count=len(words))
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, in order; a null text is empty."""
@@ -77,9 +115,14 @@ class WordEncoder:
         rows = np.flatnonzero(np.asarray(whole))
         slots[bounds[rows]] = self.learn(texts.filter(whole).to_pylist())
         lengths = self.lengths[slots]
-        ends = np.cumsum(lengths)
-        where = np.repeat(self.starts[slots] - (ends - lengths), lengths)
-        where += np.arange(len(where))
-        ids = self.pool[where]
-        at = np.concatenate(([0], ends))[bounds]
+        ids = _gather(self.pool, self.starts[slots], lengths)
+        at = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)))[bounds]
         return [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(lengths, dtype=starts.dtype)
+    where = np.repeat(starts - (ends - lengths), lengths)
+    where += np.arange(len(where), dtype=where.dtype)
+    return pool[where]

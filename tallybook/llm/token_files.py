@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallybook.session import new_scratch_table
 
 from .common import stage
-from .subwords import WordEncoder
+from .subwords import encoder
 
 #: Ids of a shard and of a block, about.
 SHARD_IDS = 4_000_000
@@ -65,9 +65,9 @@ def tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """``doc_id, n, ids`` of whole texts, ids as little-endian bytes, the end id included."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        words = encoder(path)
         for batch in batches:
-            ids = [np.append(x, end_id).astype("<u4") for x in encoder.encode(batch.column(1))]
+            ids = [np.append(x, end_id).astype("<u4") for x in words.encode(batch.column(1))]
             n = pa.array([len(x) for x in ids], pa.int32())
             # four planes: the high bytes are mostly zero and cost nothing in a compressed file
             planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in ids]
@@ -90,8 +90,9 @@ def frequency_order(tokenised: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for planes in batch.column(0).to_pylist():
-                more = np.bincount(_values(planes), minlength=len(seen))
+            planes = batch.column(0).to_pylist()
+            for k in range(0, len(planes), 500):
+                more = np.bincount(np.concatenate([_values(x) for x in planes[k : k + 500]]), minlength=len(seen))
                 more[: len(seen)] += seen
                 seen = more
         ids = np.flatnonzero(seen)

@@ -1,0 +1,71 @@
+"""The corpus pipeline and the registered queries of this folder."""
+
+import re
+
+import corpus_pipeline
+import pytest
+
+import __spark_entry__ as entry
+from tallybook.llm import minhash, spans
+
+SF = "/root/testdata/sf0.001"
+NUMBERED = [f"op{n}_" for n in range(1, 11)]
+
+
+def test_every_operator_is_registered_once():
+    names = list(entry.queries())
+    assert all(sum(n.startswith(p) for n in names) == 1 for p in NUMBERED) and "pipeline" in names
+
+
+@pytest.mark.parametrize("start", NUMBERED)
+def test_query_gives_a_row_for_each_input(spark, start):
+    name = next(n for n in entry.queries() if n.startswith(start))
+    table = {"op7_": "pages", "op9_": "embeddings"}.get(start, "documents")
+    got = entry.queries()[name](spark, SF)
+    if start == "op10_":
+        assert got.groupBy("query_id").count().where("count <> 20").count() == 0
+    elif start == "op6_":
+        assert got.where("piece = 0").count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    else:
+        assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def stages(spark, docs):
+    """What each stage returns, by name."""
+    out = {}
+    for name, step in corpus_pipeline.STAGES:
+        docs = out[name] = step(spark, docs, SF)
+    return out
+
+
+def test_stages_decide_as_their_operators(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    out = stages(spark, docs)
+    for name in list(out)[:-1]:
+        assert out[name].columns == docs.columns
+    ids = {name: {r["doc_id"] for r in f.select("doc_id").collect()} for name, f in out.items()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    letters = {d for d, t in texts.items() if re.search(r"[^\W\d_]", t or "")}
+    assert ids["language"] <= letters and len(ids["language"]) >= 0.97 * len(letters)
+    near = minhash.near_duplicates(docs.where(docs.doc_id.isin(list(ids["language"])))).where("kept").collect()
+    assert ids["near_duplicates"] == {r["doc_id"] for r in near}
+    assert ids["repeats"] == ids["secrets"] == ids["packing"] == ids["near_duplicates"]
+    removed = spans.drop_repeats(out["near_duplicates"]).where("n_removed > 0").count()
+    changed = out["repeats"].select("doc_id", "text").exceptAll(out["near_duplicates"].select("doc_id", "text")).count()
+    assert changed == removed
+    left = out["secrets"].collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in left if r["text"] != texts[r["doc_id"]])
+    assert not any(re.search(r"AKIA[A-Z0-9]{16}", r["text"]) for r in left)
+
+
+def test_run_equals_its_stages(spark):
+    whole = corpus_pipeline.run(spark, SF)
+    assert {r["doc_id"] for r in whole.select("doc_id").collect()} and whole.agg({"length": "max"}).first()[0] <= 2048
+
+
+def test_stages_on_an_empty_table_and_odd_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0).selectExpr("*", "1 AS key", "'x' AS kept", "2 AS `row`")
+    out = stages(spark, docs)
+    assert all(f.count() == 0 for f in out.values())
+    few = spark.read.parquet(f"{SF}/documents.parquet").limit(40).selectExpr("*", "1 AS key", "'x' AS kept", "2 AS `row`")
+    assert stages(spark, few)["secrets"].schema == few.schema
