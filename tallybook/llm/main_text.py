@@ -5,7 +5,7 @@ characters of text, those in links aside, to its tags. Ratios are smoothed by a
 neighbouring lines and a threshold, taken from the page's own spread, marks the lines that are
 content. Marked lines vote for the containers they stand in, an article before a plain container,
 and the elected container gives all of its lines, short ones too, but those within menus, forms
-and the like. A plain container gives the lines from its first to its last marked one.
+and the like. If that is the page itself, it gives the lines from its first to its last marked one.
 """
 
 from __future__ import annotations
@@ -54,6 +54,7 @@ class Lines(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []  # element, left out, container
         self.kinds = [0]  # of containers: 0 plain, 1 named like an article, 2 article or main
         self.parents = [0]
+        self.page = {0}  # containers that are the whole page
         self.lines: list[tuple[str, int, int, int]] = []
         self.begin()
 
@@ -96,6 +97,8 @@ class Lines(HTMLParser):
             self.kinds.append(2 if article else 1 if words & ARTICLE_WORDS else 0)
             self.parents.append(container)
             container = len(self.kinds) - 1
+            if tag == "body":
+                self.page.add(container)
         self.open.append((tag, out, container))
 
     def end_element(self, tag: str, stop: set[str]) -> None:
@@ -163,7 +166,7 @@ def main_text(html: str | None) -> str:
         if parser.parents[c] in within:
             within.add(c)
     rows = [k for k, line in enumerate(lines) if line[3] in within]
-    if not best:  # nothing names the region: it reaches from the first to the last marked line
+    if chosen in parser.page:  # no region of its own: from the first to the last marked line
         good = [k for k in rows if content[k]]
         rows = [k for k in rows if good and good[0] <= k <= good[-1]]
     return "\n".join(lines[k][0] for k in rows)
