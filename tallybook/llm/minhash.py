@@ -3,10 +3,11 @@
 1. One pass makes each text's set of word shingles, its hash and its MinHash signature. Texts with
    equal sets form a class; only classes go on.
 2. Classes that agree on a band of the signature are candidates. A band value may be shared by any
-   number of classes, so pairs are not written out. Each round compares classes with a few pivots
-   of their bucket; linked classes then count as one, buckets that hold a single group are done,
-   and pivots, having met all others of their bucket, leave it. Rounds go on until no bucket is
-   left, so every candidate pair is compared or already in one group.
+   number of classes, so pairs are not written out. In a first round each class meets two others
+   of each bucket. Linked classes then count as one, and buckets that hold a single group are done.
+   In later rounds all classes of an open bucket meet its pivots, but those of their own group, and
+   the pivots leave the bucket. Rounds go on until no bucket is left, so every candidate pair is
+   compared or already in one group.
 3. A pair's signatures are compared in batches. It is dropped once the posterior probability that
    its similarity reaches the threshold falls below the chosen miss probability; what survives is
    verified on the full shingle sets.
@@ -19,10 +20,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, lookup, mix, run_hashes, stage, text_chunks, word_hashes
+from .common import SALTS, components, lookup, mix, run_hashes, stage, text_chunks, word_hashes
 
 WIDTH = 5  # words of a shingle
 BANDS, ROWS = 40, 5
@@ -30,7 +31,10 @@ BANDS, ROWS = 40, 5
 PERCENT = 75
 #: Values compared at once, and the probability at which a pair is given up.
 BATCH, MISS = 25, 1e-5
-PIVOTS = 32
+#: Classes of a bucket that all others of it meet in a round.
+PIVOTS = 256
+#: Parts of a bucket of which a class meets the head of one, in the first round.
+SLOTS = 16
 
 _SEEDS = np.random.default_rng(7).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
@@ -138,8 +142,8 @@ def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataF
 def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Links ``(a, b)`` between classes: every group of similar classes is connected by them."""
     entries = _bands(classes)
-    shared = entries.groupBy("bucket").agg(F.min(F.struct("doc", "class")).alias("pivot"), F.count("*").alias("c"))
-    shared = shared.where("c > 1").select("bucket", F.col("pivot.class").alias("pivot"), F.col("pivot.doc").alias("first"))
+    shared = entries.groupBy("bucket").agg(F.min(F.struct("doc", "class")).alias("p"), F.count("*").alias("c"))
+    shared = stage(shared.where("c > 1").select("bucket", F.col("p.class").alias("pivot")), "shared")
     entries = stage(lookup(entries, shared, ["bucket"], "inner"), "buckets")
     if entries.isEmpty():
         return None
@@ -147,28 +151,34 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     sets = _sets(docs.join(involved.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"), False)
     sets = sets.join(involved.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = stage(sets.select("class", "data"), "shingles")
-    # first, each class only meets the earliest pivot of all its buckets
-    near = entries.where("class <> pivot").groupBy("class", "n").agg(F.min(F.struct("first", "pivot")).alias("p"))
-    links = stage(_verified(near.select(F.col("p.pivot").alias("a"), F.col("class").alias("b")), classes, sets), "links")
+    # first, a class meets the earliest of each of its buckets and one more, picked by hash among
+    # a few: so few pairs connect almost all that belongs together, whatever a bucket's size
+    slot = F.pmod(F.xxhash64("class", "bucket"), F.lit(SLOTS))
+    some = entries.groupBy("bucket", slot.alias("slot")).agg(F.min("class").alias("other"))
+    asked = F.pmod(F.xxhash64("bucket", "class", "n"), F.lit(SLOTS))
+    near = entries.withColumn("slot", asked).join(some, ["bucket", "slot"])
+    pairs = near.select("class", "other").union(entries.select("class", "pivot")).toDF("x", "y").where("x <> y")
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    links = stage(_verified(pairs, classes, sets), "links")
     entries = entries.select("bucket", "class", "n")
-    while True:
+    while not entries.isEmpty():
         groups = components(links).toDF("class", "root")
         named = lookup(entries, groups, ["class"]).withColumn("root", F.coalesce("root", "class"))
         open_ = named.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
         named = stage(lookup(named, open_.select("bucket"), ["bucket"], "inner"), "open")
-        if named.isEmpty():
-            return links
-        slot = F.pmod(F.xxhash64("class"), F.lit(PIVOTS))
-        pivots = named.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("class", "root", "n")).alias("p"))
-        pivots = stage(pivots.select("bucket", "slot", "p.*").toDF("bucket", "slot", "pivot", "other", "m"), "pivots")
-        close = "root <> other AND least(n, m) * 100 >= greatest(n, m) * " + str(PERCENT)
-        spread = named.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(4)))
-        copies = pivots.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(4)])))
-        pairs = spread.join(copies, ["bucket", "salt"]).where(close)
-        pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
-        links = stage(links.union(_verified(pairs, classes, sets)), "links")
-        left = named.join(pivots.select("bucket", F.col("pivot").alias("class")), ["bucket", "class"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
+        pivots = named.withColumn("place", place).where(F.col("place") <= PIVOTS).drop("place")
+        pivots = stage(pivots.toDF(*["other_" + c if c != "bucket" else c for c in pivots.columns]), "pivots")
+        close = f"root <> other_root AND least(n, other_n) * 100 >= greatest(n, other_n) * {PERCENT}"
+        salt = F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int").alias("salt")
+        copies = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = named.select("*", salt).join(copies, ["bucket", "salt"]).where(close)
+        pairs = pairs.select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b"))
+        links = stage(links.union(_verified(pairs.distinct(), classes, sets)), "links")
+        met = pivots.select("bucket", F.col("other_class").alias("class"))
+        left = named.join(met, ["bucket", "class"], "left_anti")
         entries = stage(left.select("bucket", "class", "n"), "buckets")
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

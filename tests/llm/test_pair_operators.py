@@ -109,8 +109,10 @@ def test_near_duplicates_of_the_table(spark):
     assert got == near_by_definition([tuple(r) for r in docs.collect()])
 
 
-def test_near_duplicates_without_a_common_pivot(spark):
+@pytest.mark.parametrize("pivots", [7, 256])
+def test_near_duplicates_without_a_common_pivot(spark, pivots, monkeypatch):
     """A chain: neighbours link, distant ones don't; and a crowd that shares most bands only."""
+    monkeypatch.setattr(minhash, "PIVOTS", pivots)
     words = [f"c{k}" for k in range(200)]
     rows = []
     for k in range(40):
