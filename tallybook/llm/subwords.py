@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_PLAIN = re.compile(r" ?[^\s\x01\x1c-\x1f]+")
+#: A word without white space or control characters of its own, maybe after one blank.
+_PLAIN = r"^ ?[^\s\v\x01\x1c-\x1f\x85\p{Z}]+$"
 #: Characters of text encoded together, and distinct words that a worker remembers.
 PART = 8_000_000
 REMEMBERED = 1_000_000
@@ -62,15 +63,15 @@ class WordEncoder:
 
     def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each has."""
-        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
-        simple = [w for w, p in zip(words, plain) if p]
+        plain = np.asarray(pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN))
+        simple = list(compress(words, plain))
         joined = [self.between.join(simple[k : k + TOGETHER]) + self.between for k in range(0, len(simple), TOGETHER)]
         ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, dtype=np.uint32) for x in self._ids(joined))])
         ends = np.flatnonzero(ids == self.mark)
         assert len(ends) == len(simple)
         begins = np.concatenate((np.zeros(1, ends.dtype), ends + 1))[:-1]
-        rest = [np.array(x, dtype=np.uint32) for x in self._ids([w for w, p in zip(words, plain) if not p])]
-        order = np.argsort(~np.array(plain, dtype=bool), kind="stable")  # the simple ones, then the rest
+        rest = [np.array(x, dtype=np.uint32) for x in self._ids(list(compress(words, ~plain)))]
+        order = np.argsort(~plain, kind="stable")  # the simple ones, then the rest
         lengths = np.zeros(len(words), dtype=np.int32)
         lengths[order] = np.concatenate((ends - begins, [len(x) for x in rest])).astype(np.int32)
         starts = np.zeros(len(words), dtype=np.int64)
@@ -80,8 +81,9 @@ class WordEncoder:
 
     def learn(self, words: list[str]) -> np.ndarray:
         """Slot of each word; the new ones are encoded."""
-        new = [w for w in dict.fromkeys(words) if w not in self.slots]
+        new = [w for w in words if w not in self.slots]
         if new:
+            new = list(dict.fromkeys(new))
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
             flat, lengths = self._flat(new)
             starts = len(self.pool) + np.cumsum(lengths) - lengths
