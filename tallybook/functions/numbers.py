@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def money_sum(c: Column) -> Column:
-    """Sum in cents, so the result does not depend on the order of addition."""
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+    """Sum of ten decimal places, so the result does not depend on the order of addition.
+
+    No value is cut to cents first; reports round what they show, once.
+    """
+    return F.sum(c.cast("decimal(38,10)")).cast("double")
 
 
 def round2(c: Column) -> Column:

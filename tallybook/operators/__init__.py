@@ -15,8 +15,9 @@ from tallybook.operators.profile import (
     null_profile,
     null_profile_by_partition,
     reconcile,
+    unmapped_pairs,
 )
-from tallybook.operators.rules import apply_rules, load_rules
+from tallybook.operators.rules import apply_rules, load_rules, with_rules
 from tallybook.operators.shape import conform, union_all
 
 __all__ = [
@@ -42,5 +43,7 @@ __all__ = [
     "null_profile_by_partition",
     "reconcile",
     "union_all",
+    "unmapped_pairs",
     "with_balance",
+    "with_rules",
 ]

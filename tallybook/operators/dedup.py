@@ -37,14 +37,18 @@ def apply_tombstones(
     return joined.where(keep).drop("_first", "_hit")
 
 
-def version_order() -> list[Column]:
-    """Newest version first; a modified version beats the one it replaces."""
+def version_order(batch: bool = False) -> list[Column]:
+    """Newest version first; a modified version beats the one it replaces, and of versions of one
+    moment the one that came later in the feed, by batch if there are any, page and place."""
+    later = [*(["batch_id"] if batch else []), "feed_page", "feed_place"]
     return [
         F.coalesce(
             F.col("transaction_datetime"), F.col("transaction_date").cast("timestamp_ntz")
         ).desc_nulls_last(),
         F.col("partition_date").desc_nulls_last(),
         (F.col("status") == MODIFIED).desc_nulls_last(),
+        *[F.col(c).desc_nulls_last() for c in later],
+        F.col("amount").asc_nulls_first(),
     ]
 
 

@@ -73,8 +73,8 @@ def compare(
     Counts and distinct counts give ``total_x_0d``, ``_1d`` and ``_diff``; sums give
     rounded values and the change in percent; null checks are counted in the newer
     partition.  One scan reads both partitions and aggregates per partition.  Distinct
-    counts go over their own columns in a second one: in one aggregate they would copy
-    every row, with all columns the checks need, once per distinct column.
+    counts take a second scan, of their own columns: in one aggregate they would copy every
+    row, with all columns the checks need, once per distinct column.
     """
     counts, distinct, sums, nulls = counts or {}, distinct or {}, sums or {}, nulls or {}
     new, old = _lit(d0), _lit(d1)
@@ -145,16 +145,23 @@ def duplicate_count(
     )
 
 
-def missing_categories(
+def unmapped_pairs(
     tx: DataFrame, budget: DataFrame, ignored: list[str] | None = None
 ) -> DataFrame:
-    """Raw category pairs in use that the budget does not map: list and count, one row.
+    """Raw category pairs in use that the budget does not map, one row each.
 
     Pairs are reduced to distinct ones on both sides before they meet.
     """
     pair = ["category_raw", "subcategory_raw"]
     used = tx if not ignored else tx.where(~F.col("subcategory_raw").isin(ignored))
-    gone = used.select(*pair).distinct().join(budget.select(*pair).distinct(), pair, "left_anti")
+    return used.select(*pair).distinct().join(budget.select(*pair).distinct(), pair, "left_anti")
+
+
+def missing_categories(
+    tx: DataFrame, budget: DataFrame, ignored: list[str] | None = None
+) -> DataFrame:
+    """The pairs of ``unmapped_pairs`` as an alert shows them: list and count, one row."""
+    gone = unmapped_pairs(tx, budget, ignored)
     label = F.concat("category_raw", F.lit(" - "), "subcategory_raw")
     return gone.select(label.alias("_label")).agg(
         ordered_list("_label").alias("missing_categories"),

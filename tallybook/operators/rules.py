@@ -21,7 +21,7 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import extract_or_null
@@ -94,3 +94,62 @@ def resolve_name(
 ) -> Column:
     """Clean name, else the first candidate's name, else the raw name put through rules."""
     return F.coalesce(clean, F.get(candidates, F.lit(0)), apply_rules(rules, raw, columns))
+
+
+#: Up to so many rules are one CASE; from there on those on one column's value become a lookup.
+CASE_RULES = 50
+
+
+def _exact(rule: Rule) -> tuple[str, tuple[Any, ...]] | None:
+    """Column and values of a rule that only asks for equality with plain text."""
+    when, then = rule["when"], rule["then"]
+    if isinstance(then, dict) or "col" not in when or when.get("fold") or when["op"] not in ("eq", "in"):
+        return None
+    values = tuple(when["value"]) if when["op"] == "in" else (when["value"],)
+    return (when["col"], values) if all(isinstance(v, str) for v in values) else None
+
+
+def with_rules(
+    df: DataFrame,
+    rules: list[Rule],
+    default: Column,
+    name: str,
+    columns: dict[str, Column] | None = None,
+) -> DataFrame:
+    """``df`` with the value of the first rule that matches as column ``name``.
+
+    A short list is one CASE. In a long one, rules that compare a column with text are looked up
+    in a table instead, one join a column, and the others stay a CASE; of all that match, the
+    first of the list counts. The tables have as many rows as the list has values, so Spark
+    broadcasts them if they are under its threshold.
+    """
+    if len(rules) <= CASE_RULES:
+        return df.withColumn(name, apply_rules(rules, default, columns))
+    spark, kept = df.sparkSession, df.columns
+    tables: dict[str, dict[str, tuple[int, str]]] = {}
+    others: list[tuple[int, Rule]] = []
+    for order, rule in enumerate(rules):
+        found = _exact(rule)
+        if found is None or (columns and found[0] in columns):
+            others.append((order, rule))
+            continue
+        for value in found[1]:
+            tables.setdefault(found[0], {}).setdefault(value, (order, rule["then"]))
+    hits = []
+    for k, (column, table) in enumerate(tables.items()):
+        rows = [(value, order, str(then)) for value, (order, then) in table.items()]
+        lookup = spark.createDataFrame(rows, f"_key_{k} string, _order_{k} int, _then_{k} string")
+        df = df.join(lookup, F.col(column).cast("string") == F.col(f"_key_{k}"), "left")
+        hits.append((F.col(f"_order_{k}"), F.col(f"_then_{k}")))
+    order, value = None, None
+    for k, rule in others:
+        test, then = condition(rule["when"], columns), _value(rule["then"], columns)
+        order = F.when(test, F.lit(k)) if order is None else order.when(test, F.lit(k))
+        value = F.when(test, then) if value is None else value.when(test, then)
+    if order is not None:
+        hits.append((order, value))
+    far = F.lit(len(rules))
+    picked = [F.struct(F.coalesce(o, far).alias("order"), v.cast("string").alias("value")) for o, v in hits]
+    first = F.least(*picked) if len(picked) > 1 else picked[0]
+    result = F.when(first["order"] < far, first["value"]).otherwise(default)
+    return df.withColumn(name, result).select(*kept, name)

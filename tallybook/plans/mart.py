@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from pathlib import Path
 
@@ -22,7 +22,7 @@ from tallybook.operators.budgeting import (
 )
 from tallybook.operators.dedup import apply_tombstones, latest_by, version_order
 from tallybook.operators.joins import enrich
-from tallybook.operators.rules import Rule, apply_rules, resolve_name
+from tallybook.operators.rules import CASE_RULES, Rule, apply_rules, resolve_name, with_rules
 from tallybook.operators.shape import conform, union_all
 from tallybook.schemas import MART, TABLES
 from tallybook.sources.partitions import PARTITION, scan, since_year_start
@@ -35,23 +35,22 @@ ACCOUNTS = "ACCOUNTS"
 INVESTMENTS = "INVESTMENTS"
 EXCLUDED = "EXCLUDE_CATEGORY"
 
-SAMPLE_RULES = Path(__file__).parent.parent / "rules" / "sample.json"
 TX_KEY = ["item_id", "account_id", "transaction_id"]
 
 
 @dataclass(frozen=True)
 class MartRules:
-    """What is particular to one ledger: labels, categories, merchant names."""
+    """What is particular to one ledger: labels, categories, merchant names.  None by default."""
 
-    account_name: list[Rule]
-    account_subname: list[Rule]
-    category: list[Rule]
-    subcategory: list[Rule]
-    merchant: list[Rule]
-    recode: list[Rule]
+    account_name: list[Rule] = field(default_factory=list)
+    account_subname: list[Rule] = field(default_factory=list)
+    category: list[Rule] = field(default_factory=list)
+    subcategory: list[Rule] = field(default_factory=list)
+    merchant: list[Rule] = field(default_factory=list)
+    recode: list[Rule] = field(default_factory=list)
 
     @classmethod
-    def load(cls, path: str | Path = SAMPLE_RULES) -> MartRules:
+    def load(cls, path: str | Path) -> MartRules:
         return cls(**json.loads(Path(path).read_text(encoding="utf-8")))
 
 
@@ -79,7 +78,8 @@ def account_balances(accounts: DataFrame, rules: MartRules) -> DataFrame:
 
 def account_labels(balances: DataFrame) -> DataFrame:
     """The newest labels per account."""
-    order = [F.col("transaction_date").desc_nulls_last(), F.col("account_name").asc_nulls_first()]
+    texts = ("account_name", "account_subname", "account_type", "institution_name")
+    order = [F.col("transaction_date").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in texts]]
     return latest_by(balances, ["item_id", "account_id"], order).select(
         "item_id", "account_id", "institution_name", "account_name", "account_subname", "account_type"
     )
@@ -110,7 +110,10 @@ def positions(
         F.col("institution_value").desc_nulls_last(),
         *[
             F.col(c).asc_nulls_first()
-            for c in ("account_id", "item_id", "quantity", "institution_price", "security_name", "security_type")
+            for c in (
+                "account_id", "item_id", "quantity", "institution_price", "security_name", "security_type",
+                "ticker_symbol", "currency_code", "cost_basis",
+            )
         ],
     ]
     return latest_by(rows, list(keys), order)
@@ -133,17 +136,20 @@ def live_transactions(
         "transaction_datetime",
         "amount",
         "currency_code",
-        F.col("personal_finance_category.primary").alias("category_raw"),
-        F.col("personal_finance_category.detailed").alias("subcategory_raw"),
+        "feed_page",
+        "feed_place",
+        F.col("category_info.primary").alias("category_raw"),
+        F.col("category_info.detailed").alias("subcategory_raw"),
         "payment_channel",
         F.col("merchant.merchant_name").alias("merchant_name_raw"),
         F.col("merchant.name").alias("name_raw"),
         counterparty["name"].alias("counterparty_name_raw"),
         counterparty["type"].alias("merchant_type"),
     )
-    live = apply_tombstones(rows, removed, TX_KEY, "transaction_date")
-    # the version order, then the amount, so that equal versions resolve the same way
-    return latest_by(live, ["transaction_id"], [*version_order(), F.col("amount").asc_nulls_first()])
+    # one placement by transaction serves the tombstones and the choice of a version
+    placed = rows.repartition("transaction_id")
+    live = apply_tombstones(placed, removed.repartition("transaction_id"), TX_KEY, "transaction_date")
+    return latest_by(live, ["transaction_id"], version_order())
 
 
 def label_transactions(tx: DataFrame, labels: DataFrame, rules: MartRules) -> DataFrame:
@@ -155,13 +161,19 @@ def label_transactions(tx: DataFrame, labels: DataFrame, rules: MartRules) -> Da
         rules.merchant,
         F.col("name_raw"),
     )
+    made = [merchant.alias("merchant_name")]
+    for name, own, raw in (
+        ("category_updated", rules.category, F.col("category_raw")),
+        ("subcategory_updated", rules.subcategory, F.col("subcategory_raw")),
+    ):
+        if len(own) > CASE_RULES:
+            joined = with_rules(joined, own, raw, name)
+            made.append(F.col(name))
+        else:
+            made.append(apply_rules(own, raw).alias(name))
     # one generated row per transaction: a filter on the outcome then stays above the
     # rules, where a projection would run them once more inside the filter
-    ruled = F.struct(
-        apply_rules(rules.category, F.col("category_raw")).alias("category_updated"),
-        apply_rules(rules.subcategory, F.col("subcategory_raw")).alias("subcategory_updated"),
-        merchant.alias("merchant_name"),
-    )
+    ruled = F.struct(*made)
     return joined.select(
         PARTITION,
         *TX_KEY,
@@ -227,7 +239,8 @@ def with_paths(df: DataFrame) -> DataFrame:
 
 def aggregate_lines(tx: DataFrame, budget: DataFrame) -> DataFrame:
     """Budget lines with their actuals, and the monthly balance rows."""
-    return with_paths(with_balance(budget_vs_actual(budget_totals(budget), actuals(tx))))
+    # the mart has made transaction ids unique: they are counted as they are
+    return with_paths(with_balance(budget_vs_actual(budget_totals(budget), actuals(tx, unique=True))))
 
 
 def mart_parts(
@@ -274,7 +287,7 @@ def build_mart(
     aggregate rows share the categorised transactions; ``stage`` may write them once
     (``session.stage``) so their shuffles and rules do not run twice.
     """
-    return metric_union(mart_parts(tables, as_of, rules or MartRules.load(), stage))
+    return metric_union(mart_parts(tables, as_of, rules or MartRules(), stage))
 
 
 def write_mart(
@@ -290,7 +303,7 @@ def write_mart(
     (five columns of it), so the transaction pipeline runs once.  A rerun starts by
     replacing the partition.
     """
-    parts = mart_parts(tables, as_of, rules or MartRules.load())
+    parts = mart_parts(tables, as_of, rules or MartRules())
     del parts[TRANSACTIONS_AGG]
     table = TABLES["metric_mart"]
     day, col, spark = day or as_of, table.partition_col, parts[ACCOUNTS].sparkSession

@@ -8,23 +8,32 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.operators.joins import last_cursors, merge_cursors
+from tallybook.operators.joins import initial_cursors, last_cursors, merge_cursors
 from tallybook.operators.shape import conform, union_all
 from tallybook.plans.mart import MartRules, write_mart
 from tallybook.plans.quality import quality_report
-from tallybook.schemas import ACCOUNTS, TABLES
+from tallybook.plans.status import DAILY_DATASETS, daily_status
+from tallybook.schemas import ACCOUNTS, GRAIN_FORMATS, TABLES
+from tallybook.session import stage
 from tallybook.sources import pages as landed
 from tallybook.sources.balances import value_balances
 from tallybook.sources.budget import budget_for
 from tallybook.sources.partitions import (
     PARTITION,
-    dependency_report,
-    latest_partition,
     newest,
     retention_candidates,
     scan,
+    stored_files,
+    table_stats,
+    window_filter,
+)
+from tallybook.sources.tables import (
+    drop_partitions,
+    list_partitions,
+    partition_days,
+    table_exists,
+    write,
 )
-from tallybook.sources.tables import drop_partitions, list_partitions, partition_days, write
 
 
 @dataclass(frozen=True)
@@ -41,6 +50,14 @@ class Ledger:
         t = TABLES[name]
         return scan(self.spark, self.path(name), t.schema, t.grain, partition, t.partition_col)
 
+    def exists(self, name: str) -> bool:
+        return table_exists(self.spark, self.path(name))
+
+    def days(self, name: str) -> list[date]:
+        """Partitions of a table, oldest first; none if it isn't there."""
+        t = TABLES[name]
+        return partition_days(self.spark, self.path(name), t.partition_col, t.grain) if self.exists(name) else []
+
     def load(
         self, name: str, df: DataFrame, disposition: str = "TRUNCATE", partition: date | None = None
     ) -> None:
@@ -60,39 +77,73 @@ def accounts_snapshot(
 
 
 def load_budget(ledger: Ledger, budget: DataFrame, month: date) -> None:
+    """The budget of a month; any of its days names it."""
     ledger.load("budget_values", budget_for(budget, month), "TRUNCATE", month)
 
 
 def load_transactions(ledger: Ledger, pages: DataFrame, day: date) -> None:
     """Apply sync pages: versions, tombstones, and the cursor of every item.
 
-    A rerun replaces the partition.  Items whose pages hold only removals get their new
-    cursor too.
+    A rerun replaces the partition, also by nothing.  Items whose pages hold only removals get
+    their new cursor too.  On the first run there is no older cursor to keep.  The landed text
+    is parsed once; the three tables read its columns.
     """
-    previous = latest_partition(ledger.read("cursors")).drop(PARTITION)
+    pages = stage(pages, "sync-pages")
+    earlier = [d for d in ledger.days("cursors") if d <= day]
+    if earlier:
+        previous = ledger.read("cursors", earlier[-1]).drop(PARTITION)
+    else:
+        previous = initial_cursors(pages.select("item_id").distinct())
     ledger.load("transactions", landed.normalize_transactions(pages), "TRUNCATE", day)
     ledger.load("removed_transactions", landed.normalize_tombstones(pages, day), "TRUNCATE", day)
     ledger.load("temp_cursors", last_cursors(pages))
-    merged = merge_cursors(ledger.read("temp_cursors"), previous)
+    merged = stage(merge_cursors(ledger.read("temp_cursors"), previous), "cursors")
     ledger.load("cursors", merged, "TRUNCATE", day)
 
 
 def load_investments(
-    ledger: Ledger, holdings: DataFrame, trades: DataFrame, day: date
+    ledger: Ledger,
+    holdings: DataFrame,
+    trades: DataFrame,
+    day: date,
+    items: DataFrame | None = None,
+    products: tuple[str, ...] = ("investments",),
+    window: tuple[int, int] | None = None,
+    required: dict[str, date] | None = None,
 ) -> None:
+    """Positions and trades of a day.
+
+    ``required`` names partitions without which the job fails.  With ``items`` only pages of items
+    that have one of the products count; ``window`` keeps trades dated that many days before
+    ``day``, first and last.
+    """
+    if required:
+        late = missing_dependencies(ledger, required).collect()  # a row a table
+        if late:
+            raise ValueError(f"not there or empty: {', '.join(sorted(r['table'] for r in late))}")
+    if items is not None:
+        wanted = landed.with_product(items, list(products)).select("item_id").distinct()
+        holdings, trades = (
+            p.join(wanted, p["item"]["item_id"] == wanted["item_id"], "left_semi") for p in (holdings, trades)
+        )
+    bought = landed.normalize_trades(trades)
+    if window is not None:
+        bought = window_filter(bought, "investment_date", day, *window)
     ledger.load("investment_holdings", landed.normalize_holdings(holdings), "TRUNCATE", day)
-    ledger.load("investment_transactions", landed.normalize_trades(trades), "TRUNCATE", day)
+    ledger.load("investment_transactions", bought, "TRUNCATE", day)
 
 
 def missing_dependencies(ledger: Ledger, required: dict[str, date]) -> DataFrame:
-    """Required partitions that are absent or empty, one row per table."""
-    spark = ledger.spark
-    reports = []
+    """Required partitions that are absent or empty, one row per table.
+
+    A partition may be there and empty, and a table may not be there at all.
+    """
+    rows = []
     for name, day in required.items():
-        want = spark.range(1).select(F.lit(day).alias(PARTITION))
-        report = dependency_report(want, ledger.read(name).where(F.col(PARTITION) == F.lit(day)))
-        reports.append(report.select(F.lit(name).alias("table"), "*"))
-    return union_all(*reports).where(~F.col("has_rows"))
+        there = day in ledger.days(name)
+        rows.append((name, day, there, there and not ledger.read(name, day).isEmpty()))
+    schema = f"table string, {PARTITION} date, exists boolean, has_rows boolean"
+    return ledger.spark.createDataFrame(rows, schema).where(~F.col("has_rows"))
 
 
 MART_INPUTS = (
@@ -122,24 +173,44 @@ CHECK_INPUTS = {
 }
 
 
-def run_checks(ledger: Ledger) -> dict[str, DataFrame]:
-    """Reports on the newest partitions of all stored tables, the days read off the folders."""
-    days = {
-        check: tuple(reversed(partition_days(ledger.spark, ledger.path(n), TABLES[n].partition_col)))
-        for check, n in CHECK_INPUTS.items()
-    }
+def run_checks(ledger: Ledger, unmapped: list[str] | None = None) -> dict[str, DataFrame]:
+    """Reports on the newest partitions of all stored tables, the days read off the folders.
+
+    A partition that was loaded without rows is there too, so its check sees it empty.
+    """
+    days = {check: tuple(reversed(ledger.days(n))) for check, n in CHECK_INPUTS.items()}
     tables = {check: ledger.read(n) for check, n in CHECK_INPUTS.items()}
-    return quality_report(tables, days)
+    return quality_report(tables, days, unmapped)
+
+
+def ledger_stats(ledger: Ledger, names: list[str] | None = None) -> DataFrame:
+    """Statistics of every partition of the stored tables, as suffixed table ids."""
+    reports = []
+    for name in names or [n for n in TABLES if ledger.exists(n)]:
+        t, files = TABLES[name], stored_files(ledger.spark, ledger.path(name))
+        if t.grain is None:
+            reports.append(table_stats(ledger.read(name), files, DAILY_DATASETS[0], name))
+            continue
+        suffix = F.date_format(t.partition_col, GRAIN_FORMATS[t.grain])
+        dataset = DAILY_DATASETS[0] if t.grain == "day" else f"{DAILY_DATASETS[0]}_{t.grain}s"
+        table = F.concat_ws("_", F.lit(name), suffix)
+        reports.append(table_stats(ledger.read(name), files, dataset, table, t.partition_col))
+    return union_all(*reports)
+
+
+def run_status(ledger: Ledger, names: list[str] | None = None) -> DataFrame:
+    """The newest partition of each stored table: rows, bytes and times."""
+    return daily_status(ledger_stats(ledger, names))
 
 
 def run_retention(ledger: Ledger, names: list[str], as_of: date, keep_days: int = 30) -> int:
     """Drop old partitions of each table; the listing opens no data file."""
     dropped = 0
     for name in names:
-        path, col = ledger.path(name), TABLES[name].partition_col
-        listed = list_partitions(ledger.spark, path, col)
-        old = retention_candidates(listed, as_of, keep_days, col)
-        dropped += drop_partitions(ledger.spark, path, old, col)
+        t = TABLES[name]
+        listed = list_partitions(ledger.spark, ledger.path(name), t.partition_col, t.grain)
+        old = retention_candidates(listed, as_of, keep_days, t.partition_col)
+        dropped += drop_partitions(ledger.spark, ledger.path(name), old, t.partition_col)
     return dropped
 
 
@@ -147,7 +218,8 @@ def drop_newest(ledger: Ledger, names: list[str]) -> int:
     """Drop the newest partition of each table, so that a day can be loaded afresh."""
     dropped = 0
     for name in names:
-        path, col = ledger.path(name), TABLES[name].partition_col
-        last = newest(list_partitions(ledger.spark, path, col), 1, col)
-        dropped += drop_partitions(ledger.spark, path, last, col)
+        t = TABLES[name]
+        listed = list_partitions(ledger.spark, ledger.path(name), t.partition_col, t.grain)
+        last = newest(listed, 1, t.partition_col)
+        dropped += drop_partitions(ledger.spark, ledger.path(name), last, t.partition_col)
     return dropped

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.numbers import money_sum
+from tallybook.operators.budgeting import BALANCE
 from tallybook.operators.profile import (
     compare,
     duplicate_count,
     is_empty,
     missing_categories,
-    null_checks,
     null_profile,
     null_profile_by_partition,
     one_row,
@@ -26,45 +29,51 @@ from tallybook.operators.profile import (
 )
 from tallybook.operators.shape import union_all
 from tallybook.plans.mart import ACCOUNTS, INVESTMENTS, TRANSACTIONS, TRANSACTIONS_AGG
+from tallybook.schemas import TABLES
 from tallybook.sources.pages import BANK_SOURCE
-from tallybook.sources.partitions import PARTITION, newest
-
-# Fixed value: a raw subcategory the budget is not expected to map.
-UNMAPPED = ["TRANSFER_OUT_INVESTMENT_AND_RETIREMENT_FUNDS"]
+from tallybook.sources.partitions import PARTITION
 
 Day = date | Column
 
 
 def _on(df: DataFrame, day: Day) -> DataFrame:
-    return df.where(F.col(PARTITION) == (day if isinstance(day, Column) else F.lit(day)))
+    return df.where(F.col(PARTITION) == _lit(day))
+
+
+def _lit(day: Day) -> Column:
+    return day if isinstance(day, Column) else F.lit(day)
 
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _single(df: DataFrame, day: Day, columns: dict[str, str], total: str | None) -> DataFrame:
-    report = null_profile(_on(df, day), null_checks(columns), total=total)
-    return report.select((day if isinstance(day, Column) else F.lit(day)).alias("partition_0d"), "*")
+def required_nulls(name: str, kinds: dict[str, Column] | None = None) -> dict[str, Column]:
+    """Tests for the columns that a table requires, named after them.
+
+    An empty array counts as missing; a column that several kinds of rows require is tested once.
+    """
+    table, asked = TABLES[name], {}
+    for kind, columns in table.required.items():
+        for column in columns.split():
+            asked.setdefault(column, []).append(kind)
+    tests = {}
+    for column, wanted in asked.items():
+        top = table.schema[column] if column in table.schema.names else None
+        array = top is not None and isinstance(top.dataType, T.ArrayType)
+        missing = is_empty(F.col(column)) if array else F.col(column).isNull()
+        if "" not in wanted:
+            missing = reduce(or_, [kinds[k] for k in wanted]) & missing
+        tests["null_" + column.replace(".", "_")] = missing
+    return tests
+
+
+def _single(df: DataFrame, day: Day, name: str, total: str | None) -> DataFrame:
+    report = null_profile(_on(df, day), required_nulls(name), total=total)
+    return report.select(_lit(day).alias("partition_0d"), "*")
 
 
 def account_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
-    bank = F.col("account_source") == BANK_SOURCE
-    nulls = {
-        "null_items": F.col("item_id").isNull(),
-        "null_plaid_accounts": bank & F.col("account_id").isNull(),
-        "null_account_names": F.col("account_name").isNull(),
-        "null_account_types": F.col("account_type").isNull(),
-        "null_account_subtypes": F.col("account_subtype").isNull(),
-        "null_account_source": F.col("account_source").isNull(),
-        "null_institution_id": bank & F.col("institution_id").isNull(),
-        "null_institution_name": bank & F.col("institution_name").isNull(),
-        "null_balance": F.col("balance.current").isNull(),
-        "null_currency_code": F.col("balance.currency_code").isNull(),
-        "null_plaid_update_type": bank & F.col("update_type").isNull(),
-        "null_plaid_products": bank & is_empty(F.col("products")),
-        "null_plaid_billed_products": bank & is_empty(F.col("billed_products")),
-    }
     return compare(
         df,
         PARTITION,
@@ -73,27 +82,11 @@ def account_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
         counts={"accounts": _rows()},
         distinct={"items": "item_id"},
         sums={"account_value": money_sum(F.col("balance.current"))},
-        nulls=nulls,
+        nulls=required_nulls("financial_accounts", {"bank": F.col("account_source") == BANK_SOURCE}),
     )
 
 
 def holding_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
-    nulls = null_checks(
-        {
-            "null_items": "item_id",
-            "null_accounts": "account_id",
-            "null_institution_prices": "institution_price",
-            "null_institution_price_dates": "institution_price_date",
-            "null_institution_values": "institution_value",
-            "null_currency_codes": "currency_code",
-            "null_quantities": "quantity",
-            "null_security_ids": "security.security_id",
-            "null_security_currency_codes": "security.currency_code",
-            "null_cash_equivalents": "security.is_cash_equivalent",
-            "null_security_names": "security.name",
-            "null_security_types": "security.type",
-        }
-    )
     return compare(
         df,
         PARTITION,
@@ -101,30 +94,16 @@ def holding_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
         d1,
         distinct={"items": "item_id", "accounts": "account_id"},
         sums={"investment_value": money_sum(F.col("institution_value"))},
-        nulls=nulls,
+        nulls=required_nulls("investment_holdings"),
     )
 
 
 def trade_check(df: DataFrame, d0: Day) -> DataFrame:
-    columns = {
-        "null_items": "item_id",
-        "null_accounts": "account_id",
-        "null_investment_transaction_ids": "investment_transaction_id",
-        "null_investment_dates": "investment_date",
-        "null_investment_names": "investment_name",
-        "null_quantities": "quantity",
-        "null_amounts": "amount",
-        "null_prices": "price",
-        "null_fees": "fees",
-        "null_investment_types": "investment_type",
-        "null_investment_subtypes": "investment_subtype",
-        "null_currency_codes": "currency_code",
-    }
-    return _single(df, d0, columns, "total_rows")
+    return _single(df, d0, "investment_transactions", "total_rows")
 
 
 def budget_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
-    names = ("category_raw", "subcategory_raw", "category", "subcategory")
+    names = TABLES["budget_values"].required[""].split()
     change = compare(
         df,
         PARTITION,
@@ -134,139 +113,64 @@ def budget_check(df: DataFrame, d0: Day, d1: Day) -> DataFrame:
         distinct={n: n for n in names},
         sums={"budget_amount": money_sum(F.col("budget_amount"))},
     )
-    checks = null_checks({f"null_{n}": n for n in names})
-    return one_row(change, null_profile_by_partition(df, checks, PARTITION))
+    return one_row(change, null_profile_by_partition(df, required_nulls("budget_values"), PARTITION))
 
 
 def cursor_check(df: DataFrame, d0: Day) -> DataFrame:
-    return _single(df, d0, {"null_items": "item_id", "null_cursors": "next_cursor"}, "total_rows")
+    return _single(df, d0, "cursors", "total_rows")
 
 
 def tombstone_check(df: DataFrame, d0: Day) -> DataFrame:
-    columns = {
-        "null_items": "item_id",
-        "null_account_ids": "account_id",
-        "null_transaction_ids": "transaction_id",
-        "null_dates_removed": "date_removed",
-    }
-    return _single(df, d0, columns, "total_rows")
-
-
-def transaction_check(df: DataFrame, budget: DataFrame, d0: Day) -> DataFrame:
-    columns = {
-        "null_items": "item_id",
-        "null_accounts": "account_id",
-        "null_transaction_ids": "transaction_id",
-        "null_pendings": "is_pending",
-        "null_statuses": "status",
-        "null_transaction_dates": "transaction_date",
-        "null_amounts": "amount",
-        "null_currency_codes": "currency_code",
-        "null_primary_categories": "personal_finance_category.primary",
-        "null_detail_categories": "personal_finance_category.detailed",
-        "null_category_confidences": "personal_finance_category.confidence_level",
-        "null_payment_channel": "payment_channel",
-        "null_merchant_names": "merchant.name",
-    }
+    return _single(df, d0, "removed_transactions", "total_rows")
+
+
+def transaction_check(
+    df: DataFrame, budget: DataFrame, d0: Day, unmapped: list[str] | None = None
+) -> DataFrame:
+    """``unmapped`` lists raw subcategories that the budget isn't expected to map."""
     pairs = _on(df, d0).select(
-        F.col("personal_finance_category.primary").alias("category_raw"),
-        F.col("personal_finance_category.detailed").alias("subcategory_raw"),
+        F.col("category_info.primary").alias("category_raw"),
+        F.col("category_info.detailed").alias("subcategory_raw"),
     )
-    return one_row(_single(df, d0, columns, None), missing_categories(pairs, budget, UNMAPPED))
+    return one_row(_single(df, d0, "transactions", None), missing_categories(pairs, budget, unmapped))
 
 
 def mart_check(mart: DataFrame, accounts: DataFrame, d0: Day, d1: Day, acct_day: Day) -> DataFrame:
     """``mart`` carries the day it was built as ``built_on``: its rows have dates of their own."""
-    kind = F.col("metric_category")
-    not_agg = ~kind.isin([TRANSACTIONS_AGG])
-    agg = kind == TRANSACTIONS_AGG
-    tx = kind == TRANSACTIONS
-    both = kind.isin([TRANSACTIONS, TRANSACTIONS_AGG])
-    held = kind == INVESTMENTS
-    nulls: dict[str, Column] = {}
-
-    def check(test: Column | None, **columns: str) -> None:
-        for name, column in columns.items():
-            missing = F.col(column).isNull()
-            nulls[f"null_{name}"] = missing if test is None else missing & test
-
-    check(
-        None,
-        partition_dates=PARTITION,
-        metric_categories="metric_category",
-        transaction_dates="transaction_date",
-        transaction_months="transaction_month",
-        actual_amounts="actual_amount",
-    )
-    check(
-        not_agg,
-        item_ids="item_id",
-        account_names="account_name",
-        account_subnames="account_subname",
-        account_types="account_type",
-        currency_codes="currency_code",
-    )
-    check(agg, budget_amounts="budget_amount", transaction_counts="transactions_count")
-    check(
-        tx,
-        transaction_types="transaction_type",
-        category_raws="category_raw",
-        subcategory_raws="subcategory_raw",
-        category_updated="category_updated",
-        subcategory_updated="subcategory_updated",
-        payment_channels="payment_channel",
-        merchant_names="merchant_name",
-        name_raw="name_raw",
-    )
-    check(
-        both,
-        categories="category",
-        final_categories="final_category",
-        full_categories="full_category",
-    )
-    check(both & (F.col("category") != "Balance"), subcategories="subcategory")
-    check(~kind.isin([TRANSACTIONS_AGG, ACCOUNTS]), account_ids="account_id")
-    check(
-        held,
-        institution_prices="institution_price",
-        quantities="quantity",
-        security_types="security_type",
-        security_names="security_name",
+    kind, amount = F.col("metric_category"), F.col("actual_amount")
+    kinds = {k: kind == k for k in (ACCOUNTS, INVESTMENTS, TRANSACTIONS, TRANSACTIONS_AGG)}
+    kinds["LINE"] = kinds[TRANSACTIONS_AGG] & (F.col("category") != BALANCE)
+    change = compare(
+        mart,
+        "built_on",
+        d0,
+        d1,
+        distinct={"metric_categories": "metric_category", "items": "item_id", "accounts": "account_id"},
+        sums={
+            "account_summed_value": money_sum(F.when(kind == ACCOUNTS, amount).otherwise(0.0)),
+            "actual_amount": money_sum(amount),
+        },
+        nulls=required_nulls("metric_mart", kinds),
     )
-    check(kind.isin([TRANSACTIONS, INVESTMENTS]), transaction_ids="transaction_id")
-
-    amount = F.col("actual_amount")
-    distinct = {
-        "metric_categories": "metric_category",
-        "items": "item_id",
-        "accounts": "account_id",
-    }
-    sums = {
-        "account_summed_value": money_sum(F.when(kind == ACCOUNTS, amount).otherwise(0.0)),
-        "actual_amount": money_sum(amount),
-    }
-    change = compare(mart, "built_on", d0, d1, distinct=distinct, sums=sums, nulls=nulls)
-    new = mart.where(F.col("built_on") == (d0 if isinstance(d0, Column) else F.lit(d0)))
+    new = mart.where(F.col("built_on") == _lit(d0))
     dated = F.col("transaction_date").isNotNull()
     per_date = duplicate_count(
         new, ["transaction_date", "transaction_id"], dated & F.col("transaction_id").isNotNull(),
-        "null_duplicate_transaction_ids_per_date",
+        "null_repeated_transaction_ids",
     )
     per_account = duplicate_count(
         new, ["transaction_date", "item_id", "account_id"],
-        dated & F.col("item_id").isNotNull() & (kind == ACCOUNTS),
-        "null_duplicate_account_ids_per_date",
+        dated & F.col("item_id").isNotNull() & (kind == ACCOUNTS), "null_repeated_account_ids",
     )
-    day = acct_day if isinstance(acct_day, Column) else F.lit(acct_day)
     current = F.col("balance.current")
     flipped = F.when(F.col("account_type") == "credit", current * -1).otherwise(current)
-    built = d0 if isinstance(d0, Column) else F.lit(d0)
     totals = reconcile(
-        new.where((kind == ACCOUNTS) & (F.col(PARTITION) == built)).select(amount.alias("amount")),
-        accounts.where(F.col(PARTITION) == day).select(flipped.alias("amount")),
+        new.where((kind == ACCOUNTS) & (F.col(PARTITION) == _lit(d0))).select(amount.alias("amount")),
+        _on(accounts, acct_day).select(flipped.alias("amount")),
         "account_value",
     ).withColumnRenamed("total_account_value_source", "total_account_value_fin_accts")
-    return one_row(change, per_date, per_account, totals).withColumn("partition_fin_accts", day)
+    report = one_row(change, per_date, per_account, totals)
+    return report.withColumn("partition_fin_accts", _lit(acct_day))
 
 
 @dataclass(frozen=True)
@@ -295,49 +199,61 @@ CHECKS = {
 }
 
 
-def newest_days(df: DataFrame, n: int, col: str = PARTITION) -> tuple[Column, ...]:
-    """The ``n`` newest partitions as scalar subqueries; fails when fewer exist."""
-    days = newest(df, n, col)
-    return tuple(days.where(F.col("age") == i).select(col).scalar() for i in range(n))
+def stored_days(tables: dict[str, DataFrame]) -> dict[str, tuple[date, ...]]:
+    """Partitions of each table, the newest first, from one job over all of them.
+
+    A table has one row per partition here, and reports get their days as literals.
+    """
+    found = union_all(
+        *[
+            df.select(F.lit(name).alias("name"), F.col("built_on" if name == "mart" else PARTITION).alias("day"))
+            .where("day IS NOT NULL")
+            .distinct()
+            for name, df in tables.items()
+        ]
+    )
+    days: dict[str, list[date]] = {name: [] for name in tables}
+    for row in found.collect():
+        days[row["name"]].append(row["day"])
+    return {name: tuple(sorted(found, reverse=True)) for name, found in days.items()}
 
 
 def quality_report(
-    tables: dict[str, DataFrame], days: dict[str, tuple[Day, ...]] | None = None
+    tables: dict[str, DataFrame],
+    days: dict[str, tuple[Day, ...]] | None = None,
+    unmapped: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """One-row reports per check, for the tables that are given.
 
-    ``days`` fixes the partitions of a check; otherwise each uses its newest ones.
+    ``days`` fixes the partitions of all checks, the newest first; without it one job finds them.
     """
-    days = days or {}
+    days = stored_days(tables) if days is None else days
     out: dict[str, DataFrame] = {}
 
-    def pick(name: str, n: int, col: str = PARTITION) -> tuple[Day, ...]:
-        given = days.get(name)
-        if given is None:
-            return newest_days(tables[name], n, col)
-        if len(given) < n:
+    def pick(name: str, n: int) -> tuple[Day, ...]:
+        if len(days[name]) < n:
             raise ValueError(f"fewer than {n} partitions for the check of {name}")
-        return given
+        return days[name][:n]
 
     if "accounts" in tables:
-        out["accounts"] = account_check(tables["accounts"], *pick("accounts", 2)[:2])
+        out["accounts"] = account_check(tables["accounts"], *pick("accounts", 2))
     if "holdings" in tables:
-        out["holdings"] = holding_check(tables["holdings"], *pick("holdings", 2)[:2])
+        out["holdings"] = holding_check(tables["holdings"], *pick("holdings", 2))
     if "trades" in tables:
-        out["trades"] = trade_check(tables["trades"], pick("trades", 1)[0])
+        out["trades"] = trade_check(tables["trades"], *pick("trades", 1))
     if "budget" in tables:
-        out["budget"] = budget_check(tables["budget"], *pick("budget", 2)[:2])
+        out["budget"] = budget_check(tables["budget"], *pick("budget", 2))
     if "tombstones" in tables:
-        out["tombstones"] = tombstone_check(tables["tombstones"], pick("tombstones", 1)[0])
+        out["tombstones"] = tombstone_check(tables["tombstones"], *pick("tombstones", 1))
     if "transactions" in tables:
         out["transactions"] = transaction_check(
-            tables["transactions"], tables["budget"], pick("transactions", 1)[0]
+            tables["transactions"], tables["budget"], *pick("transactions", 1), unmapped
         )
     if "cursors" in tables:
-        out["cursors"] = cursor_check(tables["cursors"], pick("cursors", 1)[0])
+        out["cursors"] = cursor_check(tables["cursors"], *pick("cursors", 1))
     if "mart" in tables:
         out["mart"] = mart_check(
-            tables["mart"], tables["accounts"], *pick("mart", 2, "built_on")[:2], pick("accounts", 2)[0]
+            tables["mart"], tables["accounts"], *pick("mart", 2), *pick("accounts", 1)
         )
     return out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
@@ -95,7 +95,7 @@ TRANSACTIONS = struct(
     ("authorized_datetime", "clock"),
     ("amount", "double"),
     ("currency_code unofficial_currency_code", "string"),
-    ("personal_finance_category", CATEGORY),
+    ("category_info", CATEGORY),
     ("payment_channel", "string"),
     ("merchant", MERCHANT),
     ("counterparties", T.ArrayType(COUNTERPARTY)),
@@ -103,6 +103,8 @@ TRANSACTIONS = struct(
     ("check_number", "string"),
     ("payment_meta", PAYMENT_META),
     ("transaction_code", "string"),
+    # where in the feed a version stood, so that versions have a full order
+    ("feed_page feed_place", "bigint"),
 )
 TOMBSTONES = struct(("item_id account_id transaction_id", "string"), ("date_removed", "date"))
 HOLDINGS = struct(
@@ -148,28 +150,83 @@ TABLE_STATS = struct(
 
 @dataclass(frozen=True)
 class Table:
-    """A table family: one logical table, partitioned by day, month or hour."""
+    """A table family: one logical table, partitioned by day, month or hour.
+
+    ``required`` names the columns that must not be NULL, by kind of row: "" stands for every
+    row, other kinds are tests that the checks define.
+    """
 
     name: str
     schema: T.StructType
     grain: str | None = "day"
     comment: str = ""
     partition_col: str = "partition_date"
+    required: dict[str, str] = field(default_factory=dict)
 
 
 TABLES = {
     t.name: t
     for t in (
-        Table("budget_values", BUDGET_VALUES, "month", "category map and monthly budget"),
-        Table("financial_accounts", ACCOUNTS, "day", "account balances per day"),
-        Table("cursors", CURSORS, "day", "change-feed cursor per item"),
+        Table(
+            "budget_values", BUDGET_VALUES, "month", "category map and monthly budget",
+            required={"": "category_raw subcategory_raw category subcategory"},
+        ),
+        Table(
+            "financial_accounts", ACCOUNTS, "day", "account balances per day",
+            required={
+                "": "item_id account_name account_type account_subtype account_source balance.current "
+                "balance.currency_code",
+                "bank": "account_id institution_id institution_name update_type products billed_products",
+            },
+        ),
+        Table(
+            "cursors", CURSORS, "day", "change-feed cursor per item",
+            required={"": "item_id next_cursor"},
+        ),
         Table("temp_cursors", CURSORS, None, "cursors of the running job"),
-        Table("transactions", TRANSACTIONS, "day", "added and modified transactions"),
-        Table("removed_transactions", TOMBSTONES, "day", "removed transactions"),
-        Table("investment_holdings", HOLDINGS, "day", "positions per day"),
-        Table("investment_transactions", TRADES, "day", "investment trades"),
+        Table(
+            "transactions", TRANSACTIONS, "day", "added and modified transactions",
+            required={
+                "": "item_id account_id transaction_id is_pending status transaction_date amount currency_code "
+                "category_info.primary category_info.detailed category_info.confidence_level payment_channel "
+                "merchant.name"
+            },
+        ),
+        Table(
+            "removed_transactions", TOMBSTONES, "day", "removed transactions",
+            required={"": "item_id account_id transaction_id date_removed"},
+        ),
+        Table(
+            "investment_holdings", HOLDINGS, "day", "positions per day",
+            required={
+                "": "item_id account_id institution_price institution_price_date institution_value quantity "
+                "currency_code security.security_id security.currency_code security.is_cash_equivalent "
+                "security.name security.type"
+            },
+        ),
+        Table(
+            "investment_transactions", TRADES, "day", "investment trades",
+            required={
+                "": "item_id account_id investment_transaction_id investment_date investment_name quantity amount "
+                "price fees investment_type investment_subtype currency_code"
+            },
+        ),
         # a mart row has a date of its own, so the build day is the partition
-        Table("metric_mart", MART, "day", "one wide table of all metrics", "built_on"),
+        Table(
+            "metric_mart", MART, "day", "one wide table of all metrics", "built_on",
+            required={
+                "": "partition_date metric_category transaction_date transaction_month actual_amount",
+                "ACCOUNTS": "item_id account_name account_subname account_type currency_code",
+                "INVESTMENTS": "item_id account_id account_name account_subname account_type currency_code "
+                "transaction_id institution_price quantity security_name security_type",
+                "TRANSACTIONS": "item_id account_id account_name account_subname account_type currency_code "
+                "transaction_id transaction_type payment_channel merchant_name name_raw category_raw "
+                "subcategory_raw category_updated subcategory_updated category subcategory final_category "
+                "full_category",
+                "TRANSACTIONS_AGG": "budget_amount transactions_count category final_category full_category",
+                "LINE": "subcategory",
+            },
+        ),
     )
 }
 
@@ -206,7 +263,7 @@ _RAW_TRANSACTION = struct(
     ("payment_meta", PAYMENT_META),
     ("pending", "boolean"),
     ("pending_transaction_id", "string"),
-    ("personal_finance_category", CATEGORY),
+    ("category_info", CATEGORY),
     ("transaction_code transaction_id unofficial_currency_code website", "string"),
 )
 _RAW_ACCOUNT = struct(
@@ -260,6 +317,7 @@ HOLDINGS_PAGE = struct(
 )
 TRADES_PAGE = struct(
     ("item", _ITEM),
+    ("page", "bigint"),
     ("investment_transactions", T.ArrayType(_RAW_TRADE)),
     ("securities", T.ArrayType(_RAW_SECURITY)),
     ("total_investment_transactions", "bigint"),

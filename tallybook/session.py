@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # sides placed by one of their join keys needn't be shuffled by all of them again
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -22,7 +22,7 @@ from tallybook.sources.partitions import (
     scan,
     scan_sharded,
     since_year_start,
-    table_files,
+    stored_files,
     table_stats,
     window_filter,
 )
@@ -71,7 +71,7 @@ __all__ = [
     "since_year_start",
     "sql",
     "sql_file",
-    "table_files",
+    "stored_files",
     "table_stats",
     "value_balances",
     "window_filter",

@@ -13,7 +13,7 @@ from tallybook.operators.shape import conform
 from tallybook.schemas import ACCOUNTS, HOLDINGS, SECURITY, TOMBSTONES, TRADES, TRANSACTIONS
 
 # Fixed values of the account source and the transaction status.
-BANK_SOURCE = "PLAID"
+BANK_SOURCE = "BANK"
 ADDED = "ADDED"
 MODIFIED = "MODIFIED"
 
@@ -72,7 +72,8 @@ def normalize_transactions(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
         )
 
     feed = F.concat(tagged("added", ADDED), tagged("modified", MODIFIED))
-    rows = raw.select("item_id", *keep, F.explode(feed).alias("f"))
+    page = F.col("page") if "page" in raw.columns else F.lit(None)
+    rows = raw.select("item_id", page.alias("_page"), *keep, F.posexplode(feed).alias("_place", "f"))
     t = F.col("f.t")
     schema = T.StructType([*TRANSACTIONS.fields, *[raw.schema[k] for k in keep]])
 
@@ -95,8 +96,8 @@ def normalize_transactions(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
             t["amount"].alias("amount"),
             t["iso_currency_code"].alias("currency_code"),
             t["unofficial_currency_code"].alias("unofficial_currency_code"),
-            part("personal_finance_category", "primary", "detailed", "confidence_level").alias(
-                "personal_finance_category"
+            part("category_info", "primary", "detailed", "confidence_level").alias(
+                "category_info"
             ),
             t["payment_channel"].alias("payment_channel"),
             F.struct(
@@ -114,6 +115,8 @@ def normalize_transactions(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
             t["check_number"].alias("check_number"),
             t["payment_meta"].alias("payment_meta"),
             t["transaction_code"].alias("transaction_code"),
+            F.col("_page").alias("feed_page"),
+            F.col("_place").alias("feed_place"),
             *keep,
         ),
         schema,
@@ -181,13 +184,16 @@ def _null_security() -> Column:
 def securities_of(raw: DataFrame) -> DataFrame:
     """(item_id, security_id, security) of landed pages, one row per pair.
 
-    A page repeats the dictionary of its item, so pairs are reduced before the shuffle.
+    A page repeats the dictionary of its item, so pairs are reduced before the shuffle. Where
+    pages differ, the last page counts, and on it the last place.
     """
-    rows = raw.select(F.col("item.item_id").alias("item_id"), F.explode("securities").alias("s"))
-    security = security_struct(F.col("s"))
-    ids = ["item_id", "security_id"]
-    keyed = rows.select("item_id", F.col("s.security_id").alias("security_id"), security.alias("security"))
-    return keyed.where(F.col("security_id").isNotNull()).dropDuplicates(ids)
+    page = F.col("page") if "page" in raw.columns else F.lit(0)
+    item = F.col("item.item_id").alias("item_id")
+    rows = raw.select(item, page.alias("page"), F.posexplode("securities").alias("place", "s"))
+    rows = rows.where(F.col("s.security_id").isNotNull())
+    newest = F.max_by("s", F.struct("page", "place", F.to_json("s"))).alias("s")
+    last = rows.groupBy("item_id", F.col("s.security_id").alias("security_id")).agg(newest)
+    return last.select("item_id", "security_id", security_struct(F.col("s")).alias("security"))
 
 
 def attach_security(
@@ -222,11 +228,16 @@ def normalize_holdings(raw: DataFrame, unknown: str = "error") -> DataFrame:
     """Positions with their security, which stands on the same page: no join is needed."""
 
     def position(h: Column) -> Column:
-        same = F.filter("securities", lambda s: s["security_id"] == h["security_id"])
-        return F.struct(h.alias("h"), F.try_element_at(same, F.lit(-1)).alias("s"))
+        # the ids are made once a page; a lookup compares ids only and evaluates nothing
+        at = F.array_position("ids", h["security_id"]).cast("int")
+        return F.struct(h.alias("h"), F.try_element_at("newest", F.nullif(at, F.lit(0))).alias("s"))
 
     h, s = F.col("p.h"), F.col("p.s")
-    found = raw.select(
+    newest = F.reverse("securities")  # a later entry of one id counts
+    pages = raw.select("item", "holdings", newest.alias("newest")).withColumn(
+        "ids", F.transform("newest", lambda s: s["security_id"])
+    )
+    found = pages.select(
         F.col("item.item_id").alias("item_id"), F.explode(F.transform("holdings", position)).alias("p")
     )
     rows = found.select(
@@ -279,10 +290,23 @@ def _typed(df: DataFrame, schema: T.StructType, unknown: str) -> DataFrame:
     return conform(df, schema)
 
 
+def once(pages: DataFrame, key: list[str], order: str) -> DataFrame:
+    """Each page of a key once, however often it landed; the copy with the largest text counts."""
+    copy = F.struct(F.to_json(F.struct("*")).alias("text"), F.struct("*").alias("page"))
+    first = pages.select(*key, order, copy.alias("copy")).groupBy(*key, order).agg(
+        F.max_by("copy.page", "copy.text").alias("_kept")
+    )
+    return first.select("_kept.*")
+
+
 def merge_pages(
-    pages: DataFrame, items: str, key: list[str], total: str | None = None
+    pages: DataFrame, items: str, key: list[str], total: str | None = None, order: str = "page"
 ) -> tuple[DataFrame, DataFrame]:
-    """Elements of all pages, and per key how many arrived of how many announced."""
+    """Elements of all pages, and per key how many arrived of how many announced.
+
+    A page that landed twice counts once.
+    """
+    pages = once(pages, key, order)
     rows = pages.select(*key, F.explode(items).alias("element"))
     received = F.sum(F.size(F.coalesce(F.col(items), F.array()))).alias("received")
     expected = (F.max(total) if total else F.lit(None).cast("bigint")).alias("expected")
@@ -293,10 +317,20 @@ def merge_pages(
     return rows, done.withColumn("complete", complete)
 
 
-def feed_complete(pages: DataFrame, key: str = "item_id", order: str = "page") -> DataFrame:
-    """Per item: pages landed, and whether the last one says that no more follow."""
-    last = F.max_by("has_more", order)
-    return pages.groupBy(key).agg(F.count(F.lit(1)).alias("pages"), (~last).alias("complete"))
+def feed_complete(
+    pages: DataFrame, key: str = "item_id", order: str = "page", first: int | None = 1
+) -> DataFrame:
+    """Per item: pages landed, and whether none is missing and the last says that no more follow.
+
+    Pages are numbered from ``first`` on without gaps; None takes the smallest that landed.
+    """
+    distinct = F.count_distinct(order)
+    begin = F.min(order) if first is None else F.lit(first)
+    whole = (F.max(order) - begin + 1 == distinct) & (F.min(order) >= begin)
+    # of copies of the last page one that announces more is believed
+    more = F.max(F.struct(F.col(order), F.col("has_more")))["has_more"]
+    complete = F.coalesce(whole & ~more, F.lit(False)).alias("complete")
+    return pages.groupBy(key).agg(distinct.alias("pages"), complete)
 
 
 def with_product(items: DataFrame, products: list[str], col: str = "products") -> DataFrame:

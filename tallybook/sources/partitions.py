@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,20 @@ def with_partition(
     return T.StructType([*schema.fields, T.StructField(col, kind)])
 
 
+def at_grain(value, grain: str | None):
+    """A date, time or column cut to the start of its day, month or hour; None stays None."""
+    if value is None or grain is None:
+        return value
+    if isinstance(value, Column):
+        if grain == "month":
+            return F.trunc(value, "MM")
+        return value.cast("date") if grain == "day" else F.date_trunc("HOUR", value).cast("timestamp_ntz")
+    if grain in ("day", "month"):
+        day = value.date() if isinstance(value, datetime) else value
+        return day.replace(day=1) if grain == "month" else day
+    return value.replace(minute=0, second=0, microsecond=0)
+
+
 def scan(
     spark: SparkSession,
     root: str,
@@ -32,17 +47,50 @@ def scan(
     col: str = PARTITION,
 ) -> DataFrame:
     """All partitions of a table, or one; one partition is pruned at listing time."""
+    partition = at_grain(partition, grain)
     df = spark.read.schema(with_partition(schema, grain, col)).parquet(root)
     return df if partition is None else df.where(F.col(col) == F.lit(partition))
 
 
+def shards(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    grain: str = "day",
+    start: str | None = None,
+    end: str | None = None,
+) -> list[str]:
+    """Folders ``name_SUFFIX`` with a suffix in ``[start, end)``, in order, from one listing.
+
+    Suffixes of one grain sort as their dates do.
+    """
+    digits = r"\d{8}T\d{2}" if grain == "hour_t" else rf"\d{{{GRAIN_LENGTHS[grain]}}}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    found = [re.fullmatch(f"{re.escape(name)}_({digits})", s.getPath().getName()) for s in listed]
+    kept = [m for m in found if m and (not start or m[1] >= start) and (not end or m[1] < end)]
+    return [f"{root}/{m[0]}" for m in sorted(kept, key=lambda m: m[1])]
+
+
 def scan_sharded(
-    spark: SparkSession, root: str, name: str, schema: T.StructType, grain: str = "day"
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: T.StructType,
+    grain: str = "day",
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """Folders ``name_YYYYMMDD`` read as one table, the suffix as ``partition_date``."""
+    """Folders ``name_YYYYMMDD`` read as one table, the suffix as ``partition_date``.
+
+    Only folders with a suffix in ``[start, end)`` are read.
+    """
+    folders = shards(spark, root, name, grain, start, end)
+    if not folders:
+        return spark.createDataFrame([], with_partition(schema, grain))
     digits = r"\d{8}T\d{2}" if grain == "hour_t" else rf"\d{{{GRAIN_LENGTHS[grain]}}}"
-    suffix = F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}_({digits})/", 1)
-    df = spark.read.schema(schema).parquet(f"{root}/{name}_*")
+    suffix = F.regexp_extract(F.col("_metadata.file_path"), rf"/{re.escape(name)}_({digits})/", 1)
+    df = spark.read.schema(schema).parquet(*folders)
     return df.select("*", parse_suffix(suffix, grain).alias(PARTITION))
 
 
@@ -152,37 +200,41 @@ def since_year_start(df: DataFrame, col: str, as_of: date | Column, years: int =
     return df.where(F.col(col) >= F.trunc(F.add_months(today, -12 * years), "YEAR"))
 
 
-def table_files(df: DataFrame, table_id: str | Column) -> DataFrame:
-    """One row per stored row, with its table and file but no column of the table."""
-    meta = F.col("_metadata")
-    table = table_id if isinstance(table_id, Column) else F.lit(table_id)
-    return df.select(
-        table.alias("table_id"),
-        meta["file_path"].alias("file"),
-        meta["file_size"].alias("size"),
-        meta["file_modification_time"].alias("modified"),
+def stored_files(spark: SparkSession, root: str) -> DataFrame:
+    """``file, size, modified`` of a stored table, from a listing; no content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return listed.option("pathGlobFilter", "*.parquet").load(root).select(
+        F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
     )
 
 
-def table_stats(files: DataFrame, dataset_id: str) -> DataFrame:
-    """Row count, bytes and file times per table, from the rows of ``table_files``.
+def table_stats(
+    rows: DataFrame, files: DataFrame, dataset_id: str, table_id: str | Column, by: str | None = None
+) -> DataFrame:
+    """Row count, bytes and file times of a table, or of each of its partitions.
 
-    Rows are counted per file in the scan's own tasks; the scan reads footers only.
-    Several tables may be united first and share one aggregate.
+    Rows are counted without reading a column, ``by`` aside; bytes and times come from
+    ``stored_files``. ``table_id`` may use the partition column ``by``.
     """
-    per_file = files.groupBy("table_id", "file", "size", "modified").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    return per_file.groupBy("table_id").agg(
+    table = table_id if isinstance(table_id, Column) else F.lit(table_id)
+    keys = [by] if by else []
+    if by:
+        found = F.regexp_extract("file", f"/{by}=([^/]+)/", 1)
+        files = files.withColumn(by, F.url_decode(found).cast(rows.schema[by].dataType))
+    sizes = files.groupBy(*keys).agg(
         F.unix_millis(F.min("modified")).alias("creation_time"),
         F.unix_millis(F.max("modified")).alias("last_modified_time"),
-        F.sum("rows").alias("row_count"),
         F.sum("size").alias("size_bytes"),
-    ).select(
+    )
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    both = sizes.unionByName(counts, allowMissingColumns=True).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ("creation_time", "last_modified_time", "row_count", "size_bytes")]
+    )
+    return both.select(
         F.lit(dataset_id).alias("dataset_id"),
-        "table_id",
+        table.alias("table_id"),
         "creation_time",
         "last_modified_time",
-        "row_count",
+        F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
         "size_bytes",
     )

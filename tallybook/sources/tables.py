@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +11,14 @@ from pyspark.sql import types as T
 
 from tallybook.operators.shape import conform
 from tallybook.schemas import Table
-from tallybook.sources.partitions import PARTITION, scan, with_partition
+from tallybook.sources.partitions import PARTITION, at_grain, scan, with_partition
 
 DISPOSITIONS = ("TRUNCATE", "APPEND", "EMPTY")
+# Fixed value: the folder of rows without a partition.
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
+def table_exists(spark: SparkSession, root: str) -> bool:
     path = _path(spark, root)
     return _fs(spark, path).exists(path)
 
@@ -28,6 +31,16 @@ def _fs(spark: SparkSession, path):
     return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def partition_folder(value: date | datetime, col: str = PARTITION) -> str:
+    """Name of a partition's folder, as Spark's writer spells it."""
+    return f"{col}={quote(str(value), safe=' ')}"
+
+
+def _check(disposition: str) -> None:
+    if disposition not in DISPOSITIONS:
+        raise ValueError(f"disposition must be one of {DISPOSITIONS}, not {disposition!r}")
+
+
 def write(
     df: DataFrame,
     root: str,
@@ -39,17 +52,20 @@ def write(
 ) -> None:
     """Load ``df`` into a table.
 
-    ``partition`` stamps every row; without it the frame's own partition column is
-    used.  TRUNCATE replaces the partitions being written and no others, so a rerun of
-    a load leaves the same table.  EMPTY fails if a target partition holds rows.
+    With ``partition`` all rows go there: TRUNCATE replaces that partition, also by none, and
+    leaves it standing.  Without it the frame's own partition column decides, and TRUNCATE
+    replaces the partitions that occur in it and no others.  A value within a month or an hour
+    stands for the whole of it.  EMPTY fails if a target partition holds rows.
     """
-    if disposition not in DISPOSITIONS:
-        raise ValueError(f"disposition must be one of {DISPOSITIONS}, not {disposition!r}")
+    _check(disposition)
     spark = df.sparkSession
+    partition = at_grain(partition, grain)
     if partition is not None:
         df = df.withColumn(col, F.lit(partition))
     out = conform(df, with_partition(schema, grain, col))
-    if disposition == "EMPTY" and _exists(spark, root):
+    if grain is not None and partition is None:
+        out = out.withColumn(col, at_grain(F.col(col), grain))
+    if disposition == "EMPTY" and table_exists(spark, root):
         target = scan(spark, root, schema, grain, partition, col)
         if partition is None and grain is not None:
             target = target.join(out.select(col).distinct(), col, "left_semi")
@@ -58,24 +74,33 @@ def write(
     mode = "overwrite" if disposition == "TRUNCATE" else "append"
     if grain is None:
         out.write.mode(mode).parquet(root)
-        return
-    if partition is None:
+    elif partition is not None:
+        out.drop(col).write.mode(mode).parquet(f"{root}/{partition_folder(partition, col)}")
+    else:
         # few files per partition, and a large day still spreads over many tasks
         out = out.hint("rebalance", F.col(col))
-    (
-        out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(col)
-        .parquet(root)
-    )
+        writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(col).parquet(root)
 
 
 def create_empty(
-    spark: SparkSession, root: str, schema: T.StructType, grain: str | None = "day"
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    grain: str | None = "day",
+    partition: date | datetime | None = None,
+    disposition: str = "TRUNCATE",
+    col: str = PARTITION,
 ) -> None:
-    """A table with a schema and no rows; an existing one is replaced."""
-    full = with_partition(schema, grain)
-    spark.createDataFrame([], full).write.mode("overwrite").parquet(root)
+    """A table, or one partition of it, with a schema and no rows.
+
+    TRUNCATE empties what is there, APPEND keeps it, EMPTY fails if it holds rows.  Other
+    partitions are never touched.
+    """
+    if (grain is None) != (partition is None):
+        raise ValueError("a partitioned table needs the partition to create, another must not have one")
+    none = spark.createDataFrame([], with_partition(schema, grain, col))
+    write(none, root, schema, disposition, partition, grain, col)
 
 
 def copy(
@@ -115,46 +140,66 @@ def create_as(
 
 
 def register(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Put a stored table into the session catalog with its comment."""
+    """Put a stored table into the session catalog with its comment.
+
+    The entry is made under another name and takes the place of an older one at the end.
+    """
     columns = with_partition(table.schema, table.grain, table.partition_col)
     spec = f"PARTITIONED BY ({table.partition_col})" if table.grain else ""
     body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    new = f"{table.name}__new"
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    spark.sql(f"DROP TABLE IF EXISTS `{new}`")
     spark.sql(
-        f"CREATE TABLE `{table.name}` ({body}) USING parquet {spec} "
-        f"LOCATION '{root}' COMMENT '{table.comment}'"
+        f"CREATE TABLE `{new}` ({body}) USING parquet {spec} LOCATION {text(root)} COMMENT {text(table.comment)}"
     )
     if table.grain:
-        spark.sql(f"MSCK REPAIR TABLE `{table.name}`")
+        spark.sql(f"MSCK REPAIR TABLE `{new}`")
+    spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    spark.sql(f"ALTER TABLE `{new}` RENAME TO `{table.name}`")
     return spark.table(table.name)
 
 
-def partition_days(spark: SparkSession, root: str, col: str = PARTITION) -> list[date]:
-    """Days of a stored table, oldest first, from one folder listing.
+def partition_days(
+    spark: SparkSession, root: str, col: str = PARTITION, grain: str = "day"
+) -> list[date] | list[datetime]:
+    """Partitions of a stored table, oldest first, from one folder listing.
 
-    No file is opened, and a day given back as a literal prunes a scan before it starts.
+    No file is opened, and a value given back as a literal prunes a scan before it starts.
+    Empty partitions are there too; rows without a partition are in none.
     """
     path = _path(spark, root)
     names = [s.getPath().getName() for s in _fs(spark, path).listStatus(path)]
-    return sorted(date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}="))
+    values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}=")]
+    kind = date if grain in ("day", "month") else datetime
+    return sorted(kind.fromisoformat(v) for v in values if v != NO_PARTITION)
 
 
-def list_partitions(spark: SparkSession, root: str, col: str = PARTITION) -> DataFrame:
-    days = [(d,) for d in partition_days(spark, root, col)]
-    return spark.createDataFrame(days, f"{col} DATE").orderBy(col)
+def list_partitions(
+    spark: SparkSession, root: str, col: str = PARTITION, grain: str = "day"
+) -> DataFrame:
+    kind = "DATE" if grain in ("day", "month") else "TIMESTAMP_NTZ"
+    days = [(d,) for d in partition_days(spark, root, col, grain)]
+    return spark.createDataFrame(days, f"{col} {kind}").orderBy(col)
 
 
 def drop_partitions(
     spark: SparkSession, root: str, candidates: DataFrame, col: str = PARTITION
 ) -> int:
-    """Delete the folders of the given partitions; returns how many were there.
+    """Delete the folders of the given partitions; returns how many there were.
 
-    The list has one row per partition of one table, so it is read on the driver.
+    Fails on a partition that isn't there.  The list has one row per partition of one table, so
+    it is read on the driver.
     """
     dropped = 0
     for row in candidates.select(col).distinct().toLocalIterator():
-        path = _path(spark, f"{root}/{col}={row[0]}")
-        dropped += bool(_fs(spark, path).delete(path, True))
+        path = _path(spark, f"{root}/{partition_folder(row[0], col)}")
+        if not _fs(spark, path).delete(path, True):
+            raise FileNotFoundError(f"{root} has no partition {row[0]}")
+        dropped += 1
     return dropped
 
 

@@ -13,23 +13,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybook.operators.dedup import current_view
+from tallybook.operators.dedup import current_view, version_order
 from tallybook.operators.shape import conform
 from tallybook.schemas import SYNC_PAGE, TOMBSTONES, TRANSACTIONS, struct
 from tallybook.sources.pages import normalize_tombstones, normalize_transactions
 
 BATCH = "batch_id"
+#: Files of a micro-batch: a backlog is worked off in several, each of a size that can be persisted.
+MAX_FILES = 10_000
 _LANDED = T.StructType([*SYNC_PAGE.fields, T.StructField("partition_date", T.DateType())])
 _VERSION = T.StructType([*TRANSACTIONS.fields, T.StructField("partition_date", T.DateType())])
 _CURSOR = struct(("item_id", "string"), ("page", "bigint"), ("next_cursor", "string"))
 
 
-def read_feed(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
+def read_feed(spark: SparkSession, src: str, max_files: int = MAX_FILES) -> DataFrame:
     """Pages as a stream; ``partition_date`` is the landing day, in the page or its folder."""
-    reader = spark.readStream.schema(_LANDED)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(src)
+    return spark.readStream.schema(_LANDED).option("maxFilesPerTrigger", max_files).json(src)
 
 
 def apply_batch(pages: DataFrame, batch_id: int, dst: str) -> None:
@@ -50,7 +49,7 @@ def _put(df: DataFrame, dst: str, name: str, batch_id: int) -> None:
 
 
 def start_feed(
-    spark: SparkSession, src: str, dst: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, src: str, dst: str, checkpoint: str, max_files: int = MAX_FILES
 ) -> StreamingQuery:
     """Read what has landed, then stop; run it again for what landed since."""
     return (
@@ -70,7 +69,8 @@ def _read(spark: SparkSession, dst: str, name: str, schema: T.StructType) -> Dat
 def current(spark: SparkSession, dst: str) -> DataFrame:
     """Live transactions after all batches so far."""
     versions = _read(spark, dst, "versions", _VERSION)
-    return current_view(versions, _read(spark, dst, "tombstones", TOMBSTONES)).drop(BATCH)
+    removed = _read(spark, dst, "tombstones", TOMBSTONES)
+    return current_view(versions, removed, order=version_order(batch=True)).drop(BATCH)
 
 
 def cursors(spark: SparkSession, dst: str) -> DataFrame:

@@ -34,7 +34,7 @@ def test_accounts(spark, tmp_path):
     got = {r.account_id: r for r in P.normalize_accounts(pages, names).collect()}
     assert set(got) == {"a1", "a2"}
     a = got["a1"]
-    assert (a.item_id, a.account_source, a.institution_name, a.balance.limit) == ("i", "PLAID", "Bank", 9.0)
+    assert (a.item_id, a.account_source, a.institution_name, a.balance.limit) == ("i", "BANK", "Bank", 9.0)
     assert a.persistent_account_id is None and got["a2"].persistent_account_id == "p2"
     assert a.consent_expiration_time == datetime(2025, 1, 2, 3, 4, 5)
     assert a.products == ["x"] and a.billed_products == []
@@ -44,7 +44,7 @@ def test_accounts(spark, tmp_path):
 def tx(i, **more):
     base = {"account_id": "a", "transaction_id": f"t{i}", "amount": 1.5, "date": "2024-01-02", "pending": False,
             "datetime": "2024-01-02T23:00:00-05:00", "name": "N", "merchant_name": None, "counterparties": [{"name": "c", "type": "m"}],
-            "personal_finance_category": {"primary": "P", "detailed": "P_D"}, "location": {"lat": 1.0, "lon": 2.0}, "payment_meta": {"payee": "x"}}
+            "category_info": {"primary": "P", "detailed": "P_D"}, "location": {"lat": 1.0, "lon": 2.0}, "payment_meta": {"payee": "x"}}
     return base | more
 
 
@@ -70,6 +70,12 @@ def test_transactions_and_tombstones(spark, tmp_path):
     assert [tuple(r) for r in dead] == [("i", "a", "t9", date(2024, 1, 3))]
     cut = pages.withColumn("has_more", (F.col("item_id") == "j") | (F.col("page") == 1))
     assert {tuple(r) for r in P.feed_complete(cut).collect()} == {("i", 2, True), ("j", 1, False)}
+    # landing twice changes nothing, a gap or a missing first page does
+    assert {tuple(r) for r in P.feed_complete(cut.union(cut)).collect()} == {("i", 2, True), ("j", 1, False)}
+    gap = cut.withColumn("page", F.when(F.col("page") == 2, 3).otherwise(F.col("page")))
+    assert {tuple(r) for r in P.feed_complete(gap).collect()} == {("i", 2, False), ("j", 1, False)}
+    late = cut.where("page = 2")
+    assert P.feed_complete(late).first().complete is False and P.feed_complete(late, first=None).first().complete is True
     # an item whose pages hold only removals, or nothing, moves its cursor too
     assert {tuple(r) for r in last_cursors(pages).collect()} == {("i", "c2"), ("j", "d1")}
 
@@ -122,9 +128,11 @@ def test_trades_find_securities_on_other_pages(spark, tmp_path):
     ], TRADES_PAGE)
     got = {r.investment_transaction_id: r.security.name for r in P.normalize_trades(pages).collect()}
     assert got == {"1": "S", "2": "S", "3": None, "4": "S"}
-    keyed = pages.withColumn("item_id", F.col("item.item_id"))
+    numbered = pages.withColumn("page", F.when(F.size("securities") == 2, 2).otherwise(1).cast("bigint"))
+    keyed = numbered.withColumn("item_id", F.col("item.item_id"))
     rows, done = P.merge_pages(keyed, "investment_transactions", ["item_id"], "total_investment_transactions")
-    assert rows.count() == 4
+    twice, _ = P.merge_pages(keyed.union(keyed), "investment_transactions", ["item_id"], "total_investment_transactions")
+    assert rows.count() == twice.count() == 4
     assert {(r.item_id, r.received, r.expected, r.complete) for r in done.collect()} == {("i", 3, 3, True), ("j", 1, 2, False)}
 
 
@@ -160,3 +168,28 @@ def test_budget_backfill(spark, tmp_path):
     got = {r.subcategory_raw: r for r in budget_for(read_budget(spark, str(path)), month).collect()}
     assert {k: v.budget_amount for k, v in got.items()} == {"1": 7.0, "2": 2.0, "3": None, "4": 4.0}
     assert got["1"].detail_category is None and "backfill" not in got["1"].asDict()
+
+
+def test_the_last_page_names_a_security(spark, tmp_path):
+    pages = [
+        {"item": {"item_id": "i"}, "page": k, "investment_transactions": [], "securities": [SECURITY | {"name": f"n{k}"}, SECURITY | {"name": f"m{k}"}]}
+        for k in range(9)
+    ]
+    raw = land(spark, tmp_path, pages, TRADES_PAGE)
+    for n in range(1, 5):
+        assert [r.security.name for r in P.securities_of(raw.repartition(n)).collect()] == ["m8"]
+
+
+def test_holdings_take_the_last_entry_of_their_page(spark, tmp_path):
+    page = {"item": {"item_id": "i"}, "holdings": [holding("s")], "securities": [SECURITY | {"name": "old"}, SECURITY | {"name": "new"}]}
+    assert P.normalize_holdings(land(spark, tmp_path, [page], HOLDINGS_PAGE)).first().security.name == "new"
+
+
+def test_equal_versions_do_not_depend_on_partitions(spark, tmp_path):
+    from tallybook.operators.dedup import current_view
+
+    pages = land(spark, tmp_path, [sync("i", k, modified=[tx(1, amount=float(k), datetime=None)]) for k in range(8)], SYNC_PAGE)
+    gone = P.normalize_tombstones(pages, date(2024, 1, 3))
+    for n in range(1, 5):
+        versions = P.normalize_transactions(pages).withColumn("partition_date", F.lit(date(2024, 1, 3))).repartition(n)
+        assert current_view(versions, gone).first().amount == 7.0

@@ -12,6 +12,7 @@ from tallybook.sources.tables import (
     drop_partitions,
     drop_table,
     list_partitions,
+    partition_days,
     register,
     sql,
     write,
@@ -132,7 +133,8 @@ def test_retention(spark, tmp_path):
     assert [r[0] for r in old.collect()] == [date(2024, 1, 1)]
     assert drop_partitions(spark, path, old) == 1
     assert set(counts(spark, path)) == set(days[1:])
-    assert drop_partitions(spark, path, old) == 0
+    with pytest.raises(FileNotFoundError, match="no partition 2024-01-01"):
+        drop_partitions(spark, path, old)
     assert drop_table(spark, path)
 
 
@@ -168,8 +170,69 @@ def test_create_as_and_parameters(spark, root, tmp_path):
 
 
 def test_table_stats_reads_no_column(spark, root):
-    stats = P.table_stats(P.table_files(P.scan(spark, root, SCHEMA), "t"), "d")
+    stats = P.table_stats(P.scan(spark, root, SCHEMA), P.stored_files(spark, root), "d", "t")
     r = stats.first()
     assert (r.dataset_id, r.table_id, r.row_count) == ("d", "t", 6)
     assert r.size_bytes > 0 and r.last_modified_time >= r.creation_time
     assert "ReadSchema: struct<>" in plan(stats)
+
+
+def test_partition_stats(spark, root):
+    create_empty(spark, root, SCHEMA, partition=date(2024, 1, 9))
+    name = F.concat(F.lit("t_"), F.date_format("partition_date", "yyyyMMdd"))
+    stats = P.table_stats(P.scan(spark, root, SCHEMA), P.stored_files(spark, root), "d", name, "partition_date")
+    got = {r.table_id: (r.row_count, r.size_bytes > 0) for r in stats.collect()}
+    assert got == {f"t_{d:%Y%m%d}": (2, True) for d in DAYS} | {"t_20240109": (0, True)}
+
+
+def test_truncate_with_nothing_leaves_an_empty_partition(spark, root):
+    write(rows(spark).where("false"), root, SCHEMA, "TRUNCATE", DAYS[0])
+    assert counts(spark, root) == {DAYS[1]: 2, DAYS[2]: 2}
+    assert partition_days(spark, root) == DAYS
+    create_empty(spark, root, SCHEMA, partition=date(2024, 1, 9))
+    create_empty(spark, root, SCHEMA, partition=DAYS[1], disposition="APPEND")
+    with pytest.raises(ValueError, match="already holds rows"):
+        create_empty(spark, root, SCHEMA, partition=DAYS[1], disposition="EMPTY")
+    assert counts(spark, root) == {DAYS[1]: 2, DAYS[2]: 2}
+    assert partition_days(spark, root)[-1] == date(2024, 1, 9)
+    with pytest.raises(ValueError, match="needs the partition"):
+        create_empty(spark, root, SCHEMA)
+
+
+@pytest.mark.parametrize(
+    "grain,values,kept",
+    [
+        ("day", [date(2024, 1, 1), date(2024, 1, 2)], [date(2024, 1, 1), date(2024, 1, 2)]),
+        ("month", [date(2024, 5, 1), date(2024, 5, 17), date(2024, 6, 30)], [date(2024, 5, 1), date(2024, 6, 1)]),
+        ("hour", [datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 5, 59), datetime(2024, 1, 1, 23)], [datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 23)]),
+    ],
+)
+def test_listing_and_dropping_by_grain(spark, tmp_path, grain, values, kept):
+    path, kind = str(tmp_path / grain), "timestamp_ntz" if grain == "hour" else "date"
+    data = spark.createDataFrame([(k, 1.0, v) for k, v in enumerate(values)] + [(99, 1.0, None)], f"id bigint, v double, partition_date {kind}")
+    write(data, path, SCHEMA, grain=grain)
+    assert partition_days(spark, path, grain=grain) == kept
+    assert P.scan(spark, path, SCHEMA, grain, values[1]).count() == sum(P.at_grain(v, grain) == P.at_grain(values[1], grain) for v in values)
+    write(data.where("id = 0"), path, SCHEMA, "TRUNCATE", values[1], grain)
+    assert P.scan(spark, path, SCHEMA, grain, values[1]).count() == 1
+    listed = list_partitions(spark, path, grain=grain)
+    assert drop_partitions(spark, path, listed) == len(kept)
+    assert partition_days(spark, path, grain=grain) == []
+    assert P.scan(spark, path, SCHEMA, grain).count() == 1  # the row without a partition
+
+
+def test_sharded_range_reads_its_folders_only(spark, tmp_path):
+    for d in DAYS:
+        rows(spark, [d]).drop("partition_date").coalesce(1).write.parquet(f"{tmp_path}/ev_{d:%Y%m%d}")
+    rows(spark, DAYS[:1]).drop("partition_date").write.parquet(f"{tmp_path}/ev_other_20240101")
+    one = P.scan_sharded(spark, str(tmp_path), "ev", SCHEMA, start="20240102", end="20240103")
+    assert len(one.inputFiles()) == 1 and {r.partition_date for r in one.collect()} == {DAYS[1]}
+    assert P.scan_sharded(spark, str(tmp_path), "ev", SCHEMA, start="2025").count() == 0
+    assert P.scan_sharded(spark, str(tmp_path), "ev", SCHEMA).count() == 6
+
+
+def test_comment_with_an_apostrophe_and_a_second_registration(spark, root):
+    first = Table("ledger_quoted", SCHEMA, comment="one day's rows")
+    assert register(spark, root, first).count() == 6
+    assert register(spark, root, first).count() == 6
+    assert spark.catalog.getTable("ledger_quoted").description == "one day's rows"

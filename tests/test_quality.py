@@ -15,7 +15,7 @@ from tallybook.operators.profile import (
     one_row,
     reconcile,
 )
-from tallybook.plans.quality import Check, account_check, alerts, long_report, newest_days, quality_report
+from tallybook.plans.quality import Check, account_check, alerts, long_report, quality_report
 from tallybook.plans.status import daily_status
 from tallybook.schemas import ACCOUNTS, TABLE_STATS, struct
 
@@ -66,6 +66,13 @@ def test_duplicates_and_reconcile(spark):
     assert one(one_row(a.agg(F.max("amount").alias("x")), b.agg(F.max("amount").alias("y")))) == {"x": 0.2, "y": 0.25}
 
 
+def test_sums_keep_small_parts_and_large_values(spark):
+    many = spark.range(1000).select(F.lit(0.004).alias("amount"))
+    large = spark.createDataFrame([(1e17,), (2e17,)], "amount double")
+    assert one(many.agg(money_sum(F.col("amount")).alias("x"))) == {"x": 4.0}
+    assert one(large.agg(money_sum(F.col("amount")).alias("x"))) == {"x": 3e17}
+
+
 def test_missing_categories(spark):
     tx = spark.createDataFrame([("B", "2"), ("A", "1"), ("A", "1"), ("C", "skip"), (None, "3"), ("D", None)], "category_raw string, subcategory_raw string")
     budget = spark.createDataFrame([("B", "2")], "category_raw string, subcategory_raw string")
@@ -118,15 +125,15 @@ def accounts(spark, rows):
 
 
 def test_account_check(spark):
-    df = accounts(spark, [(D0, "i", "a", "PLAID", ["x"], 2.0), (D0, "i", None, "PLAID", [], 3.0), (D0, "j", None, "CRYPTO", None, None), (D1, "i", "a", "PLAID", ["x"], 4.0)])
+    df = accounts(spark, [(D0, "i", "a", "BANK", ["x"], 2.0), (D0, "i", None, "BANK", [], 3.0), (D0, "j", None, "CRYPTO", None, None), (D1, "i", "a", "BANK", ["x"], 4.0)])
     got = one(account_check(df, D0, D1))
-    assert got["null_plaid_accounts"] == 1 and got["null_plaid_products"] == 1 and got["null_balance"] == 1
+    assert got["null_account_id"] == 1 and got["null_products"] == 1 and got["null_balance_current"] == 1
     assert (got["total_items_diff"], got["total_accounts_diff"], got["total_account_value_pct_chg"]) == (1, 2, 25.0)
-    # the newest days are found by the report itself, in the same plan
+    # the newest days are found by the report itself
     same = one(quality_report({"accounts": df})["accounts"])
     assert same == got
-    with pytest.raises(Exception, match="fewer than 2"):
-        df.where(F.col("partition_date") == F.lit(D0)).select(*newest_days(df.where("partition_date = DATE'2024-01-02'"), 2)).collect()
+    with pytest.raises(ValueError, match="fewer than 2"):
+        quality_report({"accounts": df.where("partition_date = DATE'2024-01-02'")})
     long = {r.metric: r.value for r in long_report({"accounts": account_check(df, D0, D1)}).collect()}
     assert long["total_items_diff"] == 1.0 and "partition_0d" not in long
 

@@ -15,7 +15,7 @@ from tallybook.operators.budgeting import (
 )
 from tallybook.operators.dedup import apply_tombstones, current_view, latest_by
 from tallybook.operators.joins import enrich, existing_keys, missing_keys
-from tallybook.operators.rules import apply_rules, load_rules, resolve_name
+from tallybook.operators.rules import apply_rules, load_rules, resolve_name, with_rules
 from tallybook.operators.shape import conform, union_all
 from tallybook.plans.mart import MartRules, account_balances, account_labels, positions
 from tallybook.schemas import ACCOUNTS, HOLDINGS, struct
@@ -65,7 +65,6 @@ def test_tombstones(spark):
 
 
 def test_current_view(spark):
-    schema = "item_id string, account_id string, transaction_id string, partition_date date, status string, transaction_date date, transaction_datetime timestamp_ntz, v int"
     versions = spark.createDataFrame(
         [
             ("i", "a", "t1", D[1], "ADDED", D[1], None, 1),
@@ -76,8 +75,8 @@ def test_current_view(spark):
             ("i", "a", "t4", D[1], "ADDED", D[1], None, 6),  # removed, then added again
             ("i", "a", "t4", D[5], "ADDED", D[5], None, 7),
         ],
-        schema,
-    )
+        "item_id string, account_id string, transaction_id string, partition_date date, status string, transaction_date date, transaction_datetime timestamp_ntz, v int",
+    ).selectExpr("*", "1.0D amount", "CAST(NULL AS BIGINT) feed_page", "CAST(NULL AS BIGINT) feed_place")
     gone = spark.createDataFrame([("i", "a", "t3", D[2]), ("i", "a", "t4", D[3])], "item_id string, account_id string, transaction_id string, date_removed date")
     got = {r.transaction_id: r.v for r in current_view(versions, gone).collect()}
     assert got == {"t1": 2, "t2": 3, "t4": 7}
@@ -110,24 +109,34 @@ def test_account_labels(spark):
     schema = type(ACCOUNTS)([*ACCOUNTS.fields, struct(("partition_date", "date")).fields[0]])
     df = spark.createDataFrame(
         [
-            a("i", "1", "My 529 Plan", "investment", "529", "Northwind Brokerage", 1.0, D[0]),
-            a("i", "2", "Joint", "credit", "credit card", "Northwind Brokerage", 7.0, D[0]),
+            a("i", "1", "Savings 7", "investment", "529", "Blue Bank", 1.0, D[0]),
+            a("i", "2", "Joint", "credit", "credit card", "Blue Bank", 7.0, D[0]),
             a("x", None, "BTC", "investment", "cryptocurrency", None, 2.0, D[0]),
             a("x", None, "ETH", "investment", "cryptocurrency", None, 3.0, D[1]),
-            a("i", "3", "n", "depository", "money market and more", "Harbor Bank", None, D[0]),
+            a("i", "3", "n", "depository", "money market and more", "Green Bank", None, D[0]),
             a("i", "4", "n", "loan", "auto", "Elsewhere", 4.0, D[0]),
         ],
         schema,
     )
-    b = account_balances(df, MartRules.load())
+    bank, coin = ({"col": c, "op": "eq", "value": v} for c, v in (("institution_name", "Blue Bank"), ("account_subtype", "cryptocurrency")))
+    saved = {"col": "account_name", "op": "like", "value": "Savings %"}
+    rules = MartRules(
+        account_name=[{"when": bank, "then": "Blue"}, {"when": coin, "then": "Crypto"}],
+        account_subname=[
+            {"when": {"all": [bank, saved]}, "then": "Saved"},
+            {"when": {"any": [bank, coin]}, "then": {"col": "account_name"}},
+            {"when": {"col": "institution_name", "op": "in", "value": ["Green Bank"]}, "then": {"col": "subtype_title"}},
+        ],
+    )
+    b = account_balances(df, rules)
     got = {(r.item_id, r.account_id, r.account_subname): (r.account_name, r.account_type, r.actual_amount) for r in b.collect()}
     # rules see the stored account name, not the label beside them
     assert got == {
-        ("i", "1", "529"): ("Northwind", "Investment", 1.0),
-        ("i", "2", "Joint"): ("Northwind", "Credit", -7.0),
+        ("i", "1", "Saved"): ("Blue", "Investment", 1.0),
+        ("i", "2", "Joint"): ("Blue", "Credit", -7.0),
         ("x", None, "BTC"): ("Crypto", "Investment", 2.0),
         ("x", None, "ETH"): ("Crypto", "Investment", 3.0),
-        ("i", "3", "Money Market and More"): ("Harbor Bank", "Depository", None),
+        ("i", "3", "Money Market and More"): ("Green Bank", "Depository", None),
         ("i", "4", "Elsewhere"): ("Elsewhere", "Loan", 4.0),
     }
     newest = account_labels(b)
@@ -200,3 +209,26 @@ def test_budget_vs_actual(spark):
     total = balance_rows(lines).first()
     assert (total.category, total.budget_amount, total.actual_amount, total.transactions_count) == ("Balance", 60.0, 2.5, 0)
     assert with_balance(lines).count() == 4
+
+
+def test_long_rule_lists_are_looked_up(spark):
+    """First match over a lookup table and a CASE, on several columns, NULLs and repeated values."""
+    rules = [{"when": {"col": "x", "op": "gt", "value": 90}, "then": "big"}]
+    rules += [{"when": {"col": "m", "op": "eq", "value": f"m{k}"}, "then": f"M{k}"} for k in range(60)]
+    rules += [{"when": {"col": "m", "op": "in", "value": ["m1", "late"]}, "then": "IN"}]
+    rules += [{"when": {"col": "n", "op": "eq", "value": "n1"}, "then": "N1"}, {"when": {"col": "x", "op": "lt", "value": 0}, "then": "small"}]
+    data = [("m1", "n1", 1.0), ("late", "n1", 1.0), ("m2", None, 95.0), (None, "n1", -1.0), (None, None, -1.0), (None, None, None), ("z", "z", 1.0)]
+    df = spark.createDataFrame(data, "m string, n string, x double")
+    long = [r.v for r in with_rules(df, rules, F.lit("raw"), "v").collect()]
+    assert sorted(long) == sorted(r.v for r in df.select(apply_rules(rules, F.lit("raw")).alias("v")).collect())
+    assert with_rules(df, rules, F.lit("raw"), "v").columns == ["m", "n", "x", "v"]
+
+
+def test_sample_rules_use_the_grammar(spark):
+    import tallybook.rules
+
+    rules = MartRules.load(f"{list(tallybook.rules.__path__)[0]}/sample.json")
+    df = spark.createDataFrame([("REF 7 x", None, 1.0)], "name_raw string, merchant_name_raw string, amount double")
+    got = df.withColumn("merchant_name", F.col("merchant_name_raw")).withColumn("category_raw", F.lit("c"))
+    assert got.select(apply_rules(rules.merchant, F.col("name_raw"))).first()[0] == "7"
+    assert got.select(apply_rules(rules.subcategory, F.lit("s"))).first()[0] == "TICKETS"

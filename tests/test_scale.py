@@ -80,3 +80,15 @@ def test_distinct_count_shuffles_on_the_counted_value(spark):
     exchange = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert any("transaction_id" in line for line in exchange), plan
     assert "partial_sum" in plan
+
+
+def test_unique_ids_are_counted_without_a_shuffle_of_their_own(spark):
+    month = F.lit("2024-01-01").cast("date")
+    tx = hot(spark).select(
+        month.alias("transaction_month"), F.lit("c").alias("category"), F.lit("s").alias("subcategory"),
+        F.lit(None).cast("string").alias("detail_category"), F.col("v").cast("double").alias("actual_amount"),
+        F.col("v").alias("transaction_id"),
+    )
+    rows, plan = final_plan(actuals(tx, unique=True))
+    assert rows[0].transactions_count == 60_000
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1

@@ -14,7 +14,7 @@ from tallybook.functions.text import (
     format_size,
     title_case,
 )
-from tallybook.operators.rules import apply_rules, resolve_name
+from tallybook.operators.rules import apply_rules, resolve_name, with_rules
 from tallybook.sources.partitions import since_year_start
 from workload.mart import title
 from workload.registry import query
@@ -117,92 +117,106 @@ def _is(col: str, op: str, value, **more) -> dict:
     return {"col": col, "op": op, "value": value, **more}
 
 
-# One rule of every kind; sign is the size above or below 25.
-PART_CATEGORY = [
-    {"when": {"all": [_is("p_name", "regex", "anvil"), _is("p_type", "eq", "PROMO")]}, "then": "EXCLUDE"},
-    {"when": _is("p_brand", "eq", "Brand#3"), "then": "BRAND THREE"},
-    {"when": {"all": [_is("p_type", "eq", "ECONOMY"), _is("signed_size", "lt", 0)]}, "then": "SMALL ECONOMY"},
-    {"when": _is("p_name", "like", "%hot w%"), "then": "HOT W"},
-    {"when": {"all": [{"any": [_is("p_brand", "in", ["Brand#7", "Brand#8"]), _is("kind", "eq", "gear"), _is("p_name", "regex", "^new r")]}, _is("signed_size", "lt", 0)]}, "then": "IN"},
-    {"when": {"any": [_is("p_brand", "in", ["Brand#7", "Brand#8"]), _is("kind", "eq", "gear"), _is("p_name", "regex", "^new r")]}, "then": "OUT"},
-    {"when": {"any": [_is("p_name", "regex", "blue b", fold=True), _is("p_brand", "eq", "Brand#11")]}, "then": "BLUE"},
-    {"when": _is("p_name", "startswith", "red"), "then": "RED"},
-    {"when": _is("p_name", "extract_eq", [r"^(.*?)(?: ring|$)", "old"]), "then": "OLD RING"},
-    {"when": _is("p_type", "in", ["standard", "large"], fold=True), "then": "PLAIN"},
-    {"when": {"all": [_is("p_brand", "not_in", ["Brand#12", "Brand#13"]), _is("p_type", "eq", "SMALL")]}, "then": "SMALL"},
-    {"when": _is("p_name", "like", "%PLATE%", fold=True), "then": "NEVER"},
-    {"when": _is("p_name", "like", "%plate%", fold=True), "then": "PLATE"},
-]
-PART_SUBCATEGORY = [
-    {"when": _is("p_name", "startswith", "red"), "then": "RED"},
-    {"when": {"all": [_is("clean_brand", "not_in", ["Brand#12", "Brand#13"]), _is("p_type", "eq", "SMALL")]}, "then": "SMALL"},
-    {"when": {"all": [_is("kind", "in", ["gear", "widget"]), _is("signed_size", "lt", 0)]}, "then": "GEAR IN"},
-    {"when": {"all": [_is("kind", "in", ["gear"]), _is("signed_size", "gt", 0)]}, "then": "GEAR OUT"},
-    {"when": {"all": [_is("kind", "in", ["widget"]), _is("signed_size", "gt", 0)]}, "then": "WIDGET OUT"},
-    {"when": _is("clean_brand", "present", False), "then": "NO BRAND"},
-    {"when": {"any": [_is("p_name", "regex", "BLUE", fold=True), _is("p_name", "regex", "blue", fold=True)]}, "then": "BLUE"},
-]
-_PARTS_SQL = """
-WITH p AS (SELECT *, p_size - 25 AS signed_size, regexp_extract(p_name, '(\\S+)$', 1) AS kind,
-                  CASE WHEN p_brand <> 'Brand#1' THEN p_brand END AS clean_brand FROM part)
-"""
-
-
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").withColumns(
-        {
-            "signed_size": F.col("p_size") - 25,
-            "kind": extract_or_null(F.col("p_name"), r"(\S+)$"),
-            "clean_brand": F.when(F.col("p_brand") != "Brand#1", F.col("p_brand")),
-        }
-    )
-
-
 @query(
     "b5_rule_category",
-    _PARTS_SQL
-    + """
-SELECT p_partkey, p_type AS raw, CASE
-  WHEN regexp_matches(p_name, 'anvil') AND p_type = 'PROMO' THEN 'EXCLUDE'
-  WHEN p_brand = 'Brand#3' THEN 'BRAND THREE'
-  WHEN p_type = 'ECONOMY' AND signed_size < 0 THEN 'SMALL ECONOMY'
-  WHEN p_name LIKE '%hot w%' THEN 'HOT W'
-  WHEN p_brand IN ('Brand#7', 'Brand#8') OR kind = 'gear' OR regexp_matches(p_name, '^new r')
-    THEN CASE WHEN signed_size < 0 THEN 'IN' ELSE 'OUT' END
-  WHEN regexp_matches(lower(p_name), 'blue b') OR p_brand = 'Brand#11' THEN 'BLUE'
-  WHEN starts_with(p_name, 'red') THEN 'RED'
-  WHEN CASE WHEN regexp_matches(p_name, '^(.*?)(?: ring|$)')
-            THEN regexp_extract(p_name, '^(.*?)(?: ring|$)', 1) END = 'old' THEN 'OLD RING'
-  WHEN lower(p_type) IN ('standard', 'large') THEN 'PLAIN'
-  WHEN p_brand NOT IN ('Brand#12', 'Brand#13') AND p_type = 'SMALL' THEN 'SMALL'
-  WHEN lower(p_name) LIKE '%PLATE%' THEN 'NEVER'
-  WHEN lower(p_name) LIKE '%plate%' THEN 'PLATE'
-  ELSE p_type END AS category
-FROM p""",
+    """
+SELECT p_partkey, CASE WHEN p_brand = 'Brand#3' THEN 'three' WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'cheap'
+    WHEN lower(p_type) = 'large' THEN 'big' ELSE p_type END AS category
+FROM part""",
 )
 def rule_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    category = apply_rules(PART_CATEGORY, F.col("p_type")).alias("category")
-    return _parts(spark, sf_dir).select("p_partkey", F.col("p_type").alias("raw"), category)
+    """Equality: with one value, with several, and in any case."""
+    rules = [
+        {"when": _is("p_brand", "eq", "Brand#3"), "then": "three"},
+        {"when": _is("p_type", "in", ["ECONOMY", "PROMO"]), "then": "cheap"},
+        {"when": _is("p_type", "eq", "large", fold=True), "then": "big"},
+    ]
+    return table(spark, sf_dir, "part").select("p_partkey", apply_rules(rules, F.col("p_type")).alias("category"))
+
+
+@query(
+    "b5_rule_text",
+    """
+SELECT p_partkey, CASE WHEN starts_with(p_name, 'red') THEN 'starts' WHEN p_name LIKE '%hot w%' THEN 'holds'
+    WHEN regexp_matches(p_name, 'e.r') THEN 'matches' END AS found
+FROM part""",
+)
+def rule_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beginning, pattern and regular expression; no default."""
+    rules = [
+        {"when": _is("p_name", "startswith", "red"), "then": "starts"},
+        {"when": _is("p_name", "like", "%hot w%"), "then": "holds"},
+        {"when": _is("p_name", "regex", "e.r"), "then": "matches"},
+    ]
+    return table(spark, sf_dir, "part").select("p_partkey", apply_rules(rules, F.lit(None)).alias("found"))
+
+
+@query(
+    "b5_rule_extract",
+    r"""
+SELECT p_partkey, CASE WHEN regexp_extract(p_name, '^(\w+)', 1) = 'old' THEN 'old'
+    WHEN regexp_matches(p_name, '(\w+)$') THEN regexp_extract(p_name, '(\w+)$', 1) END AS word
+FROM part""",
+)
+def rule_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part of the text, as condition and as value."""
+    rules = [
+        {"when": _is("p_name", "extract_eq", [r"^(\w+)", "old"]), "then": "old"},
+        {"when": _is("p_name", "present", True), "then": {"col": "p_name", "extract": r"(\w+)$"}},
+    ]
+    return table(spark, sf_dir, "part").select("p_partkey", apply_rules(rules, F.lit(None)).alias("word"))
+
+
+_MANY = 1000
+
+
+@query(
+    "b5_many_rules",
+    f"""
+SELECT o_orderkey, CASE WHEN o_totalprice > 450000 THEN 'dear' WHEN o_custkey < {_MANY} THEN 'customer ' || o_custkey
+    WHEN o_orderpriority = '5-LOW' THEN 'low' ELSE o_orderpriority END AS category
+FROM orders""",
+)
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list with a rule for each of a thousand customers, and others before and after them."""
+    rules = [{"when": _is("o_totalprice", "gt", 450000), "then": "dear"}]
+    rules += [{"when": _is("customer", "eq", str(k)), "then": f"customer {k}"} for k in range(_MANY)]
+    rules += [{"when": _is("o_orderpriority", "eq", "5-LOW"), "then": "low"}]
+    orders = table(spark, sf_dir, "orders").withColumn("customer", F.col("o_custkey").cast("string"))
+    found = with_rules(orders, rules, F.col("o_orderpriority"), "category")
+    return found.select("o_orderkey", "category")
 
 
 @query(
     "b6_rule_subcategory",
-    _PARTS_SQL
-    + """
-SELECT p_partkey, CASE
-  WHEN starts_with(p_name, 'red') THEN 'RED'
-  WHEN clean_brand NOT IN ('Brand#12', 'Brand#13') AND p_type = 'SMALL' THEN 'SMALL'
-  WHEN kind IN ('gear', 'widget') AND signed_size < 0 THEN 'GEAR IN'
-  WHEN kind = 'gear' AND signed_size > 0 THEN 'GEAR OUT'
-  WHEN kind = 'widget' AND signed_size > 0 THEN 'WIDGET OUT'
-  WHEN clean_brand IS NULL THEN 'NO BRAND'
-  WHEN regexp_matches(lower(p_name), 'BLUE') OR regexp_matches(lower(p_name), 'blue') THEN 'BLUE'
-  ELSE p_brand END AS subcategory
-FROM p""",
+    """
+SELECT p_partkey, CASE WHEN p_size < 10 AND p_type <> 'SMALL' THEN 'few'
+    WHEN p_size > 40 OR p_retailprice > 1500 THEN 'much' ELSE p_type END AS subcategory
+FROM part""",
 )
 def rule_subcategory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sub = apply_rules(PART_SUBCATEGORY, F.col("p_brand")).alias("subcategory")
-    return _parts(spark, sf_dir).select("p_partkey", sub)
+    """Numbers, and conditions that all or any hold."""
+    rules = [
+        {"when": {"all": [_is("p_size", "lt", 10), _is("p_type", "not_in", ["SMALL"])]}, "then": "few"},
+        {"when": {"any": [_is("p_size", "gt", 40), _is("p_retailprice", "gt", 1500)]}, "then": "much"},
+    ]
+    return table(spark, sf_dir, "part").select("p_partkey", apply_rules(rules, F.col("p_type")).alias("subcategory"))
+
+
+@query(
+    "b6_rule_nulls",
+    """
+SELECT event_id, CASE WHEN kind NOT IN ('view', 'click') THEN 'other' WHEN kind IS NULL THEN 'none' ELSE kind END AS label
+FROM (SELECT event_id, NULLIF(event_type, 'error') AS kind FROM events)""",
+)
+def rule_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A NULL is in no list and not outside of one; it can be asked for."""
+    rules = [
+        {"when": _is("kind", "not_in", ["view", "click"]), "then": "other"},
+        {"when": _is("kind", "present", False), "then": "none"},
+    ]
+    rows = table(spark, sf_dir, "events").select("event_id", F.nullif("event_type", F.lit("error")).alias("kind"))
+    return rows.select("event_id", apply_rules(rules, F.col("kind")).alias("label"))
 
 
 @query(

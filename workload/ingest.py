@@ -69,7 +69,7 @@ cte(
 SELECT 'item-' || c_custkey AS item_id, a.prefix || c_custkey AS account_id,
        right(c_name, 4) AS account_mask, c_name AS account_name, a.kind AS account_type,
        CASE a.kind WHEN 'credit' THEN 'credit card' ELSE lower(c_mktsegment) END AS account_subtype,
-       'PLAID' AS account_source, 'ins_' || (c_nationkey + 3) AS institution_id,
+       'BANK' AS account_source, 'ins_' || (c_nationkey + 3) AS institution_id,
        n.n_name AS institution_name,
        CAST(CASE a.kind WHEN 'credit' THEN 25.5 ELSE c_acctbal END AS DOUBLE) AS current_balance,
        'USD' AS currency_code, 2 AS n_products, 0 AS n_billed
@@ -138,8 +138,8 @@ def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         merchant_name=F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
         name=F.concat(F.lit("ORDER "), key),
         pending=price < 50000,
-        personal_finance_category=struct(
-            element["personal_finance_category"].dataType,
+        category_info=struct(
+            element["category_info"].dataType,
             primary=F.col("o_orderpriority"),
             detailed=F.concat_ws("_", "o_orderpriority", "o_orderstatus"),
         ),
@@ -194,8 +194,8 @@ def normalize_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _clock(F.col("transaction_datetime")).alias("transaction_clock"),
         "amount",
         "currency_code",
-        F.col("personal_finance_category.primary").alias("category_raw"),
-        F.col("personal_finance_category.detailed").alias("subcategory_raw"),
+        F.col("category_info.primary").alias("category_raw"),
+        F.col("category_info.detailed").alias("subcategory_raw"),
         "merchant.merchant_name",
         F.col("merchant.name").alias("name_raw"),
         F.get("counterparties", F.lit(0))["name"].alias("counterparty_name"),
@@ -214,7 +214,8 @@ SELECT 'item-' || (o_custkey % 40) AS item_id, 'acct-' || o_custkey AS account_i
 FROM orders WHERE o_orderstatus = 'P'""",
 )
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed.normalize_tombstones(sync_pages(spark, sf_dir), date(2001, 8, 1))
+    pages = as_json(sync_pages(spark, sf_dir), SYNC_PAGE)
+    return landed.normalize_tombstones(pages, date(2001, 8, 1))
 
 
 def _raw_security(layout) -> Column:
@@ -304,7 +305,7 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_quantity AS quantity, {_SECURITY_SQL}""",
 )
 def normalize_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landed.normalize_holdings(holding_pages(spark, sf_dir))
+    rows = landed.normalize_holdings(as_json(holding_pages(spark, sf_dir), HOLDINGS_PAGE))
     return _flat_security(
         rows, "item_id", "account_id", "cost_basis", "institution_price", "institution_price_date",
         "institution_value", "quantity",
@@ -331,6 +332,7 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return _lines_with_parts(spark, sf_dir).select(
         F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("page"),
         F.array(row).alias("investment_transactions"),
         F.array(_raw_security(security)).alias("securities"),
         F.lit(1).cast("bigint").alias("total_investment_transactions"),
@@ -347,7 +349,7 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_returnflag AS investment_type, l_linestatus AS investment_subtype, {_SECURITY_SQL}""",
 )
 def normalize_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landed.normalize_trades(trade_pages(spark, sf_dir))
+    rows = landed.normalize_trades(as_json(trade_pages(spark, sf_dir), TRADES_PAGE))
     return _flat_security(
         rows, "item_id", "account_id", "investment_transaction_id", "investment_date", "investment_name",
         "quantity", "amount", "price", "fees", "investment_type", "investment_subtype",
@@ -383,6 +385,28 @@ def security_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "a23_security_conflict",
+    """
+SELECT 'item-' || l_suppkey AS item_id, 'sec-' || (l_partkey % 50) AS security_id,
+       arg_max(p_name, l_orderkey * 10 + l_linenumber) AS security_name
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
+)
+def security_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that name one security differently: the last page counts."""
+    layout = TRADES_PAGE["securities"].dataType.elementType
+    security = _element(
+        layout, security_id=F.concat(F.lit("sec-"), F.col("l_partkey") % 50), name=F.col("p_name")
+    )
+    pages = _lines_with_parts(spark, sf_dir).where("p_name IS NOT NULL").select(
+        F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("page"),
+        F.array(security).alias("securities"),
+    )
+    found = landed.securities_of(pages)
+    return found.select("item_id", "security_id", F.col("security.name").alias("security_name"))
+
+
 def turn_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of at most five turns; (conv_id, turn) is unique, so a page stays that small."""
     element = F.struct("turn", "role", "text")
@@ -412,6 +436,35 @@ def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done
 
 
+@query(
+    "a24_page_landed_twice",
+    """
+SELECT conv_id, COUNT(DISTINCT turn // 5) AS pages, COUNT(*) AS received, max(turn) + 1 AS expected,
+       COUNT(*) >= max(turn) + 1 AS complete
+FROM conversations GROUP BY conv_id""",
+)
+def page_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = turn_pages(spark, sf_dir)
+    _, done = landed.merge_pages(pages.unionAll(pages), "items", ["conv_id"], "announced")
+    return done
+
+
+@query(
+    "a24_missing_page",
+    """
+SELECT conv_id, COUNT(DISTINCT p) AS pages, max(p) + 1 = COUNT(DISTINCT p) AS complete
+FROM (SELECT conv_id, turn // 5 + CASE WHEN conv_id % 3 = 0 AND turn >= 5 THEN 1 ELSE 0 END AS p FROM conversations)
+GROUP BY conv_id""",
+)
+def missing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the conversations skip a page number; the last page says that it is the last."""
+    skipped = ((F.col("conv_id") % 3 == 0) & (F.col("page") >= 1)).cast("bigint")
+    pages = turn_pages(spark, sf_dir).withColumn("page", F.col("page") + skipped)
+    last = pages.groupBy("conv_id").agg(F.max("page").alias("last"))
+    more = pages.join(last, "conv_id").withColumn("has_more", F.col("page") < F.col("last"))
+    return landed.feed_complete(more, "conv_id", first=0)
+
+
 @query(
     "a25_product_filter",
     """

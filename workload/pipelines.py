@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.plans.mart import build_mart, write_mart
-from tallybook.plans.pipelines import accounts_snapshot
+from tallybook.plans.pipelines import Ledger, accounts_snapshot, run_status
 from tallybook.plans.quality import alerts, long_report, quality_report
-from tallybook.schemas import MART
-from tallybook.session import new_scratch_table, stage
+from tallybook.schemas import MART, TABLES
+from tallybook.session import new_scratch_table
 from tallybook.sources.partitions import scan
 import workload.mart  # noqa: F401  (defines the mart's CTEs)
 from workload.columns import size_sql
@@ -21,6 +21,7 @@ from workload.ingest import (
     institutions,
     supplier_balances,
 )
+from workload.ledger_rules import RULES, UNMAPPED
 from workload.registry import query
 from workload.relations import status, status_sql
 from workload.tables import (
@@ -58,38 +59,37 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_accounts(accounts_snapshot(pages, institutions(spark, sf_dir), balances, rates))
 
 
-def mart(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    return build_mart(
-        ledger(spark, sf_dir), date.fromisoformat(as_of), stage=lambda df: stage(df, "transactions")
-    )
-
-
 @query("k5_metric_mart", with_("mart", "SELECT * FROM mart"))
 def metric_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart(spark, sf_dir, AS_OF)
+    return build_mart(ledger(spark, sf_dir), date.fromisoformat(AS_OF), RULES)
+
+
+_MARTS: dict[tuple[str, str], str] = {}
 
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The marts of two days, stored as two partitions."""
-    root = new_scratch_table(spark, "mart")
-    for day in (AS_OF, DAY_BEFORE):
-        write_mart(ledger(spark, sf_dir), date.fromisoformat(day), root)
-    return scan(spark, root, MART, col="built_on")
+    """The marts of two days, stored as two partitions, once a session and set of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MARTS:
+        root = new_scratch_table(spark, "mart")
+        for day in (AS_OF, DAY_BEFORE):
+            write_mart(ledger(spark, sf_dir), date.fromisoformat(day), root, rules=RULES)
+        _MARTS[key] = root
+    return scan(spark, _MARTS[key], MART, col="built_on")
 
 
 def reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return quality_report(
-        {
-            "accounts": l_accounts(spark, sf_dir),
-            "holdings": l_holdings(spark, sf_dir),
-            "trades": l_trades(spark, sf_dir),
-            "budget": l_budget(spark, sf_dir),
-            "tombstones": l_removed(spark, sf_dir),
-            "transactions": l_transactions(spark, sf_dir),
-            "cursors": l_cursors(spark, sf_dir),
-            "mart": stored_marts(spark, sf_dir),
-        }
-    )
+    tables = {
+        "accounts": l_accounts(spark, sf_dir),
+        "holdings": l_holdings(spark, sf_dir),
+        "trades": l_trades(spark, sf_dir),
+        "budget": l_budget(spark, sf_dir),
+        "tombstones": l_removed(spark, sf_dir),
+        "transactions": l_transactions(spark, sf_dir),
+        "cursors": l_cursors(spark, sf_dir),
+        "mart": stored_marts(spark, sf_dir),
+    }
+    return quality_report(tables, unmapped=UNMAPPED)
 
 
 # ------------------------------------------------------------- reports as SQL
@@ -98,12 +98,27 @@ def _count_if(test: str, name: str) -> str:
     return f"COUNT(*) FILTER ({test}) AS {name}"
 
 
-def _null(columns: dict[str, str], test: str = "") -> str:
-    return ", ".join(_count_if(f"{c} IS NULL{test}", n) for n, c in columns.items())
+def _nulls(table: str, kinds: dict[str, str] | None = None, names: dict[str, str] | None = None) -> str:
+    """Counts of missing values of the columns that a table requires.
+
+    ``kinds`` has the SQL of each kind of row, ``names`` what a column is called in the flat
+    tables, or how its absence is told there.
+    """
+    kinds, names, asked = kinds or {}, names or {}, {}
+    for kind, columns in TABLES[table].required.items():
+        for column in columns.split():
+            asked.setdefault(column, []).append(kind)
+    out = []
+    for column, wanted in asked.items():
+        flat = names.get(column, column.rsplit(".", 1)[-1] if column.startswith("balance") else column)
+        test = flat if " " in flat else f"{flat} IS NULL"
+        rows = "" if "" in wanted else "(" + " OR ".join(kinds[k] for k in wanted) + ") AND "
+        out.append(_count_if(f"{rows}{test}", "null_" + column.replace(".", "_")))
+    return ", ".join(out)
 
 
 def _sum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def _counts(n: str) -> str:
@@ -137,63 +152,45 @@ def one_day(source: str, nulls: str, total: bool = True) -> str:
     return f"SELECT {newest} AS partition_0d, {nulls}{rows} FROM {source} WHERE partition_date = {newest}"
 
 
-_BANK = "account_source = 'PLAID' AND "
 cte(
     "r_accounts",
     two_days(
         "l_accounts",
-        ", ".join(
-            _count_if(test, name)
-            for name, test in {
-                "null_items": "item_id IS NULL",
-                "null_plaid_accounts": _BANK + "account_id IS NULL",
-                "null_account_names": "account_name IS NULL",
-                "null_account_types": "account_type IS NULL",
-                "null_account_subtypes": "account_subtype IS NULL",
-                "null_account_source": "account_source IS NULL",
-                "null_institution_id": _BANK + "institution_id IS NULL",
-                "null_institution_name": _BANK + "institution_name IS NULL",
-                "null_balance": "current_balance IS NULL",
-                "null_currency_code": "currency_code IS NULL",
-                "null_plaid_update_type": _BANK + "update_type IS NULL",
-                "null_plaid_products": _BANK + "NOT has_products",
-                "null_plaid_billed_products": _BANK + "NOT has_billed",
-            }.items()
+        _nulls(
+            "financial_accounts",
+            {"bank": "account_source = 'BANK'"},
+            {"balance.current": "current_balance", "products": "NOT has_products", "billed_products": "NOT has_billed"},
         ),
         {"items": "COUNT(DISTINCT item_id)", "accounts": "COUNT(*)"},
         {"account_value": _sum("current_balance")},
     ),
     "l_accounts",
 )
+_SECURITY = {
+    "security.security_id": "security_id", "security.currency_code": "security_currency",
+    "security.is_cash_equivalent": "is_cash_equivalent", "security.name": "security_name",
+    "security.type": "security_type",
+}
 cte(
     "r_holdings",
     two_days(
         "l_holdings",
-        _null(
-            {
-                "null_items": "item_id", "null_accounts": "account_id",
-                "null_institution_prices": "institution_price",
-                "null_institution_price_dates": "institution_price_date",
-                "null_institution_values": "institution_value", "null_currency_codes": "currency_code",
-                "null_quantities": "quantity", "null_security_ids": "security_id",
-                "null_security_currency_codes": "security_currency",
-                "null_cash_equivalents": "is_cash_equivalent", "null_security_names": "security_name",
-                "null_security_types": "security_type",
-            }
-        ),
+        _nulls("investment_holdings", names=_SECURITY),
         {"items": "COUNT(DISTINCT item_id)", "accounts": "COUNT(DISTINCT account_id)"},
         {"investment_value": _sum("institution_value")},
     ),
     "l_holdings",
 )
+# columns that trades always have here are left out of the flat table
+_FULL = "investment_date investment_name quantity amount price investment_subtype currency_code"
 cte(
     "r_trades",
     one_day(
         "l_trades",
-        _null({"null_items": "item_id", "null_accounts": "account_id", "null_investment_transaction_ids": "trade_id"})
-        + ", 0 AS null_investment_dates, 0 AS null_investment_names, 0 AS null_quantities, 0 AS null_amounts, 0 AS null_prices, "
-        + _null({"null_fees": "fees", "null_investment_types": "investment_type"})
-        + ", 0 AS null_investment_subtypes, 0 AS null_currency_codes",
+        _nulls(
+            "investment_transactions",
+            names={n: "1 = 0" for n in _FULL.split()} | {"investment_transaction_id": "trade_id"},
+        ),
     ),
     "l_trades",
 )
@@ -207,29 +204,21 @@ SELECT * FROM ({two_days("l_budget", "", {n: f"COUNT(DISTINCT {n})" for n in _BU
    FROM l_budget)""",
     "l_budget",
 )
-cte(
-    "r_tombstones",
-    one_day(
-        "l_removed",
-        _null({"null_items": "item_id", "null_account_ids": "account_id", "null_transaction_ids": "transaction_id", "null_dates_removed": "date_removed"}),
-    ),
-    "l_removed",
-)
-cte("r_cursors", one_day("l_cursors", _null({"null_items": "item_id", "null_cursors": "next_cursor"})), "l_cursors")
+cte("r_tombstones", one_day("l_removed", _nulls("removed_transactions")), "l_removed")
+cte("r_cursors", one_day("l_cursors", _nulls("cursors")), "l_cursors")
+_CATEGORY = {
+    "category_info.primary": "category_raw", "category_info.detailed": "subcategory_raw",
+    "category_info.confidence_level": "confidence_level", "merchant.name": "name_raw",
+}
 cte(
     "r_transactions",
     f"""
-SELECT * FROM ({one_day("l_transactions", _null({
-        "null_items": "item_id", "null_accounts": "account_id", "null_transaction_ids": "transaction_id",
-        "null_pendings": "is_pending", "null_statuses": "status", "null_transaction_dates": "transaction_date",
-        "null_amounts": "amount", "null_currency_codes": "currency_code", "null_primary_categories": "category_raw",
-        "null_detail_categories": "subcategory_raw", "null_category_confidences": "confidence_level",
-        "null_payment_channel": "payment_channel", "null_merchant_names": "name_raw"}), False)}),
+SELECT * FROM ({one_day("l_transactions", _nulls("transactions", names=_CATEGORY), False)}),
   (SELECT string_agg(x, '; ' ORDER BY x) AS missing_categories, COUNT(DISTINCT x) AS missing_categories_count
    FROM (SELECT DISTINCT t.category_raw || ' - ' || t.subcategory_raw AS x
          FROM l_transactions t LEFT JOIN l_budget b USING (category_raw, subcategory_raw)
          WHERE b.category IS NULL AND t.partition_date = (SELECT max(partition_date) FROM l_transactions)
-           AND t.subcategory_raw NOT IN ('TRANSFER_OUT_INVESTMENT_AND_RETIREMENT_FUNDS')))""",
+           AND t.subcategory_raw NOT IN ({', '.join(map(repr, UNMAPPED))})))""",
     "l_transactions",
     "l_budget",
 )
@@ -253,23 +242,10 @@ cte(
     "clock",
     "clock_1d",
 )
-_NOT_AGG = " AND metric_category <> 'TRANSACTIONS_AGG'"
-_AGG = " AND metric_category = 'TRANSACTIONS_AGG'"
-_TX = " AND metric_category = 'TRANSACTIONS'"
-_BOTH = " AND metric_category IN ('TRANSACTIONS', 'TRANSACTIONS_AGG')"
-_HELD = " AND metric_category = 'INVESTMENTS'"
-_MART_NULLS = ", ".join(
-    [
-        _null({"null_partition_dates": "partition_date", "null_metric_categories": "metric_category", "null_transaction_dates": "transaction_date", "null_transaction_months": "transaction_month", "null_actual_amounts": "actual_amount"}),
-        _null({"null_item_ids": "item_id", "null_account_names": "account_name", "null_account_subnames": "account_subname", "null_account_types": "account_type", "null_currency_codes": "currency_code"}, _NOT_AGG),
-        _null({"null_budget_amounts": "budget_amount", "null_transaction_counts": "transactions_count"}, _AGG),
-        _null({"null_transaction_types": "transaction_type", "null_category_raws": "category_raw", "null_subcategory_raws": "subcategory_raw", "null_category_updated": "category_updated", "null_subcategory_updated": "subcategory_updated", "null_payment_channels": "payment_channel", "null_merchant_names": "merchant_name", "null_name_raw": "name_raw"}, _TX),
-        _null({"null_categories": "category", "null_final_categories": "final_category", "null_full_categories": "full_category"}, _BOTH),
-        _null({"null_subcategories": "subcategory"}, _BOTH + " AND category <> 'Balance'"),
-        _null({"null_account_ids": "account_id"}, " AND metric_category NOT IN ('TRANSACTIONS_AGG', 'ACCOUNTS')"),
-        _null({"null_institution_prices": "institution_price", "null_quantities": "quantity", "null_security_types": "security_type", "null_security_names": "security_name"}, _HELD),
-        _null({"null_transaction_ids": "transaction_id"}, " AND metric_category IN ('TRANSACTIONS', 'INVESTMENTS')"),
-    ]
+_MART_NULLS = _nulls(
+    "metric_mart",
+    {k: f"metric_category = '{k}'" for k in ("ACCOUNTS", "INVESTMENTS", "TRANSACTIONS", "TRANSACTIONS_AGG")}
+    | {"LINE": "metric_category = 'TRANSACTIONS_AGG' AND category <> 'Balance'"},
 )
 _ACCOUNT_AMOUNT = "CASE WHEN metric_category = 'ACCOUNTS' THEN actual_amount ELSE 0 END"
 cte(
@@ -279,10 +255,10 @@ SELECT * FROM ({two_days("marts", _MART_NULLS, {
         "metric_categories": "COUNT(DISTINCT metric_category)", "items": "COUNT(DISTINCT item_id)",
         "accounts": "COUNT(DISTINCT account_id)"},
         {"account_summed_value": _sum(_ACCOUNT_AMOUNT), "actual_amount": _sum("actual_amount")}, "built_on")}),
-  (SELECT COUNT(*) AS null_duplicate_transaction_ids_per_date FROM (
+  (SELECT COUNT(*) AS null_repeated_transaction_ids FROM (
      SELECT 1 FROM mart WHERE transaction_date IS NOT NULL AND transaction_id IS NOT NULL
      GROUP BY transaction_date || ' - ' || transaction_id HAVING COUNT(*) > 1)),
-  (SELECT COUNT(*) AS null_duplicate_account_ids_per_date FROM (
+  (SELECT COUNT(*) AS null_repeated_account_ids FROM (
      SELECT 1 FROM mart WHERE transaction_date IS NOT NULL AND item_id IS NOT NULL AND metric_category = 'ACCOUNTS'
      GROUP BY transaction_date || ' - ' || item_id || CASE WHEN account_id IS NULL THEN '' ELSE ' - ' || account_id END
      HAVING COUNT(*) > 1)),
@@ -361,6 +337,31 @@ def raised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts(reports(spark, sf_dir))
 
 
+@query(
+    "k8_ledger_status",
+    with_(
+        "l_removed l_budget",
+        """
+SELECT * FROM (
+  SELECT strftime(partition_date, '%Y%m%d') AS partition_date, 'removed_transactions_' || strftime(partition_date, '%Y%m%d') AS table_id,
+         COUNT(*) AS row_count FROM l_removed WHERE partition_date = (SELECT max(partition_date) FROM l_removed) GROUP BY 1, 2
+  UNION ALL
+  SELECT strftime(partition_date, '%Y%m'), 'budget_values_' || strftime(partition_date, '%Y%m'), COUNT(*)
+  FROM l_budget WHERE partition_date = (SELECT max(partition_date) FROM l_budget) GROUP BY 1, 2
+  UNION ALL
+  SELECT NULL, 'temp_cursors', COUNT(DISTINCT user_id) FROM events)""",
+    ),
+)
+def ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest partition of each table of a stored ledger, from its files."""
+    store = Ledger(spark, new_scratch_table(spark, "ledger"))
+    store.load("removed_transactions", l_removed(spark, sf_dir))
+    store.load("budget_values", l_budget(spark, sf_dir))
+    store.load("temp_cursors", l_cursors(spark, sf_dir).select("item_id").distinct())
+    status_rows = run_status(store, ["removed_transactions", "budget_values", "temp_cursors"])
+    return status_rows.select("partition_date", "table_id", "row_count")
+
+
 @query("k8_daily_status", status_sql(size_sql("size_bytes")))
 def daily_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status(spark, sf_dir)

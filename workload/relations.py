@@ -72,13 +72,13 @@ def category_month_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def settled_actuals(spark: SparkSession, sf_dir: str, b: DataFrame) -> DataFrame:
-    return actuals(categorize(spend(spark, sf_dir).where(F.col("status") != "P"), b))
+def all_actuals(spark: SparkSession, sf_dir: str, b: DataFrame) -> DataFrame:
+    return actuals(categorize(spend(spark, sf_dir), b))
 
 
 def budget_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = budget(spark, sf_dir)
-    return budget_vs_actual(budget_totals(b), settled_actuals(spark, sf_dir, b))
+    return budget_vs_actual(budget_totals(b), all_actuals(spark, sf_dir, b))
 
 
 @query("c4_budget_vs_actual", with_("lines", "SELECT * FROM lines"))
@@ -257,12 +257,11 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 cte(
     "newest_shards",
     r"""
-SELECT * FROM shards
-QUALIFY row_number() OVER (PARTITION BY
-  CASE WHEN dataset_id = 'ledger'
-       THEN CASE WHEN regexp_matches(table_id, '(.*)\d{8}$') THEN regexp_extract(table_id, '(.*)\d{8}$', 1) END
-       ELSE CASE WHEN regexp_matches(table_id, '(.*)\d{6}$') THEN regexp_extract(table_id, '(.*)\d{6}$', 1) END END
-  ORDER BY table_id DESC) = 1
+SELECT * EXCLUDE (family) FROM (
+  SELECT *, CASE WHEN table_id ~ '.*[0-9]{8}' THEN left(table_id, -8) END AS family FROM shards WHERE dataset_id = 'ledger'
+  UNION ALL
+  SELECT *, CASE WHEN table_id ~ '.*[0-9]{6}' THEN left(table_id, -6) END FROM shards WHERE dataset_id <> 'ledger')
+QUALIFY table_id = max(table_id) OVER (PARTITION BY dataset_id = 'ledger', family)
 """,
     "shards",
 )
@@ -309,7 +308,7 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("d5_actual_by_category", with_("actual", "SELECT * FROM actual"))
 def actual_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settled_actuals(spark, sf_dir, budget(spark, sf_dir))
+    return all_actuals(spark, sf_dir, budget(spark, sf_dir))
 
 
 @query("d6_budget_by_category", with_("budget_total", "SELECT * FROM budget_total"))
@@ -419,3 +418,25 @@ def feed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.desc_nulls_last("ts"), F.desc("event_id")]
     live = current_view(versions, gone, "user_id", ("user_id",), "partition_date", order)
     return live.select("user_id", "event_id", "status", "value")
+
+
+@query(
+    "i2_same_day_versions",
+    """
+SELECT 'tx-' || o_custkey AS transaction_id, arg_max(o_totalprice, o_orderkey) AS amount,
+       max(o_orderkey) AS feed_page
+FROM orders GROUP BY o_custkey""",
+)
+def same_day_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modifications of one day without a clock time: the one that came last in the feed counts."""
+    day, none = F.lit("2001-08-01").cast("date"), F.lit(None)
+    item, account = F.lit("item").alias("item_id"), F.lit("account").alias("account_id")
+    name = F.concat(F.lit("tx-"), "o_custkey").alias("transaction_id")
+    versions = table(spark, sf_dir, "orders").select(
+        item, account, name, day.alias("partition_date"), F.lit("MODIFIED").alias("status"),
+        day.alias("transaction_date"), none.cast("timestamp_ntz").alias("transaction_datetime"),
+        F.col("o_totalprice").alias("amount"), F.col("o_orderkey").alias("feed_page"),
+        F.lit(0).cast("bigint").alias("feed_place"),
+    )
+    none_removed = versions.where("false").selectExpr("item_id", "account_id", "transaction_id", "partition_date date_removed")
+    return current_view(versions, none_removed).select("transaction_id", "amount", "feed_page")

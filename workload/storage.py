@@ -19,6 +19,7 @@ from tallybook.operators.shape import conform, union_all
 from tallybook.schemas import struct
 from tallybook.session import new_scratch_table
 from tallybook.sources import partitions as P
+from tallybook.sources.tables import list_partitions as list_partitions_of
 from tallybook.sources.tables import sql, write
 from workload.registry import query
 from workload.tables import case, daily, table, with_
@@ -43,7 +44,7 @@ def stored_daily(spark: SparkSession, sf_dir: str) -> str:
         "daily",
         """
 SELECT partition_date, COUNT(*) AS row_count,
-       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+       CAST(SUM(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE) AS total_value
 FROM daily GROUP BY partition_date""",
     ),
 )
@@ -67,6 +68,30 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.scan(spark, stored_daily(spark, sf_dir), EVENT, partition=date(2024, 1, 15))
 
 
+@query("a3_list_hours", "SELECT DISTINCT date_trunc('hour', ts) AS partition_date FROM events")
+def list_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folders of a table that is stored by hour."""
+    root = new_scratch_table(spark, "hours")
+    write(daily(spark, sf_dir).withColumn("partition_date", F.col("ts")), root, EVENT, grain="hour")
+    return list_partitions_of(spark, root, grain="hour")
+
+
+@query(
+    "a10_rerun_empty",
+    with_(
+        "daily",
+        """
+SELECT partition_date, COUNT(*) AS row_count FROM daily
+WHERE partition_date <> DATE '2024-01-15' GROUP BY partition_date""",
+    ),
+)
+def rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day that is loaded again without rows has none; the others are whole."""
+    root, day = stored_daily(spark, sf_dir), date(2024, 1, 15)
+    write(daily(spark, sf_dir).where("false"), root, EVENT, "TRUNCATE", day)
+    return P.scan(spark, root, EVENT).groupBy("partition_date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query("a3_list_partitions", with_("daily", "SELECT DISTINCT partition_date FROM daily ORDER BY 1"))
 def list_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.partitions(daily(spark, sf_dir))
@@ -267,23 +292,28 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.retention_candidates(rows, newest, keep_days=10)
 
 
-@query("a16_table_stats")
+@query(
+    "a16_table_stats",
+    "\nUNION ALL\n".join(f"SELECT 'warehouse' AS dataset_id, '{t}' AS table_id, COUNT(*) AS row_count FROM {t}" for t in _TABLES),
+)
 def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = union_all(*[P.table_files(table(spark, sf_dir, t), t) for t in _TABLES])
-    return P.table_stats(files, "warehouse")
+    """Rows of every table; bytes and times, which SQL can't see, are tested apart."""
+    files = [(t, P.stored_files(spark, f"{sf_dir}/{t}.parquet")) for t in _TABLES]
+    stats = [P.table_stats(table(spark, sf_dir, t), f, "warehouse", t) for t, f in files]
+    return union_all(*stats).select("dataset_id", "table_id", "row_count")
 
 
 @query(
     "a17_param_sql",
     """
 SELECT o_orderpriority, COUNT(*) AS row_count,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+       CAST(SUM(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(38,10))) AS DOUBLE) AS total_price
 FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority""",
 )
 def param_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "orders").createOrReplaceTempView("param_orders")
     text = """
         SELECT o_orderpriority, count(*) AS row_count,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+               CAST(sum(CAST(o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS total_price
         FROM IDENTIFIER(:t) WHERE o_totalprice > :min_price GROUP BY o_orderpriority"""
     return sql(spark, text, {"t": "param_orders", "min_price": 100000})
