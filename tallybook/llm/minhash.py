@@ -132,9 +132,10 @@ def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataF
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 
+    # the held sides are the large ones: they are not repeated, a hot class is split by the join
     for held, check in ((signatures, prune), (sets, exact)):
-        one = lookup(pairs, held.select(F.col("class").alias("a"), F.col("data").alias("x")), ["a"], "inner")
-        two = lookup(one, held.select(F.col("class").alias("b"), F.col("data").alias("y")), ["b"], "inner")
+        one = pairs.join(held.select(F.col("class").alias("a"), F.col("data").alias("x")), "a")
+        two = one.join(held.select(F.col("class").alias("b"), F.col("data").alias("y")), "b")
         pairs = two.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
     return pairs
 
@@ -151,6 +152,8 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     sets = _sets(docs.join(involved.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"), False)
     sets = sets.join(involved.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = stage(sets.select("class", "data"), "shingles")
+    held = classes.join(involved.select("class"), "class", "left_semi").select("class", "data")
+    held = stage(held, "held")
     # first, a class meets the earliest of each of its buckets and one more, picked by hash among
     # a few: so few pairs connect almost all that belongs together, whatever a bucket's size
     slot = F.pmod(F.xxhash64("class", "bucket"), F.lit(SLOTS))
@@ -159,7 +162,7 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     near = entries.withColumn("slot", asked).join(some, ["bucket", "slot"])
     pairs = near.select("class", "other").union(entries.select("class", "pivot")).toDF("x", "y").where("x <> y")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = stage(_verified(pairs, classes, sets), "links")
+    links = stage(_verified(pairs, held, sets), "links")
     entries = entries.select("bucket", "class", "n")
     while not entries.isEmpty():
         groups = components(links).toDF("class", "root")
@@ -174,7 +177,7 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
         copies = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         pairs = named.select("*", salt).join(copies, ["bucket", "salt"]).where(close)
         pairs = pairs.select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b"))
-        links = stage(links.union(_verified(pairs.distinct(), classes, sets)), "links")
+        links = stage(links.union(_verified(pairs.distinct(), held, sets)), "links")
         met = pivots.select("bucket", F.col("other_class").alias("class"))
         left = named.join(met, ["bucket", "class"], "left_anti")
         entries = stage(left.select("bucket", "class", "n"), "buckets")
