@@ -3,7 +3,7 @@
 1. One pass makes each text's set of word shingles, its hash and its MinHash signature. Texts with
    equal sets form a class; only classes go on.
 2. Classes that agree on a band of the signature are candidates. A band value may be shared by any
-   number of classes, so pairs are not written out. In a first round each class meets two others
+   number of classes, so not all pairs are made at once. In a first round each class meets two others
    of each bucket. Linked classes then count as one, and buckets that hold a single group are done.
    In later rounds all classes of an open bucket meet its pivots, but those of their own group, and
    the pivots leave the bucket. Rounds go on until no bucket is left, so every candidate pair is
