@@ -1,9 +1,10 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences: after a word that ends in sentence or clause punctuation, at a line
-break, and, as prose may run on without either, after words chosen by their hash. A cut depends on
-the words beside it alone, so a passage is cut alike wherever it stands. From every sentence the
-shortest run of several sentences with enough words is hashed. A run that occurs more than once in
+break, and, as prose may run on without either, after the word with the smallest hash of each
+window of words that has neither. So every window has a cut, which depends on the words of the
+window alone, and a passage is cut alike wherever it stands but for its edges. From every sentence
+the shortest run of several sentences with enough words is hashed. A run that occurs more than once in
 the whole corpus keeps its first occurrence, by doc_id and place; the sentences of all others go.
 """
 
@@ -20,7 +21,57 @@ from .common import _BASE, _UNDO, lookup, mix, stage, text_chunks, word_hashes
 
 #: Sentences and words of a run, at least.
 SENTENCES, WORDS = 2, 20
-_ENDS = np.isin(np.arange(256), list(b".!?,;:"))
+#: Words in a row of which one ends a sentence, at least.
+WINDOW = 11
+#: Closing quotes and brackets that may follow a stop.
+CLOSERS = 4
+
+
+def _codes(characters: str) -> np.ndarray:
+    """The bytes of each character as one number, in order."""
+    return np.array(sorted(int.from_bytes(c.encode()) for c in characters))
+
+
+_STOPS = _codes(".!?,;:…。、！？，；：｡､।॥؟،؛۔።፣՝։‽")
+_CLOSING = _codes("\"')]}>»«›‹”’“‘」』】》〉）］｝")
+
+
+def _one_of(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+
+
+def _stops(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether a word ends in a stop, closing quotes and brackets aside."""
+    found = np.zeros(len(ends), dtype=bool)
+    at = np.arange(len(ends))
+    ends = ends.copy()
+    for _ in range(CLOSERS + 1):
+        a, b, c = (data[np.maximum(ends[at] - k, 0)].astype(np.int64) for k in (1, 2, 3))
+        size = np.where(a < 0x80, 1, np.where(b >= 0xC0, 2, 3))
+        code = a + (b << 8) * (size > 1) + (c << 16) * (size > 2)
+        found[at] = _one_of(code, _STOPS)
+        closed = _one_of(code, _CLOSING) & (ends[at] - size > starts[at])
+        ends[at] -= size
+        at = at[closed]
+    return found
+
+
+def _least(words: np.ndarray, last: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Places of the smallest hash, of equal ones the last, of each window of a text without an end."""
+    n = len(words) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    ends = np.concatenate(([0], np.cumsum(last)))
+    inside = np.zeros(len(words) + 1, dtype=np.int64)  # windows that reach into the next text are none
+    for b in edges[1:-1]:
+        inside[max(b - WINDOW + 1, 0) : b] = 1
+    at = np.flatnonzero((ends[WINDOW:] == ends[:n]) & (inside[:n] == 0))
+    best, least = at.copy(), words[at]
+    for k in range(1, WINDOW):
+        other = words[at + k]
+        smaller = other <= least
+        best[smaller], least = at[smaller] + k, np.minimum(other, least)
+    return best
 
 
 def sentence_runs(
@@ -32,8 +83,9 @@ def sentence_runs(
     last = np.zeros(len(words), dtype=bool)
     if len(words):
         line = np.concatenate(([0], np.cumsum(data == 10)))
-        last = _ENDS[data[ends - 1]] | (words % np.uint64(16) == 0)
+        last = _stops(data, starts, ends)
         last[:-1] |= line[starts[1:]] > line[ends[:-1]]
+        last[_least(words, last, edges)] = True
     powers = np.cumprod(np.full(len(words), _BASE, dtype=np.uint64))
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(words * powers, dtype=np.uint64)))
     undo = np.cumprod(np.full(len(words) + 1, _UNDO, dtype=np.uint64))

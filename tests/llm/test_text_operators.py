@@ -165,6 +165,33 @@ def test_repeats_passage_inside_other_text(spark):
     assert all("w10," not in left[k] and f"words {k} again" in left[k] for k in range(1, 400))
 
 
+def plain_words(random, n):
+    return " ".join("".join(random.choice(list("abcdefghijklmnop"), random.integers(2, 9))) for _ in range(n))
+
+
+def test_repeats_without_punctuation_inside_differing_texts(spark):
+    rows, passages = [], []
+    for k in range(60):
+        random = np.random.default_rng(k)
+        # every fourth passage is made of few distinct words
+        passages.append(plain_words(random, 51) if k % 4 else " ".join(random.choice(["lo", "la", "li"], 51)))
+        rows += [(2 * k + j, f"{plain_words(random, 30 + 9 * j)} {passages[k]} {plain_words(random, 41 - 7 * j)}") for j in (0, 1)]
+    got = {r["doc_id"]: r["text"].split() for r in spans.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, passage in enumerate(passages):
+        own = dict(rows)[2 * k + 1].split()
+        assert got[2 * k] == rows[2 * k][1].split()
+        assert len(got[2 * k + 1]) <= len(own) - 20, passage
+        assert got[2 * k + 1][:39] == own[:39] and got[2 * k + 1][-34:] == own[-34:]
+
+
+def test_repeats_stops_before_quotes_and_of_other_scripts():
+    words = ["end.\"", "end.)", "end!”", "end?»", "停。", "止！」", "रुक।", "قف؟", "end…", "go", "(.x", "”", ")", "é"]
+    data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    ((starts, _, _),) = spans.sentence_runs(data, np.array([0, len(data)]))
+    text = data.tobytes()
+    assert [text[a:b].decode().split() for a, b in zip(starts, [*starts[1:], len(text)])] == [[w] for w in words[:9]] + [words[9:]]
+
+
 def test_repeats_odd_and_empty_tables(spark, odd):
     out = spans.without_repeats(odd)
     assert out.schema == odd.schema and out.count() == odd.count()
