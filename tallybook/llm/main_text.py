@@ -3,9 +3,11 @@
 The standard library's parser streams events; block elements end lines. A line's ratio is its
 characters of text, those in links aside, to its tags. Ratios are smoothed by a Gaussian over the
 neighbouring lines and a threshold, taken from the page's own spread, marks the lines that are
-content. Marked lines vote for the containers they stand in, an article before a plain container,
-and the elected container gives all of its lines, short ones too, but those within menus, forms
-and the like. If that is the page itself, it gives the lines from its first to its last marked one.
+content. Marked lines vote for the containers they stand in, an article before a plain container.
+All outermost containers of the best kind that have votes are elected, and a part takes the place
+of its container only if it has all of the votes. They give all of their lines, short ones too, but
+those within menus, forms and the like. If that is the page itself, it gives the lines from its
+first to its last marked one, and all of the containers that these two stand in.
 """
 
 from __future__ import annotations
@@ -40,8 +42,6 @@ ASIDE_WORDS = {
 # An end tag of an inline element, paragraph or list item doesn't reach beyond these.
 REGIONS = {"article", "main", "section", "div", "td", "body", "nav", "aside", "footer", "form"}
 ARTICLE_WORDS = {"article", "articlebody", "main", "post", "story", "entry", "content", "maincontent"}
-#: Share of a container's votes with which a part of it takes its place.
-MOST = 0.6
 #: Lines to each side that smoothing reaches, and its spread.
 REACH, SPREAD = 2, 1.0
 
@@ -94,7 +94,8 @@ class Lines(HTMLParser):
         elif tag == "header" and not any(self.kinds[c] == 2 for _, _, c in self.open[-1:]):
             out = True
         if tag in ("article", "main", "section", "div", "td", "body"):
-            self.kinds.append(2 if article else 1 if words & ARTICLE_WORDS else 0)
+            # a body's classes name the kind of page, not a region
+            self.kinds.append(2 if article else 1 if words & ARTICLE_WORDS and tag != "body" else 0)
             self.parents.append(container)
             container = len(self.kinds) - 1
             if tag == "body":
@@ -155,20 +156,30 @@ def main_text(html: str | None) -> str:
             votes[container] = votes.get(container, 0) + max(len(text) - linked, 0)
             good, container = container != 0, parser.parents[container]
     best = max((parser.kinds[c] for c, v in votes.items() if v), default=0)
-    chosen = max((c for c in votes if parser.kinds[c] == best), key=lambda c: (votes[c], -c))
-    inner: int | None = chosen
-    while inner is not None:  # a part with most of the votes stands for the whole
-        chosen = inner
-        parts = [c for c in votes if c and parser.parents[c] == chosen and parser.kinds[c] >= best]
-        inner = next((c for c in parts if votes[c] >= MOST * votes[chosen]), None)
-    within = {chosen}
-    for c in range(1, len(parser.parents)):  # parents come before their parts
-        if parser.parents[c] in within:
-            within.add(c)
+    parts: dict[int, list[int]] = {}
+    for c in votes:
+        if c and parser.kinds[c] >= best:
+            parts.setdefault(parser.parents[c], []).append(c)
+    elected: set[int] = set()
+    seen: set[int] = set()  # outermost containers of the best kind and their parts
+    within: set[int] = set()  # what is elected and its parts
+    for c, parent in enumerate(parser.parents):  # parents come before their parts
+        if parent in seen:
+            seen.add(c)
+            within |= {c} if parent in within else set()
+        elif parser.kinds[c] == best and (votes.get(c) or not votes[0]):
+            seen.add(c)
+            chosen = c
+            while inner := [x for x in parts.get(chosen, []) if votes[x] == votes[c] > 0]:
+                chosen = inner[0]
+            elected.add(chosen)
+            within.add(chosen)
     rows = [k for k, line in enumerate(lines) if line[3] in within]
-    if chosen in parser.page:  # no region of its own: from the first to the last marked line
+    if elected & parser.page:  # no region of its own: from the first to the last marked line
         good = [k for k in rows if content[k]]
-        rows = [k for k in rows if good and good[0] <= k <= good[-1]]
+        ends = {lines[k][3] for k in (good[0], good[-1])} - parser.page
+        good += [k for k in rows if lines[k][3] in ends]
+        rows = [k for k in rows if min(good) <= k <= max(good)]
     return "\n".join(lines[k][0] for k in rows)
 
 

@@ -369,6 +369,38 @@ def test_main_text_of_an_unnamed_region():
     assert text == "Title\nShort.\n" + ("word " * 60).strip() + "\nBye & so <x> line"
 
 
+def paragraph(k, n):
+    return f"<p>{f'part{k} ' * (n // 6)}</p>"
+
+
+@pytest.mark.parametrize(
+    "page, parts",
+    [
+        ("<body><div><section>%s</section><section>%s</section></div></body>", (650, 350)),
+        ("<body><div><div><section>%s</section><section>%s</section></div><div>%s</div></div></body>", (390, 260, 350)),
+        ("<body><section><h2>One</h2>%s</section><section>%s<p>End.</p></section></body>", (650, 350)),
+        ("<body><table><tr><td>%s</td><td>%s</td></tr></table></body>", (650, 350)),
+        ("<body><div><article>%s</article><article>%s</article></div></body>", (900, 200)),
+        ("<body><div><article>%s</article></div><div><article>%s</article></div></body>", (900, 200)),
+        ("<body class=post><div class=post>%s</div><div class=post>%s</div><div class='entry x'>%s</div></body>", (300, 200, 250)),
+        ("<main><section>%s</section><article>%s</article></main>", (350, 650)),
+        ("<div><a href=x>only linked</a></div><div><a href=y>text</a></div>", ()),
+    ],
+)
+def test_main_text_in_several_parts(page, parts):
+    html = page % tuple(paragraph(k, n) for k, n in enumerate(parts))
+    want = [" ".join(re.sub("<[^>]*>", "", x).split()) for x in re.split("</?(?:p|h2|div)[^>]*>", html)]
+    assert main_text.main_text(html) == "\n".join(filter(None, want))
+    assert main_text.main_text(f"<nav>menu</nav>{html}<footer>foot</footer>") == "\n".join(filter(None, want))
+
+
+def test_main_text_narrows_to_the_part_with_all_marked_lines():
+    menu = "".join(f"<div><a href=x>link {k}</a></div>" for k in range(8))
+    html = f"<body><div>{menu}<div><h2>Title</h2>{paragraph(0, 900) * 3}</div>{menu}</div></body>"
+    text = main_text.main_text(html).split("\n")
+    assert text[0] == "Title" and len(text) == 4
+
+
 def test_main_text_of_all_pages(spark):
     import html
 
