@@ -39,9 +39,17 @@ ASIDE_WORDS = {
     "popup", "promo", "promoted", "promotion", "related", "replies", "respond", "search", "share", "sharing", "sidebar",
     "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+ARTICLE_WORDS = {"article", "articlebody", "main", "post", "story", "entry", "content", "maincontent"}
+# With the words above these make up the ids of a layout, as in site-footer. An id with any other word is the slug of
+# a title, and says nothing.
+LAYOUT_WORDS = {
+    "area", "bar", "block", "body", "bottom", "box", "buttons", "center", "col", "column", "container", "form",
+    "global", "group", "header", "inner", "left", "links", "list", "middle", "outer", "page", "panel", "posts", "primary",
+    "right", "row", "secondary", "section", "site", "stories", "thread", "top", "widgets", "wrap", "wrapper",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # An end tag of an inline element, paragraph or list item doesn't reach beyond these.
 REGIONS = {"article", "main", "section", "div", "td", "body", "nav", "aside", "footer", "form"}
-ARTICLE_WORDS = {"article", "articlebody", "main", "post", "story", "entry", "content", "maincontent"}
 #: Lines to each side that smoothing reaches, and its spread.
 REACH, SPREAD = 2, 1.0
 
@@ -84,8 +92,11 @@ class Lines(HTMLParser):
             self.end_element("li", {"ul", "ol", "menu"})
         out, container = self.left_out(), self.open[-1][2] if self.open else 0
         given = dict(attrs)
-        names = " ".join(given.get(k) or "" for k in ("class", "id", "role", "itemprop")).lower().split()
+        names = " ".join(given.get(k) or "" for k in ("class", "role", "itemprop")).lower().split()
         words = {w for n in names if not n.startswith(("with-", "has-", "no-")) for w in re.split("[^a-z0-9]+", n)}
+        own = {w for w in re.split("[^a-z0-9]+", (given.get("id") or "").lower()) if w and not w.isdigit()}
+        if tag not in HEADINGS and own <= ASIDE_WORDS | ARTICLE_WORDS | LAYOUT_WORDS:
+            words |= own
         article = tag in ("article", "main") or "articlebody" in words
         if tag in HIDDEN or tag in ASIDE or "hidden" in given or given.get("aria-hidden") == "true":
             out = True

@@ -401,6 +401,15 @@ def test_main_text_narrows_to_the_part_with_all_marked_lines():
     assert text[0] == "Title" and len(text) == 4
 
 
+def test_main_text_keeps_what_has_a_slug_as_id():
+    body = "<h2 id=related-work>Related work</h2>%s<section id=search-algorithms><h3 id=search>Search</h3>%s</section>"
+    body = (body + "<section id=social-effects>%s</section><div id=main-results>%s</div>") % tuple(paragraph(k, 300) for k in range(4))
+    want = [" ".join(re.sub("<[^>]*>", "", x).split()) for x in re.split("</?(?:p|h2|h3)[^>]*>", body)]
+    asides = "".join(f"<div id={x}>{paragraph(9, 300)}</div>" for x in ("search", "site-footer", "comment-12", "left_sidebar", "related-posts"))
+    for page in (f"<article>{body}{asides}</article>", f"<body>{asides}<div>{body}</div>{asides}</body>"):
+        assert main_text.main_text(page) == "\n".join(filter(None, want))
+
+
 def test_main_text_of_all_pages(spark):
     import html
 
