@@ -25,8 +25,10 @@ SAMPLE_PER_LANGUAGE = 600
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
-#: A language counts as recognised from this calibrated probability on.
+#: A language counts as recognised from this calibrated probability on, or, of many languages, from
+#: so many times what chance gives.
 LEAST_SCORE = 0.4
+TIMES_CHANCE = 1.5
 
 
 class NGrams:
@@ -228,7 +230,14 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
 
 
 def recognised(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` without the documents whose language isn't recognised, all columns unchanged."""
-    found = identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    """``docs`` without the documents whose language isn't recognised, all columns unchanged.
+
+    If nothing could be learned, only documents without a letter go.
+    """
+    model = fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = min(least_score, TIMES_CHANCE / len(model.languages))
+    found = predict(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key"))
     return rows.join(found.select("key").distinct(), "key", "left_semi").select("row.*")

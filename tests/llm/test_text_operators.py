@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallybook.llm import language, main_text, packing, pieces, secrets, spans, token_files
@@ -307,6 +308,32 @@ def test_language_odd_and_empty_tables(spark, odd):
     assert kept.schema == odd.schema and {r["text"] for r in odd.collect()} - {r["text"] for r in kept.collect()} >= {None, "", " "}
 
 
+def test_language_rejects_what_has_no_letter_and_little_else(spark, docs):
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    kept = {r["doc_id"] for r in language.recognised(docs).collect()}
+    rejected = {d: t for d, t in rows.items() if d not in kept}
+    assert rejected == {d: t for d, t in rows.items() if not re.search(r"[^\W\d_]", t or "")}
+
+
+def test_language_keeps_texts_with_a_letter_if_nothing_was_learned(spark, odd):
+    for table in (odd.withColumn("lang", F.lit(None).cast("string")), odd.where("doc_id = 2 OR doc_id = 4").withColumn("doc_id", F.lit(None).cast("long"))):
+        kept = language.recognised(table)
+        assert kept.schema == table.schema
+        want = [r for r in table.collect() if re.search(r"[^\W\d_]", r["text"] or "")]
+        assert want and sorted(map(str, kept.collect())) == sorted(map(str, want))
+
+
+def test_language_floor_falls_with_the_number_of_languages(spark, monkeypatch):
+    texts = [(k, f"{chr(97 + k % 20) * 3} {k}", f"l{k % 20}", "s", 1) for k in range(60)]
+    table = spark.createDataFrame(texts, DOCS)
+    model = language.Model([f"l{k}" for k in range(20)], np.zeros((language.FEATURES, 20)), np.ones(language.FEATURES))
+    model.weights[:, 3] = 0.8  # all texts get about 0.1 for one of 20 languages
+    monkeypatch.setattr(language, "fit", lambda docs, *a: model)
+    scores = [r["score"] for r in language.predict(table, model).collect()]
+    assert 0.075 < min(scores) <= max(scores) < 0.4
+    assert language.recognised(table).count() == 60
+
+
 # ------------------------------------------------------------------ packing
 
 
