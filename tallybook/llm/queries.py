@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import graph_index, language, main_text, minhash, multi_index, packing, pieces, secrets, spans, token_files
+from . import (
+    divergence,
+    graph_index,
+    language,
+    main_text,
+    merkle,
+    minhash,
+    multi_index,
+    packing,
+    pieces,
+    secrets,
+    spans,
+    token_counts,
+    token_files,
+)
 from .common import configure, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +89,24 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_index.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and the fold of the altered row for each document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document, and whether it is over 512 tokens."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of a language differ from each other, and the terms that mark each."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {"op11_merkle_manifest": merkle.SQL, "op13_source_divergence": divergence.SQL}
