@@ -61,7 +61,8 @@ def _numbered(nodes: DataFrame, order: list[str]) -> DataFrame:
         (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
         F.sum("n").over(Window.partitionBy("tree")).alias("total"),
     )
-    numbered = placed.join(shares, ["tree", "share"])
+    # stored, the shares lie by no key, and the join deals nodes out by share and not by tree alone
+    numbered = placed.join(stage(shares, "shares"), ["tree", "share"])
     return numbered.withColumn("idx", F.col("row") + F.col("shift")).drop("row", "share", "shift")
 
 
@@ -219,7 +220,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     # "=" before a lang keeps the order and leaves the empty name to null
     tree = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")).alias("tree")
     leaves = docs.select(tree, "doc_id", leaf().alias("digest"), altered.alias("altered"))
-    levels, subroots = _grow(leaves, ["doc_id", "digest"])
+    # stored first, so the sample of the range partitioning doesn't read the texts again
+    levels, subroots = _grow(stage(leaves, "leaves"), ["doc_id", "digest"])
     branches = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("branch"), "digest")
     upper, root = _grow(branches, ["branch"])
 
