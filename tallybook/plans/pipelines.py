@@ -81,24 +81,31 @@ def load_budget(ledger: Ledger, budget: DataFrame, month: date) -> None:
     ledger.load("budget_values", budget_for(budget, month), "TRUNCATE", month)
 
 
-def load_transactions(ledger: Ledger, pages: DataFrame, day: date) -> None:
+def load_transactions(ledger: Ledger, pages: DataFrame, day: date, first: int | None = 1) -> DataFrame:
     """Apply sync pages: versions, tombstones, and the cursor of every item.
 
-    A rerun replaces the partition, also by nothing.  Items whose pages hold only removals get
-    their new cursor too.  On the first run there is no older cursor to keep.  The landed text
-    is parsed once; the three tables read its columns.
+    Returns the ranges of pages that are missing, also stored as ``missing_pages``. An item with one
+    is held back as a whole: none of its pages is applied and it keeps the cursor that it had, or
+    an empty one, so that the next poll gives the missing page again; the others load. A page that
+    landed twice counts once; ``first`` is the number of an item's first page. A late page is
+    applied by a rerun over all pages of the day: a rerun replaces the partition, also by nothing.
+    Items whose pages hold only removals get their new cursor too. The landed text is parsed once;
+    the tables read its columns.
     """
-    pages = stage(pages, "sync-pages")
-    earlier = [d for d in ledger.days("cursors") if d <= day]
+    pages = stage(landed.once(pages, ["item_id"], "page"), "sync-pages")
+    ledger.load("missing_pages", landed.missing_pages(pages, first=first), "TRUNCATE", day)
+    late = ledger.read("missing_pages", day)
+    previous = initial_cursors(pages.select("item_id").distinct())
+    earlier = [d for d in ledger.days("cursors") if d < day]
     if earlier:
-        previous = ledger.read("cursors", earlier[-1]).drop(PARTITION)
-    else:
-        previous = initial_cursors(pages.select("item_id").distinct())
-    ledger.load("transactions", landed.normalize_transactions(pages), "TRUNCATE", day)
-    ledger.load("removed_transactions", landed.normalize_tombstones(pages, day), "TRUNCATE", day)
-    ledger.load("temp_cursors", last_cursors(pages))
+        previous = merge_cursors(ledger.read("cursors", earlier[-1]).drop(PARTITION), previous)
+    whole = landed.hold_back(pages, late)
+    ledger.load("transactions", landed.normalize_transactions(whole), "TRUNCATE", day)
+    ledger.load("removed_transactions", landed.normalize_tombstones(whole, day), "TRUNCATE", day)
+    ledger.load("temp_cursors", last_cursors(whole))
     merged = stage(merge_cursors(ledger.read("temp_cursors"), previous), "cursors")
     ledger.load("cursors", merged, "TRUNCATE", day)
+    return late.drop(PARTITION)
 
 
 def load_investments(
@@ -110,9 +117,11 @@ def load_investments(
     products: tuple[str, ...] = ("investments",),
     window: tuple[int, int] | None = None,
     required: dict[str, date] | None = None,
-) -> None:
+) -> DataFrame:
     """Positions and trades of a day.
 
+    Returns the items whose pages hold fewer trades than they announce, also stored as
+    ``incomplete_trades``; none of their trades is loaded. A page that landed twice counts once.
     ``required`` names partitions without which the job fails.  With ``items`` only pages of items
     that have one of the products count; ``window`` keeps trades dated that many days before
     ``day``, first and last.
@@ -126,11 +135,16 @@ def load_investments(
         holdings, trades = (
             p.join(wanted, p["item"]["item_id"] == wanted["item_id"], "left_semi") for p in (holdings, trades)
         )
-    bought = landed.normalize_trades(trades)
+    trades = stage(landed.trade_pages_once(trades), "trade-pages")
+    ledger.load("incomplete_trades", landed.incomplete_trades(trades), "TRUNCATE", day)
+    late = ledger.read("incomplete_trades", day)
+    whole = landed.hold_back(trades, late, trades["item"]["item_id"])
+    bought = landed.normalize_trades(whole, repeated=False)
     if window is not None:
         bought = window_filter(bought, "investment_date", day, *window)
     ledger.load("investment_holdings", landed.normalize_holdings(holdings), "TRUNCATE", day)
     ledger.load("investment_transactions", bought, "TRUNCATE", day)
+    return late.drop(PARTITION)
 
 
 def missing_dependencies(ledger: Ledger, required: dict[str, date]) -> DataFrame:

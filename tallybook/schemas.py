@@ -85,6 +85,8 @@ ACCOUNTS = struct(
     ("products billed_products", "texts"),
 )
 CURSORS = struct(("item_id next_cursor", "string"))
+MISSING_PAGES = struct(("item_id", "string"), ("first_page last_page", "bigint"), ("reason", "string"))
+INCOMPLETE_TRADES = struct(("item_id", "string"), ("received expected", "bigint"))
 TRANSACTIONS = struct(
     ("item_id account_id transaction_id pending_transaction_id", "string"),
     ("is_pending", "boolean"),
@@ -184,6 +186,8 @@ TABLES = {
             required={"": "item_id next_cursor"},
         ),
         Table("temp_cursors", CURSORS, None, "cursors of the running job"),
+        Table("missing_pages", MISSING_PAGES, "day", "ranges of pages that kept an item from loading"),
+        Table("incomplete_trades", INCOMPLETE_TRADES, "day", "items with fewer trades than announced"),
         Table(
             "transactions", TRANSACTIONS, "day", "added and modified transactions",
             required={

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.operators.islands import gaps, islands
 from tallybook.operators.joins import enrich
 from tallybook.operators.shape import conform
 from tallybook.schemas import ACCOUNTS, HOLDINGS, SECURITY, TOMBSTONES, TRADES, TRANSACTIONS
@@ -260,8 +261,13 @@ def normalize_holdings(raw: DataFrame, unknown: str = "error") -> DataFrame:
     return _typed(_known_security(rows, unknown), HOLDINGS, unknown)
 
 
-def normalize_trades(raw: DataFrame, unknown: str = "error") -> DataFrame:
-    """Trades of all offset pages; securities may stand on any page of the item."""
+def normalize_trades(raw: DataFrame, unknown: str = "error", repeated: bool = True) -> DataFrame:
+    """Trades of all offset pages; securities may stand on any page of the item.
+
+    A page that landed twice counts once; ``repeated=False`` says that the pages are unique already.
+    """
+    if repeated:
+        raw = trade_pages_once(raw)
     i = F.col("i")
     rows = raw.select(
         F.col("item.item_id").alias("item_id"), F.explode("investment_transactions").alias("i")
@@ -291,14 +297,25 @@ def _typed(df: DataFrame, schema: T.StructType, unknown: str) -> DataFrame:
 
 
 def once(pages: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Each page of a key once, however often it landed; the copy with the largest text counts."""
+    """Each page of a key once, however often it landed; the copy with the largest text counts.
+
+    Pages without a number are the same only if all of them is.
+    """
     copy = F.struct(F.to_json(F.struct("*")).alias("text"), F.struct("*").alias("page"))
-    first = pages.select(*key, order, copy.alias("copy")).groupBy(*key, order).agg(
+    unnumbered = F.when(F.col(order).isNull(), F.col("copy.text")).alias("_text")
+    first = pages.select(*key, order, copy.alias("copy")).groupBy(*key, order, unnumbered).agg(
         F.max_by("copy.page", "copy.text").alias("_kept")
     )
     return first.select("_kept.*")
 
 
+def trade_pages_once(raw: DataFrame) -> DataFrame:
+    """Each offset page of an item once; pages of a table without page numbers stay as they are."""
+    if "page" not in raw.columns:
+        return raw
+    return once(raw.withColumn("_item", F.col("item.item_id")), ["_item"], "page").drop("_item")
+
+
 def merge_pages(
     pages: DataFrame, items: str, key: list[str], total: str | None = None, order: str = "page"
 ) -> tuple[DataFrame, DataFrame]:
@@ -338,3 +355,53 @@ def with_product(items: DataFrame, products: list[str], col: str = "products") -
     if not products:
         return items.where(F.lit(False))
     return items.where(F.arrays_overlap(F.col(col), F.array(*[F.lit(p) for p in products])))
+
+
+def missing_pages(
+    pages: DataFrame, key: str = "item_id", order: str = "page", more: str = "has_more", first: int | None = 1
+) -> DataFrame:
+    """``key, first_page, last_page, reason``: ranges of pages that an item lacks; none if it is whole.
+
+    ``before``: pages from ``first`` on (None: the smallest that landed) up to the first one there;
+    ``between``: pages between two that landed; ``after``: the last page announces more, or doesn't say
+    whether it does, so the range has no end; ``outside``: pages that landed are numbered below
+    ``first``; ``unnumbered``: a page has no number and may be any. Copies of a page count once.
+    """
+    between = gaps(islands(pages, [key], order), [key])
+    n = F.col(order)
+    least = F.min(order).alias("least")
+    last = F.max(F.when(n.isNotNull(), F.struct(n.alias("n"), F.col(more).alias("more")))).alias("last")
+    lost = F.max(n.isNull()).alias("lost")
+    ends = pages.groupBy(key).agg(least, last, lost)
+
+    def span(reason: str, from_, to, when) -> Column:
+        row = F.struct(
+            from_.cast("bigint").alias("first_page"), to.cast("bigint").alias("last_page"), F.lit(reason).alias("reason")
+        )
+        return F.when(when, row)
+
+    none, numbered = F.lit(None), F.col("least").isNotNull()
+    begin = F.col("least") if first is None else F.lit(first)
+    ranges = F.array(
+        span("before", begin, F.col("least") - 1, numbered & (F.col("least") > begin)),
+        span("outside", F.col("least"), begin - 1, numbered & (F.col("least") < begin)),
+        span("after", F.col("last.n") + 1, none, numbered & F.coalesce(F.col("last.more"), F.lit(True))),
+        span("unnumbered", none, none, F.col("lost")),
+    )
+    at_ends = ends.select(key, F.inline(F.filter(ranges, lambda r: r.isNotNull())))
+    inside = between.select(key, F.col("first").alias("first_page"), F.col("last").alias("last_page"), F.lit("between").alias("reason"))
+    return inside.unionByName(at_ends)
+
+
+def hold_back(pages: DataFrame, late: DataFrame, item: Column | None = None, key: str = "item_id") -> DataFrame:
+    """Pages of the items that ``late`` doesn't name; a NULL item may be held back too."""
+    named = late.select(F.col(key).alias("_late")).distinct()
+    return pages.join(named, (F.col(key) if item is None else item).eqNullSafe(F.col("_late")), "left_anti")
+
+
+def incomplete_trades(raw: DataFrame) -> DataFrame:
+    """``item_id, received, expected`` of the items whose pages hold fewer trades than they announce."""
+    keyed = raw.select(F.col("item.item_id").alias("item_id"), "investment_transactions", "total_investment_transactions")
+    received = F.sum(F.size(F.coalesce("investment_transactions", F.array()))).alias("received")
+    totals = keyed.groupBy("item_id").agg(received, F.max("total_investment_transactions").alias("expected"))
+    return totals.where("received < expected")

@@ -1,5 +1,6 @@
 """The whole pipeline on the smallest tables."""
 
+import json
 from datetime import date
 
 import pytest
@@ -165,3 +166,71 @@ def test_transactions_are_placed_once(spark, tables):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+# ------------------------------------------------------------------ incomplete feeds
+
+
+def feed(spark, *pages):
+    """Sync pages ``(item, number, has_more, added, removed)``."""
+    from tallybook.schemas import SYNC_PAGE
+
+    def element(i):
+        return {"account_id": "a", "transaction_id": i, "amount": 1.0, "date": "2001-08-01"}
+
+    rows = [
+        {"item_id": item, "page": n, "added": [element(i) for i in added], "modified": [], "has_more": more,
+         "removed": [{"account_id": "a", "transaction_id": i} for i in removed], "next_cursor": f"{item}{n}"}
+        for item, n, more, added, removed in pages
+    ]
+    return spark.createDataFrame([json.dumps(r) for r in rows], "string").select(
+        F.from_json("value", SYNC_PAGE).alias("p")
+    ).select("p.*")
+
+
+def state(store, day):
+    ids = {r.transaction_id for r in store.read("transactions", day).collect()}
+    gone = {r.transaction_id for r in store.read("removed_transactions", day).collect()}
+    return ids, gone, {r.item_id: r.next_cursor for r in store.read("cursors", day).collect()}
+
+
+def test_an_item_with_a_gap_is_held_back(spark, tmp_path):
+    """A gap, a doubled page, and the late page in a rerun."""
+    store, before, day = Ledger(spark, str(tmp_path)), date(2001, 7, 31), AS_OF
+    cursors = spark.createDataFrame([("i", "i-old"), ("j", "j-old"), ("idle", "x")], "item_id string, next_cursor string")
+    store.load("cursors", cursors, partition=before)
+    landed = [
+        ("i", 1, True, ["i1"], []), ("i", 3, False, ["i3"], ["i9"]),
+        ("j", 1, True, ["j1"], []), ("j", 1, True, ["j1"], []), ("j", 2, False, ["j2"], ["j9"]),
+        ("new", 1, True, ["n1"], []),
+    ]
+    late = load_transactions(store, feed(spark, *landed), day)
+    assert {tuple(r) for r in late.collect()} == {("i", 2, 2, "between"), ("new", 2, None, "after")}
+    assert late.collect() == store.read("missing_pages", day).drop("partition_date").collect()
+    assert state(store, day) == ({"j1", "j2"}, {"j9"}, {"i": "i-old", "j": "j2", "idle": "x", "new": ""})
+    assert store.read("transactions", day).count() == 2
+    # what was held back comes with the missing page, and nothing twice
+    whole = feed(spark, *landed, ("i", 2, True, ["i2"], []), ("new", 2, False, [], []))
+    assert load_transactions(store, whole, day).isEmpty()
+    want = {"i1", "i2", "i3", "j1", "j2", "n1"}, {"i9", "j9"}, {"i": "i3", "j": "j2", "idle": "x", "new": "new2"}
+    assert state(store, day) == want and store.read("transactions", day).count() == 6
+    # the next day starts from these cursors
+    after = date(2001, 8, 2)
+    load_transactions(store, feed(spark, ("i", 2, False, ["i4"], [])), after)
+    assert state(store, after) == (set(), set(), want[2])
+
+
+def test_trades_of_incomplete_items_are_held_back(spark, tmp_path):
+    from tallybook.schemas import TRADES_PAGE
+
+    def page(item, n, total, *ids):
+        trades = [{"account_id": "a", "investment_transaction_id": i, "date": "2001-08-01"} for i in ids]
+        return {"item": {"item_id": item}, "page": n, "investment_transactions": trades, "securities": [], "total_investment_transactions": total}
+
+    rows = [page("i", 1, 3, "x", "y"), page("i", 1, 3, "x", "y"), page("j", 1, 2, "u"), page("j", 2, 2, "v"), page("k", 1, 0)]
+    trades = spark.createDataFrame([json.dumps(r) for r in rows], "string").select(F.from_json("value", TRADES_PAGE).alias("p")).select("p.*")
+    store, none = Ledger(spark, str(tmp_path)), holding_pages(spark, SF).where("false")
+    late = load_investments(store, none, trades, AS_OF)
+    assert [tuple(r) for r in late.collect()] == [("i", 2, 3)]
+    got = store.read("investment_transactions", AS_OF).collect()
+    assert sorted(r.investment_transaction_id for r in got) == ["u", "v"]

@@ -193,3 +193,69 @@ def test_equal_versions_do_not_depend_on_partitions(spark, tmp_path):
     for n in range(1, 5):
         versions = P.normalize_transactions(pages).withColumn("partition_date", F.lit(date(2024, 1, 3))).repartition(n)
         assert current_view(versions, gone).first().amount == 7.0
+
+
+# ------------------------------------------------------------------ missing pages
+
+
+def numbered(spark, rows):
+    return spark.createDataFrame(rows, "item_id string, page bigint, has_more boolean")
+
+
+def missing(pages, **k):
+    return {tuple(r) for r in P.missing_pages(pages, **k).collect()}
+
+
+def test_missing_pages_of_every_kind(spark):
+    rows = [
+        ("whole", 1, True), ("whole", 2, True), ("whole", 2, False), ("whole", 3, False),
+        ("gap", 1, True), ("gap", 4, True), ("gap", 4, True), ("gap", 5, True), ("gap", 9, False),
+        ("late", 3, False), ("open", 1, True), ("unsaid", 1, None), ("low", 0, True), ("low", 1, False),
+        ("blank", 1, False), ("blank", None, False), ("none", None, False), (None, 2, False),
+    ]
+    want = {
+        ("gap", 2, 3, "between"), ("gap", 6, 8, "between"), ("late", 1, 2, "before"), ("open", 2, None, "after"),
+        ("unsaid", 2, None, "after"), ("low", 0, 0, "outside"), ("blank", None, None, "unnumbered"),
+        ("none", None, None, "unnumbered"), (None, 1, 1, "before"),
+    }
+    pages = numbered(spark, rows)
+    assert missing(pages) == missing(pages.union(pages)) == want
+    assert missing(pages, first=None) == {r for r in want if r[3] not in ("before", "outside")}
+    assert missing(pages.where("false")) == set()
+    # an item is complete if and only if nothing of it is missing
+    held = {r[0] for r in want if r[3] != "unnumbered"}
+    done = {r.item_id: r.complete for r in P.feed_complete(pages.where("page IS NOT NULL")).collect()}
+    assert {k for k, v in done.items() if not v} == held
+
+
+def test_islands_of_a_hot_key(spark):
+    """Runs that cross blocks of any size are one, at negative numbers too."""
+    from tallybook.operators.islands import gaps, islands
+
+    numbers = [*range(-25, 40), *range(41, 43), *range(60, 200), 10_000]
+    rows = [("hot", n) for n in numbers for _ in range(2)] + [(f"k{n}", n) for n in range(30)] + [(None, 1), (None, 3)]
+    df = spark.createDataFrame(rows, "k string, n bigint")
+    for block in (1, 7, 100, 10_000):
+        runs = islands(df, ["k"], "n", block)
+        got = {tuple(r) for r in runs.where("k = 'hot'").collect()}
+        assert got == {("hot", -25, 39), ("hot", 41, 42), ("hot", 60, 199), ("hot", 10_000, 10_000)}
+        assert runs.where("k <> 'hot'").count() == 30
+        holes = {("hot", 40, 40), ("hot", 43, 59), ("hot", 200, 9999), (None, 2, 2)}
+        assert {tuple(r) for r in gaps(runs, ["k"]).collect()} == holes
+
+
+def test_pages_without_a_number_are_not_thrown_together(spark):
+    pages = numbered(spark, [("i", None, True), ("i", None, False), ("i", None, False), ("i", 1, True), ("i", 1, False)])
+    assert P.once(pages, ["item_id"], "page").count() == 3
+
+
+def test_a_trade_page_that_lands_twice_counts_once(spark, tmp_path):
+    trade = {"account_id": "a", "date": "2024-01-02", "amount": 1.0, "security_id": "s"}
+    page = {"item": {"item_id": "i"}, "page": 1, "securities": [SECURITY], "total_investment_transactions": 3,
+            "investment_transactions": [trade | {"investment_transaction_id": x} for x in "xy"]}
+    raw = land(spark, tmp_path, [page, page, page | {"page": 2, "investment_transactions": []}], TRADES_PAGE)
+    assert P.normalize_trades(raw).count() == 2
+    once = P.trade_pages_once(raw)
+    assert P.normalize_trades(once, repeated=False).count() == 2
+    assert {tuple(r) for r in P.incomplete_trades(once).collect()} == {("i", 2, 3)}
+    assert P.trade_pages_once(raw.drop("page")).count() == 3

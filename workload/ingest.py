@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators.shape import union_all
 from tallybook.schemas import ACCOUNT_PAGE, HOLDINGS_PAGE, SYNC_PAGE, TRADES_PAGE
+from tallybook.session import new_scratch_table, stage
 from tallybook.sources import pages as landed
 from tallybook.sources.balances import value_balances
 from tallybook.sources.budget import budget_for
@@ -18,10 +19,14 @@ from workload.tables import budget, cte, table, with_
 
 
 def as_json(df: DataFrame, schema) -> DataFrame:
-    """Rows through JSON text and back, as they would be landed and read."""
+    """Rows landed as files of JSON lines, and those read as pages."""
+    spark = df.sparkSession
+    path = new_scratch_table(spark, "landed")
     names = [F.col(n) for n in schema.names if n in df.columns]
-    text = df.select(F.to_json(F.struct(*names)).alias("line"))
-    return text.select(F.from_json("line", schema).alias("p")).select("p.*")
+    # the tables come as one row group, so without this one task would write all text
+    dealt = df.repartition(spark.sparkContext.defaultParallelism)
+    dealt.select(F.to_json(F.struct(*names)).alias("line")).write.text(path)
+    return landed.read_pages(spark, path, schema)
 
 
 def _clock(c: Column) -> Column:
@@ -113,7 +118,7 @@ def flat_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order: added, modified or removed by its status."""
+    """One page per order: added, modified or removed by its status; an item's pages are numbered."""
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
     element = SYNC_PAGE["added"].dataType.elementType
     party = element["counterparties"].dataType.elementType
@@ -154,13 +159,17 @@ def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("tx-"), key).alias("transaction_id"),
     )
     no_gone = F.array().cast(SYNC_PAGE["removed"].dataType)
-    return table(spark, sf_dir, "orders").select(
+    by_item = Window.partitionBy(F.col("o_custkey") % 40)
+    numbered = table(spark, sf_dir, "orders").withColumns(
+        {"page": F.row_number().over(by_item.orderBy(key)).cast("bigint"), "pages": F.count("*").over(by_item)}
+    )
+    return numbered.select(
         F.concat(F.lit("item-"), F.col("o_custkey") % 40).alias("item_id"),
-        key.alias("page"),
+        "page",
         F.when(status == "O", F.array(t)).otherwise(empty).alias("added"),
         F.when(status == "F", F.array(t)).otherwise(empty).alias("modified"),
         F.when(status == "P", F.array(gone, gone)).otherwise(no_gone).alias("removed"),
-        F.lit(False).alias("has_more"),
+        (F.col("page") < F.col("pages")).alias("has_more"),
         F.concat(F.lit("cursor-"), key).alias("next_cursor"),
     )
 
@@ -330,9 +339,11 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_currency_code=F.lit("USD"),
         security_id=_security_id(),
     )
+    # order and line number don't name a line: some have several
+    by_item = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return _lines_with_parts(spark, sf_dir).select(
         F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("page"),
+        F.row_number().over(by_item).cast("bigint").alias("page"),
         F.array(row).alias("investment_transactions"),
         F.array(_raw_security(security)).alias("securities"),
         F.lit(1).cast("bigint").alias("total_investment_transactions"),
@@ -349,13 +360,36 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_returnflag AS investment_type, l_linestatus AS investment_subtype, {_SECURITY_SQL}""",
 )
 def normalize_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landed.normalize_trades(as_json(trade_pages(spark, sf_dir), TRADES_PAGE))
+    # trades and securities share one reading of the text, as in a day's load
+    pages = stage(landed.trade_pages_once(as_json(trade_pages(spark, sf_dir), TRADES_PAGE)), "trade-pages")
+    rows = landed.normalize_trades(pages, repeated=False)
     return _flat_security(
         rows, "item_id", "account_id", "investment_transaction_id", "investment_date", "investment_name",
         "quantity", "amount", "price", "fees", "investment_type", "investment_subtype",
     )
 
 
+@query(
+    "a22_page_landed_twice",
+    """
+SELECT 'item-' || l_suppkey AS item_id, l_orderkey || '-' || l_linenumber AS investment_transaction_id,
+       l_extendedprice AS amount, 'sec-' || l_partkey AS security_id
+FROM lineitem WHERE l_returnflag <> 'A'""",
+)
+def trades_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page lands again, as it is or with its name left out."""
+    pages = trade_pages(spark, sf_dir).where(F.col("investment_transactions")[0]["security_id"].isNotNull())
+    again = pages.where("page % 3 = 0")
+    cut = again.withColumn(
+        "investment_transactions",
+        F.transform("investment_transactions", lambda t: t.withField("name", F.lit(None).cast("string"))),
+    )
+    rows = landed.normalize_trades(as_json(pages.unionAll(again).unionAll(cut), TRADES_PAGE))
+    return rows.select(
+        "item_id", "investment_transaction_id", "amount", F.col("security.security_id").alias("security_id")
+    )
+
+
 @query(
     "a23_security_struct",
     """
@@ -465,6 +499,30 @@ def missing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.feed_complete(more, "conv_id", first=0)
 
 
+@query(
+    "a24_missing_ranges",
+    """
+WITH numbered AS (
+  SELECT conv_id, turn // 3 + CASE WHEN conv_id % 3 = 0 AND turn >= 6 THEN 2 WHEN conv_id % 5 = 0 THEN 1 ELSE 0 END AS p,
+         conv_id % 7 = 0 AS more
+  FROM conversations),
+pages AS (SELECT DISTINCT conv_id, p, more FROM numbered),
+edges AS (SELECT *, lead(p) OVER (PARTITION BY conv_id ORDER BY p) AS following FROM pages)
+SELECT conv_id, p + 1 AS first_page, following - 1 AS last_page, 'between' AS reason FROM edges WHERE following > p + 1
+UNION ALL
+SELECT conv_id, 0, min(p) - 1, 'before' FROM pages GROUP BY conv_id HAVING min(p) > 0
+UNION ALL
+SELECT conv_id, max(p) + 1, NULL, 'after' FROM pages WHERE more GROUP BY conv_id""",
+)
+def missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in pages of three turns; some skip two pages, begin late, or announce more."""
+    late = F.when((F.col("conv_id") % 3 == 0) & (F.col("turn") >= 6), 2).when(F.col("conv_id") % 5 == 0, 1).otherwise(0)
+    pages = table(spark, sf_dir, "conversations").select(
+        "conv_id", (F.floor(F.col("turn") / 3) + late).alias("page"), (F.col("conv_id") % 7 == 0).alias("has_more")
+    )
+    return landed.missing_pages(pages, "conv_id", first=0)
+
+
 @query(
     "a25_product_filter",
     """

@@ -6,12 +6,14 @@ import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallybook.operators.shape import union_all
 from tallybook.plans.mart import build_mart, write_mart
-from tallybook.plans.pipelines import Ledger, accounts_snapshot, run_status
+from tallybook.plans.pipelines import Ledger, accounts_snapshot, load_transactions, run_status
 from tallybook.plans.quality import alerts, long_report, quality_report
 from tallybook.schemas import MART, TABLES
-from tallybook.session import new_scratch_table
+from tallybook.session import new_scratch_table, stage
 from tallybook.sources.partitions import scan
 import workload.mart  # noqa: F401  (defines the mart's CTEs)
 from workload.columns import size_sql
@@ -20,6 +22,7 @@ from workload.ingest import (
     flat_accounts,
     institutions,
     supplier_balances,
+    sync_pages,
 )
 from workload.ledger_rules import RULES, UNMAPPED
 from workload.registry import query
@@ -59,6 +62,51 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_accounts(accounts_snapshot(pages, institutions(spark, sf_dir), balances, rates))
 
 
+cte(
+    "numbered_pages",
+    """
+SELECT 'item-' || (o_custkey % 40) AS item_id, 'cursor-' || o_orderkey AS next_cursor, o_orderkey, o_orderstatus,
+       row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderkey) AS page
+FROM orders""",
+)
+
+
+@query(
+    "k3_missing_pages",
+    with_(
+        "numbered_pages",
+        """
+, lost AS (SELECT item_id FROM numbered_pages GROUP BY item_id HAVING max(page) > 5 AND right(item_id, 1) = '3')
+SELECT 'transactions' AS kind, 'tx-' || o_orderkey AS id, CAST(NULL AS VARCHAR) AS detail FROM numbered_pages
+WHERE o_orderstatus <> 'P' AND item_id NOT IN (FROM lost)
+UNION ALL
+SELECT 'tombstones', 'tx-' || o_orderkey, NULL FROM numbered_pages WHERE o_orderstatus = 'P' AND item_id NOT IN (FROM lost)
+UNION ALL
+SELECT 'cursors', item_id, CASE WHEN item_id IN (FROM lost) THEN 'old' ELSE arg_max(next_cursor, page) END
+FROM numbered_pages GROUP BY item_id
+UNION ALL
+SELECT 'missing', item_id, '4-5' FROM lost""",
+    ),
+)
+def feed_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's load where pages 4 and 5 of some items are lost and others landed twice."""
+    store = Ledger(spark, new_scratch_table(spark, "ledger"))
+    day, before = date(2001, 8, 1), date(2001, 7, 31)
+    pages = stage(sync_pages(spark, sf_dir), "pages")
+    lost = F.endswith("item_id", F.lit("3")) & F.col("page").isin(4, 5)
+    items = pages.select("item_id").distinct()
+    store.load("cursors", items.withColumn("next_cursor", F.lit("old")), partition=before)
+    load_transactions(store, pages.where(~lost).unionAll(pages.where("page % 50 = 1")), day)
+    none = F.lit(None).cast("string").alias("detail")
+    span = F.concat_ws("-", "first_page", "last_page").alias("detail")
+    return union_all(
+        store.read("transactions", day).select(F.lit("transactions").alias("kind"), F.col("transaction_id").alias("id"), none),
+        store.read("removed_transactions", day).select(F.lit("tombstones").alias("kind"), F.col("transaction_id").alias("id"), none),
+        store.read("cursors", day).select(F.lit("cursors").alias("kind"), F.col("item_id").alias("id"), F.col("next_cursor").alias("detail")),
+        store.read("missing_pages", day).select(F.lit("missing").alias("kind"), F.col("item_id").alias("id"), span),
+    )
+
+
 @query("k5_metric_mart", with_("mart", "SELECT * FROM mart"))
 def metric_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(ledger(spark, sf_dir), date.fromisoformat(AS_OF), RULES)
