@@ -66,3 +66,29 @@ def current_view(
     """
     live = apply_tombstones(versions, tombstones, list(on), event_date)
     return latest_by(live, [key], order or version_order())
+
+
+def frontier(versions: DataFrame, on: list[str], event_date: str, order: list[Column]) -> DataFrame:
+    """Versions that can still become the newest of their key, whatever tombstones come.
+
+    An earlier tombstone brings back versions dated after it, so the newest one alone isn't enough.
+    A version goes if a newer one of its key is dated the same or later: that one lives whenever
+    this one does. A version without a date lives only without a tombstone. Frontiers may be taken
+    of parts and of parts together. The newest per key and date are found first, which Spark cuts to
+    one row a task before the shuffle, so a hot key leaves few rows to order.
+    """
+    best = latest_by(versions, [*on, event_date], order)
+    newer = Window.partitionBy(*on).orderBy(*order)
+    ranked = best.withColumns(
+        {
+            "_place": F.row_number().over(newer),
+            "_newest": F.max(event_date).over(newer.rowsBetween(Window.unboundedPreceding, -1)),
+        }
+    )
+    later = F.col(event_date).isNotNull() & F.coalesce(F.col(event_date) > F.col("_newest"), F.lit(True))
+    return ranked.where((F.col("_place") == 1) | later).drop("_place", "_newest")
+
+
+def first_tombstones(removed: DataFrame, on: list[str], removed_date: str = "date_removed") -> DataFrame:
+    """One tombstone per key with its earliest date; several are worth as much as this one."""
+    return removed.groupBy(*on).agg(F.min(removed_date).alias(removed_date))

@@ -31,6 +31,12 @@ def _fs(spark: SparkSession, path):
     return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def filesystem(spark: SparkSession, root: str) -> tuple:
+    """The Hadoop file system of a folder, and its path there."""
+    path = _path(spark, root)
+    return _fs(spark, path), path
+
+
 def partition_folder(value: date | datetime, col: str = PARTITION) -> str:
     """Name of a partition's folder, as Spark's writer spells it."""
     return f"{col}={quote(str(value), safe=' ')}"

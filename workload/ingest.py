@@ -117,8 +117,11 @@ def flat_accounts(accounts: DataFrame) -> DataFrame:
     )
 
 
-def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order: added, modified or removed by its status; an item's pages are numbered."""
+def sync_pages(spark: SparkSession, sf_dir: str, name: str = "o_orderkey", **more: Column) -> DataFrame:
+    """One page per order: added, modified or removed by its status; an item's pages are numbered.
+
+    ``name`` is the column that names the transaction; ``more`` are columns to add.
+    """
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
     element = SYNC_PAGE["added"].dataType.elementType
     party = element["counterparties"].dataType.elementType
@@ -135,7 +138,7 @@ def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = struct(
         element,
         account_id=F.concat(F.lit("acct-"), "o_custkey"),
-        transaction_id=F.concat(F.lit("tx-"), key),
+        transaction_id=F.concat(F.lit("tx-"), name),
         amount=price,
         date=F.date_format("o_orderdate", "yyyy-MM-dd"),
         datetime=F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T06:07:08-05:00")),
@@ -156,7 +159,7 @@ def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = F.array().cast(SYNC_PAGE["added"].dataType)
     gone = F.struct(
         F.concat(F.lit("acct-"), "o_custkey").alias("account_id"),
-        F.concat(F.lit("tx-"), key).alias("transaction_id"),
+        F.concat(F.lit("tx-"), name).alias("transaction_id"),
     )
     no_gone = F.array().cast(SYNC_PAGE["removed"].dataType)
     by_item = Window.partitionBy(F.col("o_custkey") % 40)
@@ -171,6 +174,7 @@ def sync_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "P", F.array(gone, gone)).otherwise(no_gone).alias("removed"),
         (F.col("page") < F.col("pages")).alias("has_more"),
         F.concat(F.lit("cursor-"), key).alias("next_cursor"),
+        *[c.alias(n) for n, c in more.items()],
     )
 
 

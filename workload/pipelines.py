@@ -15,6 +15,7 @@ from tallybook.plans.quality import alerts, long_report, quality_report
 from tallybook.schemas import MART, TABLES
 from tallybook.session import new_scratch_table, stage
 from tallybook.sources.partitions import scan
+from tallybook.streaming import feed
 import workload.mart  # noqa: F401  (defines the mart's CTEs)
 from workload.columns import size_sql
 from workload.ingest import (
@@ -107,6 +108,34 @@ def feed_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "i2_compacted_view",
+    with_(
+        "numbered_pages",
+        """
+, v AS (
+  SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, CASE o_orderstatus WHEN 'F' THEN 'MODIFIED' ELSE 'ADDED' END AS status,
+         o_totalprice AS amount, orders.o_orderkey % 4 AS batch, page
+  FROM orders JOIN numbered_pages USING (o_orderkey) WHERE orders.o_orderstatus <> 'P'),
+gone AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE) + 3) AS first FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+SELECT 'tx-' || o_custkey AS transaction_id, day AS transaction_date, status, amount
+FROM v LEFT JOIN gone USING (o_custkey) WHERE first IS NULL OR first < day
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC, status DESC, batch DESC, page DESC) = 1""",
+    ),
+)
+def compacted_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages arrive in four batches, out of order; two bases are made and the older batches deleted."""
+    dst = new_scratch_table(spark, "feed")
+    landed_on = F.date_add(F.to_date("o_orderdate"), 3)
+    pages = stage(sync_pages(spark, sf_dir, "o_custkey", partition_date=landed_on, batch=F.col("o_orderkey") % 4), "pages")
+    for batch in range(4):
+        feed.apply_batch(pages.where(F.col("batch") == batch).drop("batch"), batch, dst)
+        if batch in (1, 2):
+            feed.compact(spark, dst)
+    feed.clean(spark, dst, keep=1)
+    return feed.current(spark, dst).select("transaction_id", "transaction_date", "status", "amount")
+
+
 @query("k5_metric_mart", with_("mart", "SELECT * FROM mart"))
 def metric_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(ledger(spark, sf_dir), date.fromisoformat(AS_OF), RULES)
