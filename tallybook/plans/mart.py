@@ -26,7 +26,8 @@ from tallybook.operators.rules import CASE_RULES, Rule, apply_rules, resolve_nam
 from tallybook.operators.shape import conform, union_all
 from tallybook.schemas import MART, TABLES
 from tallybook.sources.partitions import PARTITION, scan, since_year_start
-from tallybook.sources.tables import write
+from tallybook.sources.publish import publishing
+from tallybook.sources.tables import partition_folder
 
 # Metric classes and the category that is left out.
 TRANSACTIONS_AGG = "TRANSACTIONS_AGG"
@@ -299,19 +300,20 @@ def write_mart(
 ) -> DataFrame:
     """Store the mart of ``as_of`` as partition ``day`` and return the stored rows.
 
-    Detail rows are written first, and the aggregate rows read them back from the mart
-    (five columns of it), so the transaction pipeline runs once.  A rerun starts by
-    replacing the partition.
+    Detail rows are written first, and the aggregate rows read them back (five columns of them),
+    so the transaction pipeline runs once.  Both are built out of sight; the partition changes in
+    one step, and a run that fails at any point leaves the old one.
     """
     parts = mart_parts(tables, as_of, rules or MartRules())
     del parts[TRANSACTIONS_AGG]
     table = TABLES["metric_mart"]
     day, col, spark = day or as_of, table.partition_col, parts[ACCOUNTS].sparkSession
-    write(metric_union(parts), root, MART, "TRUNCATE", day, col=col)
-    stored = scan(spark, root, MART, partition=day, col=col)
-    lines = aggregate_lines(
-        stored.where(F.col("metric_category") == TRANSACTIONS), budget_months(tables["budget_values"])
-    )
-    aggregate = lines.withColumn(PARTITION, F.lit(as_of))
-    write(metric_union({TRANSACTIONS_AGG: aggregate}), root, MART, "APPEND", day, col=col)
+    with publishing(spark, f"{root}/{partition_folder(day, col)}") as path:
+        conform(metric_union(parts), MART).write.parquet(path)
+        stored = spark.read.schema(MART).parquet(path)
+        lines = aggregate_lines(
+            stored.where(F.col("metric_category") == TRANSACTIONS), budget_months(tables["budget_values"])
+        )
+        aggregate = lines.withColumn(PARTITION, F.lit(as_of))
+        conform(metric_union({TRANSACTIONS_AGG: aggregate}), MART).write.mode("append").parquet(path)
     return scan(spark, root, MART, partition=day, col=col)

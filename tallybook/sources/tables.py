@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallybook.operators.shape import conform
 from tallybook.schemas import Table
 from tallybook.sources.partitions import PARTITION, at_grain, scan, with_partition
+from tallybook.sources.publish import publishing, repair_table
 
 DISPOSITIONS = ("TRUNCATE", "APPEND", "EMPTY")
 # Fixed value: the folder of rows without a partition.
@@ -62,6 +63,10 @@ def write(
     leaves it standing.  Without it the frame's own partition column decides, and TRUNCATE
     replaces the partitions that occur in it and no others.  A value within a month or an hour
     stands for the whole of it.  EMPTY fails if a target partition holds rows.
+
+    What a TRUNCATE replaces stands until the new content is written, then the folder changes at
+    once; a load that fails leaves it as it was.  Without ``partition`` Spark's writer moves the
+    partitions into place one by one when all are written.
     """
     _check(disposition)
     spark = df.sparkSession
@@ -78,10 +83,14 @@ def write(
         if not target.isEmpty():
             raise ValueError(f"{root} already holds rows")
     mode = "overwrite" if disposition == "TRUNCATE" else "append"
-    if grain is None:
-        out.write.mode(mode).parquet(root)
-    elif partition is not None:
-        out.drop(col).write.mode(mode).parquet(f"{root}/{partition_folder(partition, col)}")
+    if grain is None or partition is not None:
+        out = out if grain is None else out.drop(col)
+        target = root if grain is None else f"{root}/{partition_folder(partition, col)}"
+        if disposition == "TRUNCATE":
+            with publishing(spark, target) as path:
+                out.write.parquet(path)
+        else:
+            out.write.mode(mode).parquet(target)
     else:
         # few files per partition, and a large day still spreads over many tasks
         out = out.hint("rebalance", F.col(col))
@@ -175,8 +184,10 @@ def partition_days(
     """Partitions of a stored table, oldest first, from one folder listing.
 
     No file is opened, and a value given back as a literal prunes a scan before it starts.
-    Empty partitions are there too; rows without a partition are in none.
+    Empty partitions are there too; rows without a partition are in none.  A load that died while
+    it was put in place is finished first.
     """
+    repair_table(spark, root)
     path = _path(spark, root)
     names = [s.getPath().getName() for s in _fs(spark, path).listStatus(path)]
     values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}=")]

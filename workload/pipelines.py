@@ -115,8 +115,8 @@ def feed_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
 , v AS (
   SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, CASE o_orderstatus WHEN 'F' THEN 'MODIFIED' ELSE 'ADDED' END AS status,
-         o_totalprice AS amount, orders.o_orderkey % 4 AS batch, page
-  FROM orders JOIN numbered_pages USING (o_orderkey) WHERE orders.o_orderstatus <> 'P'),
+         o_totalprice AS amount, o_orderkey % 4 AS batch, page
+  FROM orders JOIN (SELECT o_orderkey, page FROM numbered_pages) USING (o_orderkey) WHERE o_orderstatus <> 'P'),
 gone AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE) + 3) AS first FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
 SELECT 'tx-' || o_custkey AS transaction_id, day AS transaction_date, status, amount
 FROM v LEFT JOIN gone USING (o_custkey) WHERE first IS NULL OR first < day

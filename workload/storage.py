@@ -92,6 +92,35 @@ def rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.scan(spark, root, EVENT).groupBy("partition_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query(
+    "a10_failed_load",
+    with_(
+        "daily",
+        """
+SELECT partition_date, COUNT(*) AS row_count, SUM(event_id) AS id_sum,
+       SUM(event_id) FILTER (event_type = 'click') AS click_sum
+FROM daily WHERE partition_date <> DATE '2024-01-15' OR event_type = 'click' GROUP BY partition_date""",
+    ),
+)
+def failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day is replaced by its clicks; loads of two other days fail while they write."""
+    root, rows = stored_daily(spark, sf_dir), daily(spark, sf_dir)
+    day = date(2024, 1, 15)
+    write(rows.where((F.col("partition_date") == F.lit(day)) & (F.col("event_type") == "click")), root, EVENT, "TRUNCATE", day)
+    fails = F.when(F.col("event_id") >= 0, F.raise_error("broken row").cast("bigint"))
+    for other in (date(2024, 1, 16), date(2024, 1, 17)):
+        try:
+            write(rows.withColumn("event_id", fails), root, EVENT, "TRUNCATE", other)
+        except Exception as e:  # the error comes from a task, in whatever class wraps it
+            if "broken row" not in str(e):
+                raise
+        else:
+            raise AssertionError("the load should have failed")
+    clicks = F.sum(F.when(F.col("event_type") == "click", F.col("event_id"))).alias("click_sum")
+    measures = [F.count(F.lit(1)).alias("row_count"), F.sum("event_id").alias("id_sum"), clicks]
+    return P.scan(spark, root, EVENT).groupBy("partition_date").agg(*measures)
+
+
 @query("a3_list_partitions", with_("daily", "SELECT DISTINCT partition_date FROM daily ORDER BY 1"))
 def list_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.partitions(daily(spark, sf_dir))
