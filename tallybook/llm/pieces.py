@@ -102,7 +102,7 @@ class Pieces:
             self.known.clear()
         runs = _RUNS.findall(BLANK + text.replace(BLANK, LITERAL).replace(" ", BLANK))
         known = self.known
-        for run in set(runs) - known.keys():
+        for run in [r for r in set(runs) if r not in known]:
             known[run] = np.array(self.segment(run), dtype="<u4").tobytes()
         return np.frombuffer(b"".join([known[run] for run in runs]), dtype="<u4")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import compress
 
@@ -36,8 +37,8 @@ class WordEncoder:
     No token of the two vocabularies spans the end of a letter run before common punctuation, a
     line break between other characters, or a space after a character other than white space.
     Texts are cut at such places and every distinct piece is encoded once; a text that holds the
-    mark of a cut, or a space after white space, is one piece. Strings of special tokens are
-    ordinary text.
+    mark of a cut, a space after white space, or the string of a special token is one piece, so the
+    library's own rules decide what a special string becomes.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,7 +46,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncut = "|".join([r"\x1f|[\s\v\x1c-\x1e\x85\p{Z}] ", *map(re.escape, special)])
+        self.special = "|".join(map(re.escape, special)) or None
         # between words stands what is always one token: a line break, or where white space is
         # dropped a control character
         self.between = next(x for x in ("\n", " \x01 ") if len(self._ids([f"a{x}b"])[0]) == 3)
@@ -63,12 +66,18 @@ class WordEncoder:
 
     def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each has."""
-        plain = np.asarray(pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN))
+        given = pa.array(words, pa.string())
+        plain = np.asarray(pc.match_substring_regex(given, _PLAIN))
+        if self.special:
+            plain = plain & ~np.asarray(pc.match_substring_regex(given, self.special))
         simple = list(compress(words, plain))
         joined = [self.between.join(simple[k : k + TOGETHER]) + self.between for k in range(0, len(simple), TOGETHER)]
         ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, dtype=np.uint32) for x in self._ids(joined))])
         ends = np.flatnonzero(ids == self.mark)
-        assert len(ends) == len(simple)
+        if len(ends) != len(simple):  # a mark was merged with a neighbour: each word on its own
+            parts = [np.array(x, dtype=np.uint32) for x in self._ids(words)]
+            lengths = np.array([len(x) for x in parts], dtype=np.int32)
+            return np.concatenate([np.zeros(0, np.uint32), *parts]), lengths
         begins = np.concatenate((np.zeros(1, ends.dtype), ends + 1))[:-1]
         rest = [np.array(x, dtype=np.uint32) for x in self._ids(list(compress(words, ~plain)))]
         order = np.argsort(~plain, kind="stable")  # the simple ones, then the rest
@@ -105,7 +114,7 @@ class WordEncoder:
     def _part(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.slots) > REMEMBERED:
             self.forget()
-        whole = pc.match_substring_regex(texts, r"\x1f|[\s\v\x1c-\x1e\x85\p{Z}] ")
+        whole = pc.match_substring_regex(texts, self.uncut)
         cut = pc.replace_substring(pc.if_else(whole, "", texts), " ", "\x1f ")
         cut = pc.replace_substring_regex(cut, r"(\p{L})([.,;:!?])", "\\1\x1f\\2")
         cut = pc.replace_substring_regex(cut, r"([.!?])\n(\p{L})", "\\1\x1f\n\x1f\\2")

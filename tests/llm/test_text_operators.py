@@ -21,6 +21,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
     None, "", " ", "  a  b\nc ", "a \nb", "a\n b", "it's  a <|endoftext|> test", "é é x", "x" * 3000, " a",
     "A\tb c", "a.\nB", "  a", "a\x1fb c", "don't,'s x", "x!?y..z", "▁ ▁▁a ▁", "日本語 テキスト 🙂🙂", "word " * 4000,
+    "<|endoftext|>", "x<|startoftext|>y <|endoftext|>", "a <|EndOfText|> <|endoftext", "\n", "a\n\n<|endoftext|> b",
 ]
 
 
@@ -41,9 +42,8 @@ def empty(spark):
 
 
 def loaded(path):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    """An untouched tokenizer: a special string in a text is what the library makes of it."""
+    return Tokenizer.from_file(path)
 
 
 # ------------------------------------------------------------------ secrets
