@@ -2,15 +2,17 @@
 
 1. One pass makes each text's set of word shingles, its hash and its MinHash signature. Texts with
    equal sets form a class; only classes go on.
-2. Classes that agree on a band of the signature are candidates. A band value may be shared by any
-   number of classes, so not all pairs are made at once. In a first round each class meets two others
-   of each bucket. Linked classes then count as one, and buckets that hold a single group are done.
-   In later rounds all classes of an open bucket meet its pivots, but those of their own group, and
-   the pivots leave the bucket. Rounds go on until no bucket is left, so every candidate pair is
-   compared or already in one group.
-3. A pair's signatures are compared in batches. It is dropped once the posterior probability that
+2. Classes that agree on a band of the signature are candidates. A class first meets two others of
+   each of its buckets, which connects almost all that belongs together, whatever a bucket's size.
+   Linked classes then are one group, and a bucket of a single group is done.
+3. In the buckets that are left every class meets all of other groups, once: in the first band that
+   the two share. A bucket is cut into blocks, its largest group by itself, and each cell compares
+   one block with another, so neither a task nor a row grows with the bucket, and pairs are only
+   written if they survive.
+4. A pair's signatures are compared in batches. It is dropped once the posterior probability that
    its similarity reaches the threshold falls below the chosen miss probability; what survives is
-   verified on the full shingle sets.
+   verified on the full shingle sets. Shingles that no other class holds can't be shared, so pairs
+   that have too many of them are dropped before.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, components, lookup, mix, run_hashes, stage, text_chunks, word_hashes
+from .common import components, lookup, mix, run_hashes, stage, text_chunks, word_hashes
 
 WIDTH = 5  # words of a shingle
 BANDS, ROWS = 40, 5
@@ -31,8 +33,8 @@ BANDS, ROWS = 40, 5
 PERCENT = 75
 #: Values compared at once, and the probability at which a pair is given up.
 BATCH, MISS = 25, 1e-5
-#: Classes of a bucket that all others of it meet in a round.
-PIVOTS = 256
+#: Classes of a block, on average, and how many of them are compared with a block at once.
+BLOCK, ROWS_AT_ONCE = 1024, 64
 #: Parts of a bucket of which a class meets the head of one, in the first round.
 SLOTS = 16
 
@@ -67,11 +69,12 @@ def least_matches(compared: int, threshold: float, miss: float) -> int:
 
 
 def _sets(docs: DataFrame, with_signature: bool) -> DataFrame:
-    """``doc_id, n, class, data`` by text; data is the signature or the shingles."""
+    """``doc_id, mark, n, class, data`` by text; data is the signature or the shingles, mark a hash
+    of the text, which with doc_id tells a row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, bounds in text_chunks(batch.column(1)):
+            for first, data, bounds in text_chunks(batch.column(2)):
                 words, _, _, edges = word_hashes(data, bounds)
                 n, kinds, out = [], [], []
                 for a, b in zip(edges[:-1], edges[1:]):
@@ -79,16 +82,17 @@ def _sets(docs: DataFrame, with_signature: bool) -> DataFrame:
                     n.append(len(own))
                     kinds.append(int(mix(np.add.reduce(own, keepdims=True) + np.uint64(len(own)))[0].astype(np.int64)))
                     out.append((signature(own) if with_signature else own).tobytes())
-                ids = batch.column(0).slice(first, len(n))
-                columns = [ids, pa.array(n, pa.int64()), pa.array(kinds, pa.int64()), pa.array(out, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "class", "data"])
+                columns = [batch.column(k).slice(first, len(n)) for k in (0, 1)]
+                columns += [pa.array(n, pa.int64()), pa.array(kinds, pa.int64()), pa.array(out, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "n", "class", "data"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(make, f"doc_id {kind}, n long, class long, data binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInArrow(make, f"doc_id {kind}, mark long, n long, class long, data binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """``bucket, class, doc, n``: one row for each band of each class."""
+    """``bucket, band, class, doc, n``: one row for each band of each class."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -101,15 +105,29 @@ def _bands(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 keys = mix(keys + values[:, :, k])
             again = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
-            columns = [pa.array(keys.reshape(-1).astype(np.int64)), *(c.take(again) for c in batch.columns[:3])]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "class", "doc", "n"])
+            bands = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
+            columns = [pa.array(keys.reshape(-1).astype(np.int64)), bands, *(c.take(again) for c in batch.columns[:3])]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "class", "doc", "n"])
 
-    return classes.select("class", "doc", "n", "data").mapInArrow(cut, "bucket long, class long, doc long, n long")
+    return classes.select("class", "doc", "n", "data").mapInArrow(
+        cut, "bucket long, band int, class long, doc long, n long"
+    )
 
 
-def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose similarity reaches the threshold."""
-    steps = [(k, least_matches(k, PERCENT / 100, MISS)) for k in range(BATCH, BANDS * ROWS + 1, BATCH)]
+def _steps() -> list[tuple[int, int]]:
+    return [(k, least_matches(k, PERCENT / 100, MISS)) for k in range(BATCH, BANDS * ROWS + 1, BATCH)]
+
+
+def _with_data(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    # the held side is the large one: it is not repeated, a hot class is split by the join
+    one = pairs.join(held.select(F.col("class").alias("a"), F.col("data").alias("x")), "a")
+    two = one.join(held.select(F.col("class").alias("b"), F.col("data").alias("y")), "b")
+    return two.select("a", "b", "x", "y")
+
+
+def _pruned(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of classes that their signatures don't rule out."""
+    steps = _steps()
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,6 +141,12 @@ def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataF
                 alive, matches, done = alive[keep], matches[keep], upto
             yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(alive)) for k in (0, 1)], names=["a", "b"])
 
+    return _with_data(pairs, signatures).mapInArrow(prune, "a long, b long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of classes whose similarity reaches the threshold."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -132,12 +156,36 @@ def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataF
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 
-    # the held sides are the large ones: they are not repeated, a hot class is split by the join
-    for held, check in ((signatures, prune), (sets, exact)):
-        one = pairs.join(held.select(F.col("class").alias("a"), F.col("data").alias("x")), "a")
-        two = one.join(held.select(F.col("class").alias("b"), F.col("data").alias("y")), "b")
-        pairs = two.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
-    return pairs
+    return _with_data(pairs, sets).mapInArrow(exact, "a long, b long")
+
+
+def _common(sets: DataFrame) -> DataFrame:
+    """``class, alone``: how many of a class's shingles no other class holds; none if it has none."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.frombuffer(v.as_buffer(), dtype=np.int64) for v in batch.column(1)]
+            at = pa.array(np.repeat(np.arange(len(values)), [len(v) for v in values]))
+            flat = np.concatenate([np.zeros(0, np.int64), *values])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(flat)], names=["class", "shingle"])
+
+    rows = sets.select("class", "data").mapInArrow(spread, "class long, shingle long")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("c"), F.min("class").alias("class")).where("c = 1")
+    return held.groupBy("class").agg(F.count("*").alias("alone"))
+
+
+def _possible(a: str, b: str) -> Column:
+    """Whether sizes, all and without what a class holds alone, allow the threshold for a pair.
+
+    Of at most m common shingles the similarity is m / (n + other n - m) at most.
+    """
+    n, other, m = F.col(f"{a}n"), F.col(f"{b}n"), F.least(f"{a}common", f"{b}common")
+    sized = F.least(n, other) * 100 >= F.greatest(n, other) * PERCENT
+    return sized & (m * (100 + PERCENT) >= (n + other) * PERCENT)
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
@@ -148,12 +196,15 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     entries = stage(lookup(entries, shared, ["bucket"], "inner"), "buckets")
     if entries.isEmpty():
         return None
-    involved = entries.select("class", "doc").distinct()
+    involved = entries.select("class", "doc", "n").distinct()
     sets = _sets(docs.join(involved.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"), False)
     sets = sets.join(involved.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = stage(sets.select("class", "data"), "shingles")
-    held = classes.join(involved.select("class"), "class", "left_semi").select("class", "data")
-    held = stage(held, "held")
+    alone = involved.select("class", "n").join(_common(sets), "class", "left")
+    common = (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")
+    held = classes.select("class", "data").join(alone.select("class", "n", common), "class")
+    held = stage(held, "held")  # n and common say at a glance which pairs are possible
+
     # first, a class meets the earliest of each of its buckets and one more, picked by hash among
     # a few: so few pairs connect almost all that belongs together, whatever a bucket's size
     slot = F.pmod(F.xxhash64("class", "bucket"), F.lit(SLOTS))
@@ -161,27 +212,132 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     asked = F.pmod(F.xxhash64("bucket", "class", "n"), F.lit(SLOTS))
     near = entries.withColumn("slot", asked).join(some, ["bucket", "slot"])
     pairs = near.select("class", "other").union(entries.select("class", "pivot")).toDF("x", "y").where("x <> y")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = stage(_verified(pairs, held, sets), "links")
-    entries = entries.select("bucket", "class", "n")
-    while not entries.isEmpty():
-        groups = components(links).toDF("class", "root")
-        named = lookup(entries, groups, ["class"]).withColumn("root", F.coalesce("root", "class"))
-        open_ = named.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        named = stage(lookup(named, open_.select("bucket"), ["bucket"], "inner"), "open")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("class"))
-        pivots = named.withColumn("place", place).where(F.col("place") <= PIVOTS).drop("place")
-        pivots = stage(pivots.toDF(*["other_" + c if c != "bucket" else c for c in pivots.columns]), "pivots")
-        close = f"root <> other_root AND least(n, other_n) * 100 >= greatest(n, other_n) * {PERCENT}"
-        salt = F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int").alias("salt")
-        copies = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        pairs = named.select("*", salt).join(copies, ["bucket", "salt"]).where(close)
-        pairs = pairs.select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b"))
-        links = stage(links.union(_verified(pairs.distinct(), held, sets)), "links")
-        met = pivots.select("bucket", F.col("other_class").alias("class"))
-        left = named.join(met, ["bucket", "class"], "left_anti")
-        entries = stage(left.select("bucket", "class", "n"), "buckets")
-    return links
+    pairs = pairs.select(_ordered("x", "y")).distinct()
+    for end in ("a", "b"):
+        sizes = held.select(F.col("class").alias(end), F.col("n").alias(f"{end}_n"), F.col("common").alias(f"{end}_common"))
+        pairs = lookup(pairs, sizes, [end], "inner")
+    pairs = pairs.where(_possible("a_", "b_")).select("a", "b")
+    links = stage(_verified(_pruned(pairs, held), sets), "links")
+
+    groups = components(links).toDF("class", "root")
+    named = lookup(entries.select("bucket", "band", "class"), groups, ["class"])
+    named = named.withColumn("root", F.coalesce("root", "class"))
+    survivors = stage(_cells(named, held), "pairs")
+    return links.union(_verified(survivors, sets))
+
+
+def _cells(named: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different groups that share a bucket and that signatures don't rule out.
+
+    ``named(bucket, band, class, root)`` says which group a class is in. Pairs within the largest
+    group of a bucket need no look, so it has blocks of its own that never meet each other.
+    """
+    sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    sizes = sizes.groupBy("bucket").agg(
+        F.max_by("root", F.struct("c", "root")).alias("main"),
+        F.max("c").alias("inside"),
+        F.sum("c").alias("total"),
+        F.count("*").alias("roots"),
+    )
+    blocks = [
+        F.ceil(F.col("inside") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil((F.col("total") - F.col("inside")) / BLOCK).cast("int").alias("other_blocks"),
+    ]
+    open_ = stage(sizes.where("roots > 1").select("bucket", "main", *blocks), "open")
+    rows = lookup(named, open_, ["bucket"], "inner")
+    rows = lookup(rows, held, ["class"], "inner").where(f"common * 100 >= n * {PERCENT}")
+    outside = F.col("root") != F.col("main")
+    rows = rows.withColumn("outside", outside).withColumn(
+        "block", F.pmod(F.xxhash64("class"), F.when(outside, F.col("other_blocks")).otherwise(F.col("main_blocks"))).cast("int")
+    )
+
+    def cell(of_main: Column, i: Column, j: Column, first: Column) -> Column:
+        return F.struct(of_main.alias("of_main"), i.alias("i"), j.alias("j"), first.alias("first"))
+
+    def upto(n: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(n) - 1), make)
+
+    yes, no, own = F.lit(True), F.lit(False), F.col("block")
+    with_main = upto("main_blocks", lambda i: cell(yes, i, own, no))
+    with_others = upto("other_blocks", lambda j: cell(no, F.least(own, j), F.greatest(own, j), own <= j))
+    from_main = upto("other_blocks", lambda j: cell(yes, own, j, yes))
+    cells = F.when(F.col("outside"), F.concat(with_main, with_others)).otherwise(from_main)
+    rows = rows.select("bucket", "band", "class", "root", "n", "common", "data", F.explode(cells).alias("cell"))
+    key = ["bucket", "of_main", "i", "j"]
+    rows = rows.select("bucket", "cell.*", "band", "class", "root", "n", "common", "data")
+    sorted_ = rows.repartition(*key).sortWithinPartitions(*key, "first", "class")
+    return sorted_.mapInArrow(_compare_cells(), "a long, b long").distinct()
+
+
+def _compare_cells():
+    steps = _steps()
+
+    def compare(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Surviving pairs of one cell: its first block against the rest, or one block in itself."""
+        band, diagonal = cell["band"][0].as_py(), cell["i"][0].as_py() == cell["j"][0].as_py() and not cell["of_main"][0].as_py()
+        ids, root, n, common = (cell[c].to_numpy() for c in ("class", "root", "n", "common"))
+        data = np.frombuffer(b"".join(cell["data"].to_pylist()), dtype=np.uint16).reshape(len(ids), -1)
+        first = np.asarray(cell["first"].combine_chunks()).astype(bool)
+        left, right = (np.arange(len(ids)),) * 2 if diagonal else (np.flatnonzero(first), np.flatnonzero(~first))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for k in range(0, len(left), ROWS_AT_ONCE):
+            own = left[k : k + ROWS_AT_ONCE]
+            size, other = n[own][:, None], n[right][None, :]
+            most = np.minimum(common[own][:, None], common[right][None, :])
+            fits = (np.minimum(size, other) * 100 >= np.maximum(size, other) * PERCENT) & (root[own][:, None] != root[right][None, :])
+            fits &= most * (100 + PERCENT) >= (size + other) * PERCENT
+            if diagonal:
+                fits &= own[:, None] < right[None, :]
+            p, q = np.nonzero(fits)
+            p, q = own[p], right[q]
+            matches, done = np.zeros(len(p), dtype=np.int64), 0
+            for upto, least in steps:
+                matches = matches + (data[p, done:upto] == data[q, done:upto]).sum(axis=1)
+                keep = matches >= least
+                p, q, matches, done = p[keep], q[keep], matches[keep], upto
+            # a pair is met in each band that it shares; only the first one hands it on
+            equal = (data[p, : band * ROWS] == data[q, : band * ROWS]).reshape(len(p), band, ROWS).all(axis=2).any(axis=1)
+            out.append((p[~equal], q[~equal]))
+        p, q = (np.concatenate([x[k] for x in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
+        return np.minimum(ids[p], ids[q]), np.maximum(ids[p], ids[q])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def given(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            found = [compare(table.slice(a, b - a)) for a, b in zip(starts[:-1], starts[1:]) if b - a > 1]
+            if found:
+                columns = [pa.array(np.concatenate([x[k] for x in found])) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]))
+            table = pa.concat_tables(held).combine_chunks()
+            keys = [table[c].combine_chunks().cast(pa.int64()).to_numpy(zero_copy_only=False) for c in ("bucket", "of_main", "i", "j")]
+            changed = np.zeros(table.num_rows, dtype=bool)
+            for key in keys:
+                changed[1:] |= key[1:] != key[:-1]
+            starts = np.concatenate(([0], np.flatnonzero(changed)))
+            yield from given(table, starts)  # the last cell may go on in the next batch
+            held = [table.slice(int(starts[-1]))]
+        if held:
+            table = held[0].combine_chunks()
+            yield from given(table, np.array([0, table.num_rows]))
+
+    return run
+
+
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Rows ``doc_id, mark, n, class``, the classes with their smallest doc_id, and links of classes."""
+    made = stage(_sets(docs, True), "signatures")
+    linkable = made.where("n > 0 AND doc_id IS NOT NULL")
+    classes = linkable.groupBy("class").agg(
+        F.min("doc_id").cast("long").alias("doc"), F.first("n").alias("n"), F.first("data").alias("data")
+    )
+    classes = stage(classes, "classes")
+    return made.drop("data"), classes.select("class", F.col("doc").alias("first")), _links(classes, docs)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -194,16 +350,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id links with nothing, its component is null and it isn't kept. Equal sets link always;
     ties can't occur, as the smallest doc_id names a group.
     """
-    made = stage(_sets(docs, True), "signatures")
+    made, first, links = _classed(docs)
     linkable = made.where("n > 0 AND doc_id IS NOT NULL")
-    classes = linkable.groupBy("class").agg(
-        F.min("doc_id").cast("long").alias("doc"), F.first("n").alias("n"), F.first("data").alias("data")
-    )
-    classes = stage(classes, "classes")
-    first = classes.select("class", F.col("doc").alias("first"))
     members = lookup(linkable.select("doc_id", "class"), first, ["class"], "inner")
     nodes = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").cast("long").alias("b"))
-    links = _links(classes, docs)
     if links is not None:
         ends = lookup(links, first.toDF("a", "x"), ["a"], "inner")
         ends = lookup(ends, first.toDF("b", "y"), ["b"], "inner")
@@ -218,10 +368,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, all its columns unchanged.
 
-    Of rows that share a doc_id one is kept; rows without a doc_id are all kept.
+    Here a row counts by its text: of rows that share a doc_id only those with equal or linked texts
+    fall together. The smallest doc_id of a group stays, of its texts the one with the smallest
+    hash, of equal rows one. Rows without a doc_id or without words link with nothing and all stay.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select("doc_id", F.struct("*").alias("row"))
-    once = rows.join(kept, F.col("doc_id") == F.col("id"), "left_semi")
-    once = once.groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    return once.select("row.*").union(docs.where("doc_id IS NULL"))
+    made, _, links = _classed(docs)
+    rows = made.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "mark", "class")
+    if links is not None:
+        rows = lookup(rows, components(links).toDF("class", "root"), ["class"])
+        rows = rows.withColumn("group", F.coalesce("root", "class"))
+    else:
+        rows = rows.withColumn("group", F.col("class"))
+    kept = rows.groupBy("group").agg(F.min(F.struct("doc_id", "mark")).alias("k"))
+    kept = kept.select(F.col("k.doc_id").alias("_id"), F.col("k.mark").alias("_mark"))
+    unlinked = made.where("n = 0 AND doc_id IS NOT NULL").select("doc_id", "mark").distinct().toDF("_id", "_mark")
+    own = docs.select("doc_id", F.xxhash64("text").alias("_own"), F.struct("*").alias("row"))
+
+    def of(which: DataFrame) -> DataFrame:
+        return own.join(which, (F.col("doc_id") == F.col("_id")) & (F.col("_own") == F.col("_mark")), "left_semi")
+
+    once = of(kept).groupBy("doc_id", "_own").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    both = once.select("row.*").union(of(unlinked).select("row.*"))
+    return both.union(docs.where("doc_id IS NULL"))

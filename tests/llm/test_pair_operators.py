@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import common, graph_index, minhash, multi_index
 
@@ -111,8 +112,8 @@ def test_near_duplicates_of_the_table(spark):
 
 def test_near_duplicates_without_a_common_pivot(spark, monkeypatch):
     """A chain: neighbours link, distant ones don't; and a crowd that shares many bands and has to
-    be compared in several rounds."""
-    monkeypatch.setattr(minhash, "PIVOTS", 16)
+    be compared in several cells."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
     words = [f"c{k}" for k in range(200)]
     rows = []
     for k in range(20):
@@ -122,6 +123,45 @@ def test_near_duplicates_without_a_common_pivot(spark, monkeypatch):
     assert run_near(spark, rows) == near_by_definition(rows)
 
 
+@pytest.mark.parametrize("block", [7, 1024])
+def test_near_duplicates_of_a_star_and_a_crowd_around_it(spark, monkeypatch, block):
+    """Leaves link with the centre and not with each other; around them, texts just below the threshold
+    to all, of which some pairs link."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "ROWS_AT_ONCE", 5)
+    random = np.random.default_rng(2)
+    base = [f"s{k}" for k in range(120)]
+
+    def changed(places, mark):
+        return " ".join(f"{mark}x{k}" if k in places else w for k, w in enumerate(base))
+
+    rows = [(500, " ".join(base))]
+    rows += [(501 + k, changed({5 + 3 * k, 60 + k, 110}, f"l{k}")) for k in range(18)]
+    for k in range(70):
+        places = set(random.choice(120, int(random.integers(5, 11)), replace=False).tolist())
+        rows.append((600 + 2 * k, changed(places, f"c{k}")))
+        if k % 5 == 0:
+            rows.append((601 + 2 * k, changed(places | {1}, f"c{k}")))
+    want = near_by_definition(rows)
+    sizes = sorted((sum(w[2] == r for w in want) for r in {w[2] for w in want}), reverse=True)
+    assert sizes[0] >= 19 and sizes.count(1) > 10 and 2 in sizes
+    assert run_near(spark, rows) == want
+
+
+def test_survivors_of_cells_are_met_once(spark, monkeypatch):
+    """Whatever the blocks, the pairs that go on to the exact check are the same."""
+    docs = spark.createDataFrame(rows_with_copies(), "doc_id long, text string")
+    found = []
+    for block in (3, 1024):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        classes = minhash._sets(docs, True).where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("data").alias("data"))
+        held = classes.select("class", "data", "n", F.col("n").alias("common"))
+        named = minhash._bands(classes).select("bucket", "band", "class", (F.col("class") % 3).alias("root"))
+        pairs = minhash._cells(named, held)
+        found.append(sorted(map(tuple, pairs.collect())))
+    assert found[0] == found[1] and len(set(found[0])) == len(found[0]) > 0
+
+
 def test_near_duplicates_shared_and_null_ids(spark):
     long = " ".join(f"q{k}" for k in range(40))
     rows = [(1, long), (1, "other text"), (2, "other text"), (3, long + " end"), (None, long), (None, None), (7, "alone")]
@@ -130,7 +170,11 @@ def test_near_duplicates_shared_and_null_ids(spark):
     assert (None, 36, None, False) in got and (None, 0, None, False) in got and (7, 1, 7, True) in got
     table = spark.createDataFrame(rows, "doc_id long, text string")
     kept = minhash.drop_near_duplicates(table).collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "7", "None", "None"]
+    # a text that only shares its id with another one isn't lost
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "1", "7", "None", "None"]
+    assert {r["text"] for r in kept} == {long, "other text", "alone", None}
+    again = minhash.drop_near_duplicates(table.union(table).union(spark.createDataFrame([(8, ""), (8, "")], table.schema)))
+    assert sorted(str(r["doc_id"]) for r in again.collect()) == ["1", "1", "7", "8", "8", *["None"] * 4]
 
 
 def run_near_nulls(spark, rows):
