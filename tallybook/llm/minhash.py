@@ -33,12 +33,15 @@ BANDS, ROWS = 40, 5
 PERCENT = 75
 #: Values compared at once, and the probability at which a pair is given up.
 BATCH, MISS = 25, 1e-5
+#: Further values that are made for classes of open buckets only, and how many are compared at once.
+MORE, MORE_BATCH = 400, 50
 #: Classes of a block, on average, and how many of them are compared with a block at once.
 BLOCK, ROWS_AT_ONCE = 1024, 64
 #: Parts of a bucket of which a class meets the head of one, in the first round.
 SLOTS = 16
 
 _SEEDS = np.random.default_rng(7).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
+_MORE_SEEDS = np.random.default_rng(8).integers(0, 2**63, (2, MORE), dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -46,13 +49,23 @@ def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return np.unique(run_hashes(words, min(width, len(words)))) if len(words) else words
 
 
-def signature(own: np.ndarray) -> np.ndarray:
-    """The smallest value of the set under each of the hash functions, 16 bits of it."""
-    least = np.full(_SEEDS.shape[1], 2**64 - 1, dtype=np.uint64)
+def _least_values(own: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The smallest value of the set under each of the hash functions."""
+    least = np.full(seeds.shape[1], 2**64 - 1, dtype=np.uint64)
     for k in range(0, len(own), 256):
-        values = (own[k : k + 256, None] ^ _SEEDS[0]) * _SEEDS[1]
+        values = (own[k : k + 256, None] ^ seeds[0]) * seeds[1]
         np.minimum(least, values.min(axis=0), out=least)
-    return (least >> np.uint64(40)).astype(np.uint16)
+    return least
+
+
+def signature(own: np.ndarray) -> np.ndarray:
+    """16 bits of each of the smallest values."""
+    return (_least_values(own, _SEEDS) >> np.uint64(40)).astype(np.uint16)
+
+
+def more_signature(own: np.ndarray) -> np.ndarray:
+    """Eight bits of each of the further values; equal by chance counts as a match, so nothing is lost."""
+    return (_least_values(own, _MORE_SEEDS) >> np.uint64(40)).astype(np.uint8)
 
 
 def least_matches(compared: int, threshold: float, miss: float) -> int:
@@ -114,8 +127,20 @@ def _bands(classes: DataFrame) -> DataFrame:
     )
 
 
-def _steps() -> list[tuple[int, int]]:
-    return [(k, least_matches(k, PERCENT / 100, MISS)) for k in range(BATCH, BANDS * ROWS + 1, BATCH)]
+def _steps(first: int, upto: int, batch: int) -> list[tuple[int, int]]:
+    """After how many values a pair is looked at, and the matches that it needs then."""
+    return [(k, least_matches(k, PERCENT / 100, MISS)) for k in range(first + batch, upto + 1, batch)]
+
+
+def _longer(sets: DataFrame) -> DataFrame:
+    """``class, more``: the further values of each set."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [more_signature(np.frombuffer(v.as_buffer(), dtype=np.uint64)).tobytes() for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["class", "more"])
+
+    return sets.select("class", "data").mapInArrow(make, "class long, more binary")
 
 
 def _with_data(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -127,7 +152,7 @@ def _with_data(pairs: DataFrame, held: DataFrame) -> DataFrame:
 
 def _pruned(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes that their signatures don't rule out."""
-    steps = _steps()
+    steps = _steps(0, BANDS * ROWS, BATCH)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,15 +247,16 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     groups = components(links).toDF("class", "root")
     named = lookup(entries.select("bucket", "band", "class"), groups, ["class"])
     named = named.withColumn("root", F.coalesce("root", "class"))
-    survivors = stage(_cells(named, held), "pairs")
+    survivors = stage(_cells(named, held, sets), "pairs")
     return links.union(_verified(survivors, sets))
 
 
-def _cells(named: DataFrame, held: DataFrame) -> DataFrame:
+def _cells(named: DataFrame, held: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of different groups that share a bucket and that signatures don't rule out.
 
     ``named(bucket, band, class, root)`` says which group a class is in. Pairs within the largest
-    group of a bucket need no look, so it has blocks of its own that never meet each other.
+    group of a bucket need no look, so it has blocks of its own that never meet each other. Here
+    signatures are longer: many texts stay apart only just, and more values tell them from links.
     """
     sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("c"))
     sizes = sizes.groupBy("bucket").agg(
@@ -244,8 +270,10 @@ def _cells(named: DataFrame, held: DataFrame) -> DataFrame:
         F.ceil((F.col("total") - F.col("inside")) / BLOCK).cast("int").alias("other_blocks"),
     ]
     open_ = stage(sizes.where("roots > 1").select("bucket", "main", *blocks), "open")
-    rows = lookup(named, open_, ["bucket"], "inner")
-    rows = lookup(rows, held, ["class"], "inner").where(f"common * 100 >= n * {PERCENT}")
+    rows = stage(lookup(named, open_, ["bucket"], "inner"), "open")
+    able = held.where(f"common * 100 >= n * {PERCENT}").join(rows.select("class").distinct(), "class", "left_semi")
+    able = able.join(_longer(sets.join(able.select("class"), "class", "left_semi")), "class")
+    rows = lookup(rows, able, ["class"], "inner")
     outside = F.col("root") != F.col("main")
     rows = rows.withColumn("outside", outside).withColumn(
         "block", F.pmod(F.xxhash64("class"), F.when(outside, F.col("other_blocks")).otherwise(F.col("main_blocks"))).cast("int")
@@ -262,21 +290,25 @@ def _cells(named: DataFrame, held: DataFrame) -> DataFrame:
     with_others = upto("other_blocks", lambda j: cell(no, F.least(own, j), F.greatest(own, j), own <= j))
     from_main = upto("other_blocks", lambda j: cell(yes, own, j, yes))
     cells = F.when(F.col("outside"), F.concat(with_main, with_others)).otherwise(from_main)
-    rows = rows.select("bucket", "band", "class", "root", "n", "common", "data", F.explode(cells).alias("cell"))
+    rows = rows.select("bucket", "band", "class", "root", "n", "common", "data", "more", F.explode(cells).alias("cell"))
     key = ["bucket", "of_main", "i", "j"]
-    rows = rows.select("bucket", "cell.*", "band", "class", "root", "n", "common", "data")
+    rows = rows.select("bucket", "cell.*", "band", "class", "root", "n", "common", "data", "more")
     sorted_ = rows.repartition(*key).sortWithinPartitions(*key, "first", "class")
     return sorted_.mapInArrow(_compare_cells(), "a long, b long").distinct()
 
 
 def _compare_cells():
-    steps = _steps()
+    length = BANDS * ROWS
+    steps = _steps(0, length, BATCH) + _steps(length, length + MORE, MORE_BATCH)
 
     def compare(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """Surviving pairs of one cell: its first block against the rest, or one block in itself."""
         band, diagonal = cell["band"][0].as_py(), cell["i"][0].as_py() == cell["j"][0].as_py() and not cell["of_main"][0].as_py()
         ids, root, n, common = (cell[c].to_numpy() for c in ("class", "root", "n", "common"))
-        data = np.frombuffer(b"".join(cell["data"].to_pylist()), dtype=np.uint16).reshape(len(ids), -1)
+        data, more = (
+            np.frombuffer(b"".join(cell[c].to_pylist()), dtype=kind).reshape(len(ids), -1)
+            for c, kind in (("data", np.uint16), ("more", np.uint8))
+        )
         first = np.asarray(cell["first"].combine_chunks()).astype(bool)
         left, right = (np.arange(len(ids)),) * 2 if diagonal else (np.flatnonzero(first), np.flatnonzero(~first))
         out: list[tuple[np.ndarray, np.ndarray]] = []
@@ -292,7 +324,8 @@ def _compare_cells():
             p, q = own[p], right[q]
             matches, done = np.zeros(len(p), dtype=np.int64), 0
             for upto, least in steps:
-                matches = matches + (data[p, done:upto] == data[q, done:upto]).sum(axis=1)
+                values, at = (data, slice(done, upto)) if upto <= length else (more, slice(done - length, upto - length))
+                matches = matches + (values[p, at] == values[q, at]).sum(axis=1)
                 keep = matches >= least
                 p, q, matches, done = p[keep], q[keep], matches[keep], upto
             # a pair is met in each band that it shares; only the first one hands it on

@@ -157,7 +157,8 @@ def test_survivors_of_cells_are_met_once(spark, monkeypatch):
         classes = minhash._sets(docs, True).where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("data").alias("data"))
         held = classes.select("class", "data", "n", F.col("n").alias("common"))
         named = minhash._bands(classes).select("bucket", "band", "class", (F.col("class") % 3).alias("root"))
-        pairs = minhash._cells(named, held)
+        sets = minhash._sets(docs, False).where("n > 0").dropDuplicates(["class"]).select("class", "data")
+        pairs = minhash._cells(named, held, sets)
         found.append(sorted(map(tuple, pairs.collect())))
     assert found[0] == found[1] and len(set(found[0])) == len(found[0]) > 0
 
