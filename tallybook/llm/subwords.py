@@ -13,9 +13,10 @@ import pyarrow.compute as pc
 
 #: A word without white space or control characters of its own, maybe after one blank.
 _PLAIN = r"^ ?[^\s\v\x01\x1c-\x1f\x85\p{Z}]+$"
-#: Characters of text encoded together, and distinct words that a worker remembers.
-PART = 8_000_000
-REMEMBERED = 1_000_000
+#: Characters of text encoded together, and distinct words that a worker remembers; beyond them it
+#: forgets those that it met once.
+PART = 6_000_000
+REMEMBERED = 600_000
 #: Words that are given to the library as one text.
 TOGETHER = 1000
 
@@ -63,6 +64,20 @@ class WordEncoder:
         self.pool = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int32)
         self.lengths = np.zeros(0, dtype=np.int32)
+        self.met = np.zeros(0, dtype=np.int64)
+
+    def trim(self) -> None:
+        """Forget the words that were met once; all of them if most were met again."""
+        keep = self.met > 1
+        if 2 * keep.sum() > REMEMBERED:
+            self.forget()
+            return
+        words = list(compress(self.slots, keep))
+        self.slots = dict(zip(words, range(len(words))))
+        self.pool = _gather(self.pool, self.starts[keep], self.lengths[keep])
+        self.lengths = self.lengths[keep]
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+        self.met = np.ones(len(words), dtype=np.int64)
 
     def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each has."""
@@ -113,7 +128,7 @@ class WordEncoder:
 
     def _part(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.slots) > REMEMBERED:
-            self.forget()
+            self.trim()
         whole = pc.match_substring_regex(texts, self.uncut)
         cut = pc.replace_substring(pc.if_else(whole, "", texts), " ", "\x1f ")
         cut = pc.replace_substring_regex(cut, r"(\p{L})([.,;:!?])", "\\1\x1f\\2")
@@ -125,6 +140,7 @@ class WordEncoder:
         slots = self.learn(pieces.dictionary.to_pylist())[np.asarray(pieces.indices)]
         rows = np.flatnonzero(np.asarray(whole))
         slots[bounds[rows]] = self.learn(texts.filter(whole).to_pylist())
+        self.met = np.bincount(slots, minlength=len(self.starts)) + np.pad(self.met, (0, len(self.starts) - len(self.met)))
         lengths = self.lengths[slots]
         ids = _gather(self.pool, self.starts[slots], lengths)
         at = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)))[bounds]

@@ -62,45 +62,54 @@ def unpack_values(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray
 
 
 def tokens(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, n, ids`` of whole texts, ids as little-endian bytes, the end id included."""
+    """``doc_id, n, ids, used`` of whole texts, ids as little-endian bytes, the end id included.
+
+    Each task adds one row without a document: ``used`` holds the ids that occur in it and how often.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        words, seen, kind = encoder(path), np.zeros(0, dtype=np.int64), pa.int64()
         for batch in batches:
+            kind = batch.column(0).type
             ids = [np.append(x, end_id).astype("<u4") for x in words.encode(batch.column(1))]
+            for k in range(0, len(ids), 500):
+                more = np.bincount(np.concatenate(ids[k : k + 500]), minlength=len(seen))
+                more[: len(seen)] += seen
+                seen = more
             n = pa.array([len(x) for x in ids], pa.int32())
             # four planes: the high bytes are mostly zero and cost nothing in a compressed file
-            planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(planes, pa.binary())], names=["doc_id", "n", "ids"])
-
+            planes = pa.array([x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in ids], pa.binary())
+            columns = [batch.column(0), n, planes, pa.nulls(len(ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        used = np.flatnonzero(seen)
+        both = np.concatenate([used, seen[used]]).astype("<i8").tobytes()
+        columns = [pa.nulls(1, kind), pa.array([0], pa.int32()), pa.nulls(1, pa.binary()), pa.array([both], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["doc_id", "n", "ids", "used"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n int, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n int, ids binary, used binary")
 
 
 def _values(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
-def frequency_order(tokenised: DataFrame) -> np.ndarray:
-    """All ids that occur, the most frequent first, ties to the smaller id.
+def frequencies(tokenised: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All ids that occur, the most frequent first, ties to the smaller id, and how often each does.
 
     At most as many as the vocabulary has.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, dtype=np.int64)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            planes = batch.column(0).to_pylist()
-            for k in range(0, len(planes), 500):
-                more = np.bincount(np.concatenate([_values(x) for x in planes[k : k + 500]]), minlength=len(seen))
-                more[: len(seen)] += seen
-                seen = more
-        ids = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], names=["id", "n"])
+            for used in batch.column(0).to_pylist():
+                ids, n = np.frombuffer(used, dtype="<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    counts = tokenised.select("ids").mapInArrow(count, "id long, n long")
+    counts = tokenised.where("used IS NOT NULL").select("used").mapInArrow(split, "id long, n long")
     rows = counts.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()
-    return np.array([r["id"] for r in rows], dtype=np.int64)
+    return tuple(np.array([r[c] for r in rows], dtype=np.int64) for c in ("id", "n"))
 
 
 def write_files(docs: DataFrame, path: str, end_id: int, out: str) -> np.ndarray:
@@ -111,11 +120,11 @@ def write_files(docs: DataFrame, path: str, end_id: int, out: str) -> np.ndarray
     of no blocks.
     """
     tokenised = stage(tokens(docs, path, end_id), "tokens")
-    by_rank = frequency_order(tokenised)
+    by_rank, used = frequencies(tokenised)
+    tokenised = tokenised.where("ids IS NOT NULL").drop("used")
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, dtype=np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
-    total = tokenised.agg(F.sum("n")).first()[0] or 0
-    shards = int(total // SHARD_IDS) + 1
+    shards = int(used.sum() // SHARD_IDS) + 1
     share = [k / shards for k in range(1, shards)]
     bounds = sorted(set(tokenised.approxQuantile("doc_id", share, 1 / (8 * shards)))) if share else []
 

@@ -458,3 +458,19 @@ def test_main_text_odd_and_empty_tables(spark):
     assert [texts[k] for k in (0, 1, 2, 4, 7)] == ["", "", "plain text only", "", "deep"]
     assert texts[6] == "x &"
     assert main_text.extract(pages.limit(0)).count() == 0
+
+
+def test_encoder_forgets_words_and_stays_right(docs, monkeypatch):
+    """With room for few words it forgets those met once, or all, and the ids are those of the library."""
+    import pyarrow as pa
+
+    from tallybook.llm import subwords
+
+    texts = [t or "" for t in ODD] + [r["text"] for r in docs.limit(40).collect()]
+    tokenizer = loaded(WORDS)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(subwords, "PART", 2000)
+    for room in (10, 300, 5000):
+        monkeypatch.setattr(subwords, "REMEMBERED", room)
+        encoder = subwords.WordEncoder(WORDS)
+        assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
