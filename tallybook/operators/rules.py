@@ -1,4 +1,4 @@
-"""Ordered first-match rules, compiled to one CASE expression.
+"""Ordered first-match rules, compiled to one CASE expression or, long lists, to lookups.
 
 A rule is plain data, so rules can live in a JSON file next to the budget:
 
@@ -23,6 +23,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.text import extract_or_null
 
@@ -96,17 +97,38 @@ def resolve_name(
     return F.coalesce(clean, F.get(candidates, F.lit(0)), apply_rules(rules, raw, columns))
 
 
-#: Up to so many rules are one CASE; from there on those on one column's value become a lookup.
+#: Up to so many rules are one CASE; from there on those on one column's text become lookups.
 CASE_RULES = 50
 
 
-def _exact(rule: Rule) -> tuple[str, tuple[Any, ...]] | None:
-    """Column and values of a rule that only asks for equality with plain text."""
-    when, then = rule["when"], rule["then"]
-    if isinstance(then, dict) or "col" not in when or when.get("fold") or when["op"] not in ("eq", "in"):
+def _texts(rule: Rule) -> tuple[str, bool, tuple[str, ...]] | None:
+    """Column, whether its beginning is asked for, and texts, of a rule that a lookup can answer."""
+    when = rule["when"]
+    if "col" not in when or when.get("fold"):
         return None
-    values = tuple(when["value"]) if when["op"] == "in" else (when["value"],)
-    return (when["col"], values) if all(isinstance(v, str) for v in values) else None
+    op, value = when["op"], when.get("value")
+    values = tuple(value) if op == "in" else (value,)
+    if not all(isinstance(v, str) for v in values):
+        return None
+    if op in ("eq", "in"):
+        return when["col"], False, values
+    if op == "startswith":
+        return when["col"], True, values
+    if op == "like" and value.endswith("%") and not set(value[:-1]) & set("%_\\"):
+        return when["col"], True, (value[:-1],)
+    return None
+
+
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.select(F.col(column).alias("c")).schema["c"].dataType, T.StringType)
+
+
+def _result_type(df: DataFrame, rules: list[Rule], default: Column, columns: dict[str, Column] | None) -> T.DataType:
+    """The type that one CASE over all rules would have; one rule of each kind of value decides it."""
+    kinds = {repr(r["then"]) if isinstance(r["then"], dict) else type(r["then"]): r["then"] for r in rules}
+    branches = [F.when(F.lit(True), _value(then, columns)) for then in kinds.values()]
+    case = reduce(lambda all_, then: all_.when(F.lit(True), _value(then, columns)), list(kinds.values())[1:], branches[0])
+    return df.select(case.otherwise(default).alias("c")).schema["c"].dataType
 
 
 def with_rules(
@@ -118,38 +140,46 @@ def with_rules(
 ) -> DataFrame:
     """``df`` with the value of the first rule that matches as column ``name``.
 
-    A short list is one CASE. In a long one, rules that compare a column with text are looked up
-    in a table instead, one join a column, and the others stay a CASE; of all that match, the
-    first of the list counts. The tables have as many rows as the list has values, so Spark
-    broadcasts them if they are under its threshold.
+    A short list is one CASE. In a long one, rules that compare a text column with text, or with its
+    beginning, are looked up in tables: one join for a column's values, one for each length of its
+    beginnings. A lookup gives the place of the first rule that matches, the others stay a CASE of
+    places, and the smallest place names the value. So values, types and comparisons are those of
+    the CASE, whatever the list's length. Tables have as many rows as the list has texts, and
+    Spark broadcasts them if they are under its threshold.
     """
     if len(rules) <= CASE_RULES:
         return df.withColumn(name, apply_rules(rules, default, columns))
     spark, kept = df.sparkSession, df.columns
-    tables: dict[str, dict[str, tuple[int, str]]] = {}
+    target = _result_type(df, rules, default, columns)
+    tables: dict[tuple[str, int | None], dict[str, int]] = {}
     others: list[tuple[int, Rule]] = []
-    for order, rule in enumerate(rules):
-        found = _exact(rule)
-        if found is None or (columns and found[0] in columns):
-            others.append((order, rule))
-            continue
-        for value in found[1]:
-            tables.setdefault(found[0], {}).setdefault(value, (order, rule["then"]))
-    hits = []
-    for k, (column, table) in enumerate(tables.items()):
-        rows = [(value, order, str(then)) for value, (order, then) in table.items()]
-        lookup = spark.createDataFrame(rows, f"_key_{k} string, _order_{k} int, _then_{k} string")
-        df = df.join(lookup, F.col(column).cast("string") == F.col(f"_key_{k}"), "left")
-        hits.append((F.col(f"_order_{k}"), F.col(f"_then_{k}")))
-    order, value = None, None
-    for k, rule in others:
-        test, then = condition(rule["when"], columns), _value(rule["then"], columns)
-        order = F.when(test, F.lit(k)) if order is None else order.when(test, F.lit(k))
-        value = F.when(test, then) if value is None else value.when(test, then)
-    if order is not None:
-        hits.append((order, value))
-    far = F.lit(len(rules))
-    picked = [F.struct(F.coalesce(o, far).alias("order"), v.cast("string").alias("value")) for o, v in hits]
-    first = F.least(*picked) if len(picked) > 1 else picked[0]
-    result = F.when(first["order"] < far, first["value"]).otherwise(default)
-    return df.withColumn(name, result).select(*kept, name)
+    text_columns: dict[str, bool] = {}
+    for place, rule in enumerate(rules):
+        found = _texts(rule)
+        if found is not None and not (columns and found[0] in columns):
+            column = found[0]
+            if column not in text_columns:
+                text_columns[column] = _is_text(df, column)
+            if text_columns[column]:
+                for text in found[2]:
+                    length = len(text) if found[1] else None
+                    tables.setdefault((column, length), {}).setdefault(text, place)
+                continue
+        others.append((place, rule))
+    places = []
+    for k, ((column, length), table) in enumerate(tables.items()):
+        lookup = spark.createDataFrame(list(table.items()), f"_key_{k} string, _place_{k} int")
+        text = F.col(column) if length is None else F.substring(column, 1, length)
+        df = df.join(lookup, text == F.col(f"_key_{k}"), "left")
+        places.append(F.col(f"_place_{k}"))
+    if others:
+        tests = [F.when(condition(rule["when"], columns), F.lit(place)) for place, rule in others]
+        places.append(F.coalesce(*tests))
+    first = F.least(*places) if len(places) > 1 else places[0]
+    df = df.withColumn("_place", first)
+    plain = F.array(*[F.lit(None if isinstance(r["then"], dict) else r["then"]).cast(target) for r in rules])
+    value = F.when(F.col("_place").isNull(), default)
+    for place, rule in enumerate(rules):
+        if isinstance(rule["then"], dict):
+            value = value.when(F.col("_place") == place, _value(rule["then"], columns))
+    return df.withColumn(name, value.otherwise(F.get(plain, F.col("_place"))).cast(target)).select(*kept, name)

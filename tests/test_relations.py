@@ -232,3 +232,40 @@ def test_sample_rules_use_the_grammar(spark):
     got = df.withColumn("merchant_name", F.col("merchant_name_raw")).withColumn("category_raw", F.lit("c"))
     assert got.select(apply_rules(rules.merchant, F.col("name_raw"))).first()[0] == "7"
     assert got.select(apply_rules(rules.subcategory, F.lit("s"))).first()[0] == "TICKETS"
+
+
+IDLE = [{"when": {"col": "s", "op": op, "value": f"idle{k}{tail}"}, "then": f"x{k}"} for k, (op, tail) in enumerate([("eq", ""), ("startswith", ""), ("like", "%")] * 20)]
+
+
+def rule(op, value, then, col="s", **more):
+    return {"when": {"col": col, "op": op, "value": value, **more}, "then": then}
+
+
+@pytest.mark.parametrize(
+    "rules",
+    [
+        [rule("eq", "a", None), rule("in", ["b", "ab"], True), rule("startswith", "ab", False)],
+        [rule("like", "ab%", 1), rule("eq", "abc", 2.5), rule("startswith", "a", 3), rule("eq", "é", None)],
+        [rule("startswith", "", "all"), rule("eq", "a", "late")],
+        [rule("like", "%", 1), rule("like", "a_c%", 2)],
+        [rule("like", "a\\\\_%", 1), rule("like", "%b", 2), rule("like", "a%b%", 3), rule("like", "ab", 4)],
+        [rule("eq", "A", "fold", fold=True), rule("eq", "a", {"col": "st.f"}), rule("startswith", "b", {"col": "s", "extract": "(.)$"})],
+        [rule("eq", "1", 1, col="n"), rule("gt", 1, 7, col="n"), rule("startswith", "a", None)],
+        [rule("eq", "a", "first"), rule("present", False, "none"), rule("eq", "a", "second"), rule("startswith", "abc", "p")],
+        [{"when": {"any": [{"col": "s", "op": "eq", "value": "b"}, {"col": "n", "op": "lt", "value": 1}]}, "then": "any"}, rule("startswith", "日本", "jp")],
+        [rule("eq", "in", "x", col="st.f"), rule("startswith", "o", "y", col="st.f")],
+    ],
+)
+@pytest.mark.parametrize("first", [True, False])
+def test_a_rule_list_means_the_same_at_any_length(spark, rules, first):
+    """With idle rules before or after: the same rows and the same type as the short list, as one CASE."""
+    texts = ["a", "ab", "abc", "A", "b", "é", "", None, "日本語", "a_b", "idle", "a\nb"]
+    rows = [(t, k % 3, ("in" if k % 2 else "out",)) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "s string, n int, st struct<f string>")
+    texts_only = {type(r["then"]) for r in rules} == {str}
+    idle = [r if texts_only else r | {"then": rules[0]["then"]} for r in IDLE]
+    default = F.lit("none") if texts_only else F.lit(None)
+    long = with_rules(df, idle + rules if first else rules + idle, default, "v")
+    short = with_rules(df, rules, default, "v")
+    assert long.schema["v"].dataType == short.schema["v"].dataType
+    assert sorted(map(str, long.collect())) == sorted(map(str, short.collect()))

@@ -187,6 +187,30 @@ def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", "category")
 
 
+@query(
+    "b5_many_prefixes",
+    f"""
+SELECT doc_id, CASE WHEN n_chars < 60 THEN -1
+    WHEN length(t) >= 3 AND c < 500 AND substr(t, 1, 1) = 'T' THEN c
+    WHEN starts_with(t, 'The') THEN {_MANY} WHEN contains(t, '://') THEN {_MANY + 1} END AS label
+FROM (SELECT doc_id, n_chars, text AS t, (ascii(substr(text, 2, 1)) * 31 + ascii(substr(text, 3, 1))) % 1000 AS c,
+             ascii(substr(text, 2, 1)) BETWEEN 97 AND 122 AND ascii(substr(text, 3, 1)) BETWEEN 97 AND 122 AS plain
+      FROM documents) WHERE plain""",
+)
+def many_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules for hundreds of beginnings of a text, of two lengths, with numbers as values."""
+    rules = [{"when": _is("n_chars", "lt", 60), "then": -1}]
+    for a in range(97, 123):
+        for b in range(97, 123):
+            if (c := (a * 31 + b) % 1000) < 500:
+                start = f"T{chr(a)}{chr(b)}"
+                rules.append({"when": _is("text", *(("like", start + "%") if b % 2 else ("startswith", start))), "then": c})
+    rules.append({"when": _is("text", "startswith", "The"), "then": _MANY})
+    rules.append({"when": _is("text", "like", "%://%"), "then": _MANY + 1})
+    docs = table(spark, sf_dir, "documents").where(F.substring("text", 2, 2).rlike("^[a-z]{2}$"))
+    return with_rules(docs, rules, F.lit(None), "label").select("doc_id", "label")
+
+
 @query(
     "b6_rule_subcategory",
     """
