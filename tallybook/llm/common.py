@@ -9,14 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.session import configure, stage
+from tallybook.session import configure as configure_session
+from tallybook.session import stage
 
 __all__ = ["components", "configure", "lookup", "stage", "table", "text_chunks", "word_hashes"]
 
 #: A lookup's small side is repeated this often, its large side dealt out as often.
 SALTS = 4
 #: Bytes of text that the numpy helpers work on at once; one longer text is taken alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+#: Bytes of rows that Spark hands to Python at once; a batch of long texts is as small as one of short.
+BATCH_BYTES = "16m"
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return configure_session(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
