@@ -18,13 +18,19 @@ __all__ = ["components", "configure", "lookup", "stage", "table", "text_chunks",
 SALTS = 4
 #: Bytes of text that the numpy helpers work on at once; one longer text is taken alone.
 CHUNK = 1 << 19
-#: Bytes of rows that Spark hands to Python at once; a batch of long texts is as small as one of short.
-BATCH_BYTES = "16m"
+#: Bytes of rows that Spark hands to Python at once, so that a batch of long texts is as small as one
+#: of short ones; what encodes words once a batch is given more of them.
+BATCH_BYTES, WORD_BATCH_BYTES = "4m", "16m"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return configure_session(spark)
+    return in_batches(configure_session(spark))
+
+
+def in_batches(spark: SparkSession, size: str = BATCH_BYTES) -> SparkSession:
+    """From here on plans hand rows to Python in batches of this size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import WORD_BATCH_BYTES, in_batches, stage
 from .subwords import encoder
 
 #: Pieces of one length are numbered in this many parts, so a hot length is no single task.
@@ -147,7 +147,9 @@ def pack(docs: DataFrame, path: str, width: int = 2048, end_id: int = 0) -> Data
     is its end id alone; repeated rows and ids are packed as often as they come; other columns are
     ignored; an empty table gives no rows. Equal pieces are told apart by their number only.
     """
+    in_batches(docs.sparkSession, WORD_BATCH_BYTES)
     cut = stage(pieces(docs, path, width, end_id), "pieces")
+    in_batches(docs.sparkSession)
     cut = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int"))
     counts = cut.groupBy("length", "part").count()
     upto = Window.partitionBy("length").orderBy("part")  # at most PARTS rows

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallybook.session import new_scratch_table
 
-from .common import stage
+from .common import WORD_BATCH_BYTES, in_batches, stage
 from .subwords import encoder
 
 #: Ids of a shard and of a block, about.
@@ -119,7 +119,9 @@ def write_files(docs: DataFrame, path: str, end_id: int, out: str) -> np.ndarray
     their ids; a null doc_id comes first. Other columns are ignored. An empty table gives a folder
     of no blocks.
     """
+    in_batches(docs.sparkSession, WORD_BATCH_BYTES)
     tokenised = stage(tokens(docs, path, end_id), "tokens")
+    in_batches(docs.sparkSession)
     by_rank, used = frequencies(tokenised)
     tokenised = tokenised.where("ids IS NOT NULL").drop("used")
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, dtype=np.uint32)
