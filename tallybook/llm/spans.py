@@ -107,28 +107,35 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """``run, doc_id, key, at``: every run of every text, by its first sentence."""
+    """``run, key, at``: every run of every text, by its first sentence."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, bounds in text_chunks(batch.column(2)):
+            for first, data, bounds in text_chunks(batch.column(1)):
                 found = [x[1] for x in sentence_runs(data, bounds)]
                 sizes = [len(x) for x in found]
                 rows = pa.array(np.repeat(np.arange(first, first + len(found)), sizes))
                 at = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-                columns = [pa.array(np.concatenate(found)), *(batch.column(k).take(rows) for k in (0, 1)), pa.array(at)]
-                yield pa.RecordBatch.from_arrays(columns, names=["run", "doc_id", "key", "at"])
+                columns = [pa.array(np.concatenate(found)), batch.column(0).take(rows), pa.array(at)]
+                yield pa.RecordBatch.from_arrays(columns, names=["run", "key", "at"])
 
-    return _keyed(docs).mapInArrow(make, "run long, doc_id long, key long, at int")
+    return _keyed(docs).select("key", "text").mapInArrow(make, "run long, key long, at int")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """``key, hits``: for each text with repeats, the sentences at which a non-first run begins."""
+    """``key, hits``: for each text with repeats, the sentences at which a non-first run begins.
+
+    Runs are counted by their hash alone; only those that occur again carry their place.
+    """
     runs = _runs(docs)
+    again = runs.groupBy("run").agg(F.count("*").alias("c")).where("c > 1").select("run")
+    again = stage(lookup(runs, again, ["run"], "left_semi", salts=2), "again")
+    ids = _keyed(docs).select("key", "doc_id").distinct()
+    placed = lookup(again, ids, ["key"], "inner")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "at")
-    firsts = runs.groupBy("run").agg(F.min(place).alias("p"), F.count("*").alias("c")).where("c > 1")
+    firsts = placed.groupBy("run").agg(F.min(place).alias("p"))
     firsts = firsts.select("run", F.col("p.key").alias("k"), F.col("p.at").alias("a"))
-    others = lookup(runs.select("run", "key", "at"), firsts, ["run"], "inner", salts=2)
+    others = lookup(again, firsts, ["run"], "inner", salts=2)
     others = others.where("key <> k OR at <> a")
     return others.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("hits"))
 
