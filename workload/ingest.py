@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.shape import union_all
 from tallybook.schemas import ACCOUNT_PAGE, HOLDINGS_PAGE, SYNC_PAGE, TRADES_PAGE
-from tallybook.session import new_scratch_table, stage
 from tallybook.sources import pages as landed
 from tallybook.sources.balances import value_balances
 from tallybook.sources.budget import budget_for
@@ -19,14 +18,15 @@ from workload.tables import budget, cte, table, with_
 
 
 def as_json(df: DataFrame, schema) -> DataFrame:
-    """Rows landed as files of JSON lines, and those read as pages."""
-    spark = df.sparkSession
-    path = new_scratch_table(spark, "landed")
+    """Rows through JSON text and back, as they would be landed and read.
+
+    The tables come as one row group, so rows are dealt out before they become text; each text is
+    parsed once, in a generator that no later projection takes apart.
+    """
     names = [F.col(n) for n in schema.names if n in df.columns]
-    # the tables come as one row group, so without this one task would write all text
-    dealt = df.repartition(spark.sparkContext.defaultParallelism)
-    dealt.select(F.to_json(F.struct(*names)).alias("line")).write.text(path)
-    return landed.read_pages(spark, path, schema)
+    dealt = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    text = dealt.select(F.to_json(F.struct(*names)).alias("line"))
+    return text.select(F.inline(F.array(F.from_json("line", schema))))
 
 
 def _clock(c: Column) -> Column:
@@ -364,8 +364,7 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_returnflag AS investment_type, l_linestatus AS investment_subtype, {_SECURITY_SQL}""",
 )
 def normalize_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # trades and securities share one reading of the text, as in a day's load
-    pages = stage(landed.trade_pages_once(as_json(trade_pages(spark, sf_dir), TRADES_PAGE)), "trade-pages")
+    pages = as_json(trade_pages(spark, sf_dir), TRADES_PAGE)
     rows = landed.normalize_trades(pages, repeated=False)
     return _flat_security(
         rows, "item_id", "account_id", "investment_transaction_id", "investment_date", "investment_name",
