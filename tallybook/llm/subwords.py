@@ -54,6 +54,9 @@ class WordEncoder:
         # dropped a control character
         self.between = next(x for x in ("\n", " \x01 ") if len(self._ids([f"a{x}b"])[0]) == 3)
         self.mark = self._ids([f"a{self.between}b"])[0][1]
+        # where case is dropped anyway, words that differ in it alone are one
+        upper = [f"{a}{chr(k)} {chr(k)}{a}" for k in range(65, 91) for a in "ax1"]
+        self.lower = self._ids(upper) == self._ids([t.lower() for t in upper])
         self.forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -129,8 +132,11 @@ class WordEncoder:
     def _part(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.slots) > REMEMBERED:
             self.trim()
-        whole = pc.match_substring_regex(texts, self.uncut)
-        cut = pc.replace_substring(pc.if_else(whole, "", texts), " ", "\x1f ")
+        plain = pc.ascii_lower(texts) if self.lower else texts
+        whole = pc.match_substring_regex(plain, self.uncut)
+        if self.lower:  # a mark may compose with a small letter and not with its capital
+            whole = pc.or_(whole, pc.match_substring_regex(texts, r"[A-Z]\p{M}"))
+        cut = pc.replace_substring(pc.if_else(whole, "", plain), " ", "\x1f ")
         cut = pc.replace_substring_regex(cut, r"(\p{L})([.,;:!?])", "\\1\x1f\\2")
         cut = pc.replace_substring_regex(cut, r"([.!?])\n(\p{L})", "\\1\x1f\n\x1f\\2")
         cut = pc.split_pattern(cut, "\x1f")

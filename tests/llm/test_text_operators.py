@@ -467,6 +467,7 @@ def test_encoder_forgets_words_and_stays_right(docs, monkeypatch):
     from tallybook.llm import subwords
 
     texts = [t or "" for t in ODD] + [r["text"] for r in docs.limit(40).collect()]
+    texts += ["J\u030c H\u0331 T\u0308 a", "j\u030c É E\u0301 I\u0307", "THE The the tHE, K K.X", "<|ENDOFTEXT|> İ ẞ ß"]
     tokenizer = loaded(WORDS)
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     monkeypatch.setattr(subwords, "PART", 2000)
