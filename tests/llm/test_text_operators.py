@@ -437,6 +437,42 @@ def test_main_text_keeps_what_has_a_slug_as_id():
         assert main_text.main_text(page) == "\n".join(filter(None, want))
 
 
+@pytest.mark.parametrize(
+    "opening, closing",
+    [(f"<div class='{c}'>", "</div>") for c in (
+        "entry-content comments-open", "article-body sponsored-false", "main-content sidebar-right", "related-work",
+        "search-engine-history", "social-sciences",
+    )] + [("<form id=aspnetForm action=x>", "</form>"), ("<form><div class=content>", "</div></form>")],
+)
+def test_main_text_in_a_part_with_a_misleading_name(opening, closing):
+    body = f"<h2>Title</h2>{paragraph(0, 400)}{paragraph(1, 400)}"
+    want = "\n".join(["Title", ("part0 " * 66).strip(), ("part1 " * 66).strip()])
+    asides = f"<nav>{paragraph(7, 300)}</nav><div class=sidebar>{paragraph(8, 60)}</div><form>Mail: <input><button>Go</button></form>"
+    for page in ("<body>%s</body>", f"<body>{asides}%s<footer>End</footer></body>", "<body><div><div>%s</div></div></body>"):
+        assert main_text.main_text(page % (opening + body + closing)) == want
+    inner = "<ul class=share-buttons><li>Share this</ul><div class='comment-list'>" + paragraph(9, 900) + "</div><form>Reply here</form>"
+    assert main_text.main_text(f"<body>{opening}{body}{inner}{closing}</body>") == want
+
+
+def test_main_text_leaves_out_layout_classes():
+    body = paragraph(0, 400) + paragraph(1, 400)
+    want = "\n".join((f"part{k} " * 66).strip() for k in (0, 1))
+    for name in ("comments-area", "site-footer", "ad-slot-3", "cookie-banner v2", "newsletter-signup-box", "post-comments", "sidebar-2"):
+        aside = f"<div class='{name}'>{paragraph(5, 300)}</div>"
+        assert main_text.main_text(f"<body>{aside}<div>{body}{aside}</div>{aside}</body>") == want, name
+    assert main_text.main_text(f"<body><div class=comments>{body}</div></body>") == ""
+    assert main_text.main_text(f"<div>{body}<p>A <span class=ad>bought</span> line</p></div>").endswith("\nA line")
+
+
+@pytest.mark.parametrize("tag", ["<div><p>", "<b>", "<a href=x>", "<section>text", "<form>t", "<div class=related-work>t", "<li>", "</p>"])
+def test_main_text_of_unclosed_tags_is_linear(tag):
+    import time
+
+    begin = time.monotonic()
+    main_text.main_text(tag * 30_000 + "end of it")
+    assert time.monotonic() - begin < 15  # seconds; minutes when open tags were searched
+
+
 def test_main_text_of_all_pages(spark):
     import html
 
