@@ -3,9 +3,14 @@
 A text is cut into sentences: after a word that ends in sentence or clause punctuation, at a line
 break, and, as prose may run on without either, after the word with the smallest hash of each
 window of words that has neither. So every window has a cut, which depends on the words of the
-window alone, and a passage is cut alike wherever it stands but for its edges. From every sentence
-the shortest run of several sentences with enough words is hashed. A run that occurs more than once in
-the whole corpus keeps its first occurrence, by doc_id and place; the sentences of all others go.
+window alone, and a passage is cut alike wherever it stands but for its edges. A run is several
+sentences in a row with enough words. A run that occurs more than once in the whole corpus keeps its
+first occurrence, by doc_id and place; the sentences of all others go.
+
+Of all runs the shortest that begins at each sentence and the shortest that ends with it are hashed.
+These give the same as all runs do: where a longer one repeats, so do those within it, and each of
+its sentences is in one of them, as the words from that sentence to the end of the run are either
+enough for a run or too few, and then the shortest one that ends there reaches back beyond it.
 """
 
 from __future__ import annotations
@@ -76,9 +81,9 @@ def _least(words: np.ndarray, last: np.ndarray, edges: np.ndarray) -> np.ndarray
 
 def sentence_runs(
     data: np.ndarray, bounds: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text: where its sentences begin (byte), hash of the run that begins at each of the
-    first sentences, and the sentence after that run."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text: where its sentences begin (byte), hash of each run, its first sentence and the
+    one after it."""
     words, starts, ends, edges = word_hashes(data, bounds)
     last = np.zeros(len(words), dtype=bool)
     if len(words):
@@ -91,14 +96,21 @@ def sentence_runs(
     undo = np.cumprod(np.full(len(words) + 1, _UNDO, dtype=np.uint64))
     for a, b, origin in zip(edges[:-1], edges[1:], bounds[:-1]):
         if a == b:
-            yield np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            yield tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
             continue
         heads = np.concatenate(([a], a + 1 + np.flatnonzero(last[a : b - 1])))
         cuts = np.concatenate((heads, [b]))
         upto = np.maximum(np.searchsorted(cuts, heads + WORDS), np.arange(len(heads)) + SENTENCES)
         upto = upto[upto < len(cuts)]
-        run = mix((sums[cuts[upto]] - sums[heads[: len(upto)]]) * undo[heads[: len(upto)]])
-        yield starts[heads] - origin, run.astype(np.int64), upto
+        # the shortest run that ends before each sentence, if it isn't the shortest from its first one
+        ends = np.arange(SENTENCES, len(cuts))
+        since = np.minimum(np.searchsorted(cuts, cuts[ends] - WORDS, side="right") - 1, ends - SENTENCES)
+        ends, since = ends[since >= 0], since[since >= 0]
+        other = upto[since] != ends
+        since = np.concatenate((np.arange(len(upto)), since[other]))
+        upto = np.concatenate((upto, ends[other]))
+        run = mix((sums[cuts[upto]] - sums[cuts[since]]) * undo[cuts[since]])
+        yield starts[heads] - origin, run.astype(np.int64), since, upto
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -107,23 +119,22 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """``run, key, at``: every run of every text, by its first sentence."""
+    """``run, key, span``: every run of every text, and where it lies: its first sentence, shifted by
+    32 bits, and the one after it."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, bounds in text_chunks(batch.column(1)):
-                found = [x[1] for x in sentence_runs(data, bounds)]
-                sizes = [len(x) for x in found]
-                rows = pa.array(np.repeat(np.arange(first, first + len(found)), sizes))
-                at = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-                columns = [pa.array(np.concatenate(found)), batch.column(0).take(rows), pa.array(at)]
-                yield pa.RecordBatch.from_arrays(columns, names=["run", "key", "at"])
+                found = [(run, (since << 32) + upto) for _, run, since, upto in sentence_runs(data, bounds)]
+                rows = np.repeat(np.arange(first, first + len(found)), [len(run) for run, _ in found])
+                run, span = (pa.array(np.concatenate(x)) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([run, batch.column(0).take(pa.array(rows)), span], names=["run", "key", "span"])
 
-    return _keyed(docs).select("key", "text").mapInArrow(make, "run long, key long, at int")
+    return _keyed(docs).select("key", "text").mapInArrow(make, "run long, key long, span long")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """``key, hits``: for each text with repeats, the sentences at which a non-first run begins.
+    """``key, hits``: for each text with repeats, where its non-first runs lie.
 
     Runs are counted by their hash alone; only those that occur again carry their place.
     """
@@ -132,12 +143,12 @@ def repeated(docs: DataFrame) -> DataFrame:
     again = stage(lookup(runs, again, ["run"], "left_semi", salts=2), "again")
     ids = _keyed(docs).select("key", "doc_id").distinct()
     placed = lookup(again, ids, ["key"], "inner")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "at")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "span")
     firsts = placed.groupBy("run").agg(F.min(place).alias("p"))
-    firsts = firsts.select("run", F.col("p.key").alias("k"), F.col("p.at").alias("a"))
+    firsts = firsts.select("run", F.col("p.key").alias("k"), F.col("p.span").alias("s"))
     others = lookup(again, firsts, ["run"], "inner", salts=2)
-    others = others.where("key <> k OR at <> a")
-    return others.groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("hits"))
+    others = others.where("key <> k OR span <> s")
+    return others.groupBy("key").agg(F.sort_array(F.collect_set("span")).alias("hits"))
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
@@ -154,11 +165,11 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
             marks = batch.column(3).to_pylist()
             for first, data, bounds in text_chunks(batch.column(2), 1 << 20):
                 texts, counts, removed = [], [], []
-                for k, (starts, _, upto) in enumerate(sentence_runs(data, bounds)):
+                for k, (starts, *_) in enumerate(sentence_runs(data, bounds)):
                     gone = np.zeros(len(starts) + 1, dtype=np.int64)
                     at = np.array(marks[first + k] or [], dtype=np.int64)
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, upto[at], -1)
+                    np.add.at(gone, at >> 32, 1)
+                    np.add.at(gone, at & 0xFFFFFFFF, -1)
                     gone = np.cumsum(gone)[:-1] > 0
                     own = data[bounds[k] : bounds[k + 1]].tobytes()
                     if gone.any():

@@ -106,7 +106,7 @@ def test_secrets_odd_and_empty_tables(spark, odd):
 
 
 def cut_by_definition(rows):
-    """Sentences by plain string work; runs by their words; the first occurrence stays."""
+    """Sentences by plain string work; all runs by their words; the first occurrence stays."""
     split = {}
     for doc, text in sorted(rows):
         words = [m for m in re.finditer(r"[^ \t\n\v\f\r]+", text)]
@@ -126,7 +126,6 @@ def cut_by_definition(rows):
                     run = " ".join(words[cuts[i][0] : cuts[j - 1][1]]).lower()
                     if seen.setdefault(run, (doc, i)) != (doc, i):
                         gone[doc].update(range(i, j))
-                    break
     return {d: [" ".join(w[a:b]) for k, (a, b) in enumerate(c) if k not in gone[d]] for d, (w, c) in split.items()}
 
 
@@ -157,6 +156,14 @@ def test_repeats_by_definition(spark):
         assert (r["n_removed"] == 0) == (r["text"] == dict(rows)[r["doc_id"]])
 
 
+def test_repeats_leave_no_clause_of_a_passage(spark):
+    """Clauses of 10, 10, 10 and 5 words: the last one is in no run of 20 words that begins with it."""
+    clauses = [" ".join(f"c{k}x{j}" for j in range(n)) + "," for k, n in enumerate((10, 10, 10, 5))]
+    rows = [(k, f"Own {k} begins here. {' '.join(clauses)} own {k} goes on. ") for k in range(3)]
+    got = {r["doc_id"]: r["text"] for r in spans.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: "Own 1 begins here. own 1 goes on. ", 2: "Own 2 begins here. own 2 goes on. "}
+
+
 def test_repeats_passage_inside_other_text(spark):
     passage = "Here is the first part of it, and it goes on for quite a while. " * 1 + " ".join(f"w{k}," for k in range(50)) + " end."
     rows = [(k, f"Some own start {k} of words " + passage + f" And then own words {k} again.") for k in range(400)]
@@ -188,7 +195,7 @@ def test_repeats_without_punctuation_inside_differing_texts(spark):
 def test_repeats_stops_before_quotes_and_of_other_scripts():
     words = ["end.\"", "end.)", "end!”", "end?»", "停。", "止！」", "रुक।", "قف؟", "end…", "go", "(.x", "”", ")", "é"]
     data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
-    ((starts, _, _),) = spans.sentence_runs(data, np.array([0, len(data)]))
+    ((starts, *_),) = spans.sentence_runs(data, np.array([0, len(data)]))
     text = data.tobytes()
     assert [text[a:b].decode().split() for a, b in zip(starts, [*starts[1:], len(text)])] == [[w] for w in words[:9]] + [words[9:]]
 
