@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by inner product: a robust-pruned directed graph in each shard.
 
-Vectors are dealt to shards of bounded size. A shard's graph grows by batches: a greedy beam search
+Vectors are dealt to shards of bounded size, whose vectors are about equally long. A shard's graph grows by batches: a greedy beam search
 from the middle of the shard proposes neighbours for each new vector, pruning keeps a proposal only
 if no kept neighbour is much closer to it, and edges are made both ways, pruned again where a
 vector gets too many. A query walks the graph of every shard with a beam; the best of all shards
 are ranked by the exact inner product.
 
 Inner product becomes distance by one more component that gives all vectors of a shard the same
-length. Equal vectors are one node, which lists as many of its ids as an answer can need.
+length. Queries have nothing there, so that component has to be small or they lie far from all that
+the graph was built for: a shard holds one band of lengths, or several that are small together, where
+the beam sees nearly every node. Equal vectors are one node, which lists as many of its ids as an answer can need.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ from .vectors import matrix, packed, usable
 
 #: Vectors of a shard and queries of a block, about.
 SHARD, QUERIES = 8192, 512
+#: Longest to shortest vector of a band of lengths; up to how many vectors and over how many bands
+#: (lengths by a factor of 20) bands share a shard.
+BAND, FEW, REACH = 1.05, 320, 60
+#: Tasks that the query blocks of a shard are dealt to, at most.
+DEALS = 8
 #: Edges of a node, width of the beam when building and searching, relaxation of the pruning.
 EDGES, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 160, 1.2
 #: Beam entries that are expanded at a time.
@@ -117,8 +124,38 @@ def build(points: np.ndarray) -> tuple[np.ndarray, int]:
     return edges, start
 
 
+def _banded(own: DataFrame) -> DataFrame:
+    """``own(vec_id, vector)`` with the vector's number of components and its band of lengths."""
+    largest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate(F.transform("vector", lambda x: (x / F.col("_m")) ** 2), F.lit(0.0), lambda a, x: a + x)
+    length = F.log("_m") + F.log(squares) / 2
+    band = F.floor(length / float(np.log(BAND)) + 0.5).cast("int")  # lengths about 1 are one band
+    return own.withColumn("_m", largest).select("vec_id", "vector", F.size("vector").alias("size"), band.alias("band"))
+
+
+def _layout(points: DataFrame) -> tuple[list[tuple[int, int, int, int]], dict[int, tuple[int, int]]]:
+    """Shards of each band, ``(size, band, first, number)``, and first and last shard of each size.
+
+    The driver sees one count for each occurring size and band of lengths; the range of a double
+    has 29,000 bands.
+    """
+    counts = points.groupBy("size", "band").count().collect()
+    bands, sizes, free, held, opened = [], {}, 0, 0, (0, 0)
+    for size, band, n in sorted((r["size"], -r["band"], r["count"]) for r in counts):
+        if free and held + n <= FEW and opened[0] == size and band - opened[1] < REACH:
+            held += n
+            bands.append((size, -band, free - 1, 1))
+        else:
+            number = -(-n // SHARD)
+            bands.append((size, -band, free, number))
+            free, held, opened = free + number, n, (size, band)
+        sizes[size] = (sizes[size][0] if size in sizes else bands[-1][2], free - 1)
+    return bands, sizes
+
+
 def _graphs(points: DataFrame, shards: int, k: int) -> DataFrame:
-    """One row a shard: its distinct vectors, the smallest ids of each, and its graph."""
+    """One row a shard of ``points(vec_id, vector, size, shard)``: its distinct vectors, the smallest
+    ids of each, and its graph."""
 
     def make(group: pa.Table) -> pa.Table:
         ids = np.asarray(group.column("vec_id").combine_chunks())
@@ -128,7 +165,7 @@ def _graphs(points: DataFrame, shards: int, k: int) -> DataFrame:
         nodes, member = np.unique(vectors, axis=0, return_inverse=True)
         lists = np.split(ids[np.argsort(member, kind="stable")], np.cumsum(np.bincount(member))[:-1])
         lists = [x[: k + 1] for x in lists]
-        edges, start = build(_lifted(nodes))
+        edges, start = build(_lifted(_scaled(nodes)))
         row = {
             "shard": [int(group.column("shard")[0].as_py())], "size": [vectors.shape[1]], "start": [start],
             "nodes": [nodes.tobytes()], "edges": [edges.tobytes()],
@@ -141,9 +178,13 @@ def _graphs(points: DataFrame, shards: int, k: int) -> DataFrame:
         ("edges", pa.binary()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
     ])
     schema = "shard int, size int, start int, nodes binary, edges binary, ids array<long>, counts array<int>"
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    dealt = dealt.repartition(3 * shards, "shard")
-    return dealt.groupBy("shard", "size").applyInArrow(make, schema)
+    dealt = points.select("vec_id", "vector", "shard").repartition(3 * shards, "shard")
+    return dealt.groupBy("shard").applyInArrow(make, schema)
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors by their largest component, so that lengths of any scale have squares."""
+    return vectors / np.abs(vectors).max()
 
 
 def _lifted(vectors: np.ndarray) -> np.ndarray:
@@ -163,15 +204,27 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     """
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), packed("embedding").alias("vector"))
     own = own.where("vec_id IS NOT NULL").where(usable("vector"))
-    own = own.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("size", F.size("vector"))
-    points = stage(own, "points")
-    shards = max(1, -(-points.count() // SHARD))
+    own = own.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    banded = stage(_banded(own), "banded")
+    bands, sizes = _layout(banded)
+    spark = vectors.sparkSession
+    shards = 1 + max((last for _, last in sizes.values()), default=0)
+    bands = spark.createDataFrame(bands, "size int, band int, first int, number int")
+    sizes = spark.createDataFrame([(size, *ends) for size, ends in sizes.items()], "size int, first int, last int")
+    shard = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("number"))).cast("int")
+    points = banded.join(bands, ["size", "band"]).select("vec_id", "vector", "size", shard.alias("shard"))
     graphs = stage(_graphs(points, shards, k), "graphs")
-    asked = points.where(F.col("vec_id") % every == 0)
+    asked = banded.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // QUERIES))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)))
     asked = asked.groupBy("size", "block").agg(F.collect_list(F.struct("vec_id", "vector")).alias("asked"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    asked = asked.join(sizes, "size").withColumn("shard", F.explode(F.sequence("first", "last")))
+    # the blocks of a shard are dealt to several tasks, in a number of parts that stays as it is
+    deals = min(blocks, DEALS)
+    asked = asked.select("shard", F.pmod("block", F.lit(deals)).cast("int").alias("deal"), "asked")
+    asked = asked.repartition(deals * shards, "shard", "deal")
+    copies = graphs.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    copies = copies.repartition(deals * shards, "shard", "deal")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,8 +234,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
                 graph = np.frombuffer(edges.as_buffer(), dtype=np.int32).reshape(len(points), EDGES)
                 ids, counts = ids.values.to_numpy(), counts.values.to_numpy()
                 asking, vectors = np.asarray(queries.values.field(0)), matrix(queries.values.field(1))
-                lifted = np.column_stack((vectors, np.zeros(len(vectors)))).astype(np.float32)
-                found, _ = beam(graph, _lifted(points), start.as_py(), lifted, SEARCH_BEAM)
+                ways = vectors / np.abs(vectors).max(axis=1)[:, None]
+                lifted = np.column_stack((ways, np.zeros(len(ways)))).astype(np.float32)
+                found, _ = beam(graph, _lifted(_scaled(points)), start.as_py(), lifted, SEARCH_BEAM)
                 ends = np.cumsum(counts)
                 out: list[tuple[np.ndarray, ...]] = []
                 for q, near in enumerate(found):
@@ -196,7 +250,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
                 columns = [pa.array(np.concatenate(x)) for x in zip(*out)]
                 yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
-    met = asked.join(graphs, ["shard", "size"]).select("size", "start", "nodes", "edges", "ids", "counts", "asked")
+    met = asked.join(copies, ["shard", "deal"]).select("size", "start", "nodes", "edges", "ids", "counts", "asked")
     found = met.mapInArrow(look, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

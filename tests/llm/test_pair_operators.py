@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,6 +302,42 @@ def test_neighbours_reach_recall(spark, shard, monkeypatch):
     assert found / total >= 0.97
 
 
+@pytest.mark.parametrize("n", [8192, 20000])
+@pytest.mark.parametrize("kind", ["unit", "gaussian", "log-normal"])
+def test_neighbours_of_any_length(spark, kind, n):
+    """Recall against brute force over full shards, for vectors without any clusters."""
+    random = np.random.default_rng(n)
+    x = random.normal(size=(n, 64))
+    if kind == "unit":
+        x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "log-normal":
+        x *= np.exp(random.normal(size=n))[:, None]
+    table = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)}))
+    got = {}
+    for r in graph_index.search(table).select("query_id", "vec_id").collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    found = 0
+    for q in range(0, n, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        found += len(got[q] & set(np.argsort(-scores)[:20].tolist()))
+    assert found / (20 * len(range(0, n, 20))) >= 0.95
+
+
+def test_neighbours_of_extreme_lengths(spark):
+    """Squares beyond the range of a double, beside vectors near zero."""
+    random = np.random.default_rng(8)
+    x = random.normal(size=(60, 4)) * 10.0 ** random.choice([-150, -70, 0, 1, 70, 150], 60)[:, None]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = exact_neighbours(list(enumerate(x)), k=59)
+    got = {}
+    for r in graph_index.search(table, k=59).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, near in got.items():
+        assert [v for _, v, _ in sorted(near)] == [v for _, v in want[q]]
+    assert set(got) == {0, 20, 40}
+
+
 def test_neighbours_odd_rows(spark):
     """Few candidates, ties, copies, other lengths, unusable vectors, repeated rows."""
     rows = [(20 * k, [float(k % 3), 1.0]) for k in range(30)] + [(7, None), (9, [0.0, 0.0]), (11, [1.0, None]), (40, [2.0, 1.0])]
