@@ -26,13 +26,15 @@ from .vectors import matrix, packed, usable
 
 #: Vectors of a shard and queries of a block, about.
 SHARD, QUERIES = 8192, 512
-#: Longest to shortest vector of a band of lengths; up to how many vectors and over how many bands
-#: (lengths by a factor of 20) bands share a shard.
-BAND, FEW, REACH = 1.05, 320, 60
 #: Tasks that the query blocks of a shard are dealt to, at most.
 DEALS = 8
 #: Edges of a node, width of the beam when building and searching, relaxation of the pruning.
 EDGES, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 160, 1.2
+#: Longest to shortest vector of a band of lengths; up to how many vectors (a beam holds them all)
+#: and over how many bands (lengths by a factor of 20) bands share a shard.
+BAND, FEW, REACH = 1.05, SEARCH_BEAM, 60
+#: Nodes without a way from the start that a node takes in a round.
+SPARE = 4
 #: Beam entries that are expanded at a time.
 EXPAND = 4
 
@@ -121,7 +123,33 @@ def build(points: np.ndarray) -> tuple[np.ndarray, int]:
             edges[node, : len(both)] = both
             edges[node, len(both) :] = -1
         done += len(batch)
-    return edges, start
+    return _connected(edges, points, start), start
+
+
+def _connected(edges: np.ndarray, points: np.ndarray, start: int) -> np.ndarray:
+    """``edges`` and, in columns of their own, one to each node that pruning left without a way from
+    the start: long vectors lie apart, and are what most queries look for."""
+    while True:
+        reached = np.zeros(len(points), dtype=bool)
+        front = np.array([start])
+        while len(front):
+            reached[front] = True
+            front = np.unique(edges[front])
+            front = front[front >= 0]
+            front = front[~reached[front]]
+        lost = np.flatnonzero(~reached)
+        if not len(lost):
+            return edges
+        found, _ = beam(edges, points, start, points[lost], BUILD_BEAM)
+        links: dict[int, list[int]] = {}
+        for node, near in zip(lost.tolist(), found):
+            free = (x for x in near[near >= 0].tolist() if len(links.get(x, ())) < SPARE)
+            if (holder := next(free, None)) is not None:
+                links.setdefault(holder, []).append(node)
+        more = np.full((len(points), max(map(len, links.values()))), -1, dtype=edges.dtype)
+        for holder, nodes in links.items():
+            more[holder, : len(nodes)] = nodes
+        edges = np.concatenate((edges, more), axis=1)
 
 
 def _banded(own: DataFrame) -> DataFrame:
@@ -231,7 +259,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
             for row in range(batch.num_rows):
                 size, start, nodes, edges, ids, counts, queries = (c[row] for c in batch.columns)
                 points = np.frombuffer(nodes.as_buffer(), dtype=np.float64).reshape(-1, size.as_py())
-                graph = np.frombuffer(edges.as_buffer(), dtype=np.int32).reshape(len(points), EDGES)
+                graph = np.frombuffer(edges.as_buffer(), dtype=np.int32).reshape(len(points), -1)
                 ids, counts = ids.values.to_numpy(), counts.values.to_numpy()
                 asking, vectors = np.asarray(queries.values.field(0)), matrix(queries.values.field(1))
                 ways = vectors / np.abs(vectors).max(axis=1)[:, None]
