@@ -300,12 +300,15 @@ def once(pages: DataFrame, key: list[str], order: str) -> DataFrame:
     """Each page of a key once, however often it landed; the copy with the largest text counts.
 
     Pages without a number are the same only if all of them is.
+
+    Copies meet before their text is made: the shuffle carries a page once and without its text,
+    and a page without a number goes by the text that it has in common with its copies.
     """
-    copy = F.struct(F.to_json(F.struct("*")).alias("text"), F.struct("*").alias("page"))
-    unnumbered = F.when(F.col(order).isNull(), F.col("copy.text")).alias("_text")
-    first = pages.select(*key, order, copy.alias("copy")).groupBy(*key, order, unnumbered).agg(
-        F.max_by("copy.page", "copy.text").alias("_kept")
-    )
+    columns = F.struct(*[F.col(c) for c in pages.columns])
+    unnumbered = F.when(F.col(order).isNull(), F.to_json(columns)).alias("_text")
+    groups = [*key, order, "_text"]
+    placed = pages.select("*", unnumbered).repartition(*groups)
+    first = placed.groupBy(*groups).agg(F.max_by(columns, F.to_json(columns)).alias("_kept"))
     return first.select("_kept.*")
 
 

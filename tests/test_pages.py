@@ -259,3 +259,31 @@ def test_a_trade_page_that_lands_twice_counts_once(spark, tmp_path):
     assert P.normalize_trades(once, repeated=False).count() == 2
     assert {tuple(r) for r in P.incomplete_trades(once).collect()} == {("i", 2, 3)}
     assert P.trade_pages_once(raw.drop("page")).count() == 3
+
+
+def below_exchange(df):
+    """The part of the plan that feeds the deepest shuffle."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("Exchange ")[-1]
+
+
+def test_copies_of_a_page_meet_before_their_text_is_made(spark):
+    """A shuffle of pages with their texts, sorted in each task before it, took more disk than there was."""
+    rows = [(f"i{n % 50}", n // 50, n % 2 == 0) for n in range(2000)]
+    pages = numbered(spark, rows + rows[:900])
+    kept = P.once(pages, ["item_id"], "page")
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in numbered(spark, rows).collect())
+    fed = below_exchange(kept)
+    assert "Aggregate" not in fed and "Sort " not in fed
+
+
+def test_pages_are_made_once_of_lines_that_are_numbered(spark):
+    """No page crosses the shuffle that numbers it, and copies of pages are no plans of their own."""
+    from workload.ingest import trade_pages, trades_landed_twice
+
+    sf_dir = "/root/testdata/sf0.001"
+    plan = trade_pages(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array(" in plan.split("Window ")[0] and "array(" not in plan.split("Window ")[1]
+    twice = trades_landed_twice(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # one for the trades and one for the securities, which share their shuffles
+    assert "Union" not in twice and twice.count("Window ") == 2

@@ -17,15 +17,22 @@ from workload.registry import query
 from workload.tables import budget, cte, table, with_
 
 
-def as_json(df: DataFrame, schema) -> DataFrame:
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows in tasks of the session's advisory size, as many as the rows need.
+
+    The tables come as one row group, and a scan of it is one task.
+    """
+    return df.hint("rebalance")
+
+
+def as_json(df: DataFrame, schema, deal: bool = True) -> DataFrame:
     """Rows through JSON text and back, as they would be landed and read.
 
-    The tables come as one row group, so rows are dealt out before they become text; each text is
-    parsed once, in a generator that no later projection takes apart.
+    Rows are dealt out before they become text, unless ``deal=False`` says that they are already;
+    each text is parsed once, in a generator that no later projection takes apart.
     """
     names = [F.col(n) for n in schema.names if n in df.columns]
-    dealt = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    text = dealt.select(F.to_json(F.struct(*names)).alias("line"))
+    text = (dealt(df) if deal else df).select(F.to_json(F.struct(*names)).alias("line"))
     return text.select(F.inline(F.array(F.from_json("line", schema))))
 
 
@@ -258,8 +265,10 @@ def _element(layout, **given: Column) -> Column:
     return F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in layout])
 
 
-def _lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+def _lines_with_parts(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Order lines, as read or the ``lines`` given, with their part."""
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
+    parts = table(spark, sf_dir, "part")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
 
 
@@ -345,9 +354,11 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # order and line number don't name a line: some have several
     by_item = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return _lines_with_parts(spark, sf_dir).select(
+    # bare lines are numbered: a page made before would cross the shuffle, with many times the bytes
+    numbered = table(spark, sf_dir, "lineitem").withColumn("page", F.row_number().over(by_item).cast("bigint"))
+    return _lines_with_parts(spark, sf_dir, numbered).select(
         F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
-        F.row_number().over(by_item).cast("bigint").alias("page"),
+        "page",
         F.array(row).alias("investment_transactions"),
         F.array(_raw_security(security)).alias("securities"),
         F.lit(1).cast("bigint").alias("total_investment_transactions"),
@@ -364,7 +375,7 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_returnflag AS investment_type, l_linestatus AS investment_subtype, {_SECURITY_SQL}""",
 )
 def normalize_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = as_json(trade_pages(spark, sf_dir), TRADES_PAGE)
+    pages = as_json(trade_pages(spark, sf_dir), TRADES_PAGE, deal=False)
     rows = landed.normalize_trades(pages, repeated=False)
     return _flat_security(
         rows, "item_id", "account_id", "investment_transaction_id", "investment_date", "investment_name",
@@ -382,12 +393,12 @@ FROM lineitem WHERE l_returnflag <> 'A'""",
 def trades_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third page lands again, as it is or with its name left out."""
     pages = trade_pages(spark, sf_dir).where(F.col("investment_transactions")[0]["security_id"].isNotNull())
-    again = pages.where("page % 3 = 0")
-    cut = again.withColumn(
-        "investment_transactions",
-        F.transform("investment_transactions", lambda t: t.withField("name", F.lit(None).cast("string"))),
-    )
-    rows = landed.normalize_trades(as_json(pages.unionAll(again).unionAll(cut), TRADES_PAGE))
+    whole = F.col("investment_transactions")
+    cut = F.transform(whole, lambda t: t.withField("name", F.lit(None).cast("string")))
+    copies = F.when(F.col("page") % 3 == 0, F.array(whole, whole, cut)).otherwise(F.array(whole))
+    # a page is given out as often as it lands, so pages are made once
+    pages = pages.withColumn("investment_transactions", F.explode(copies))
+    rows = landed.normalize_trades(as_json(pages, TRADES_PAGE, deal=False))
     return rows.select(
         "item_id", "investment_transaction_id", "amount", F.col("security.security_id").alias("security_id")
     )
