@@ -186,15 +186,20 @@ def securities_of(raw: DataFrame) -> DataFrame:
     """(item_id, security_id, security) of landed pages, one row per pair.
 
     A page repeats the dictionary of its item, so pairs are reduced before the shuffle. Where
-    pages differ, the last page counts, and on it the last place.
+    pages differ, the last page counts, and on it the last place. A security crosses the shuffle
+    as its JSON text, which settles ties too: the struct is mostly NULLs.
     """
     page = F.col("page") if "page" in raw.columns else F.lit(0)
     item = F.col("item.item_id").alias("item_id")
     rows = raw.select(item, page.alias("page"), F.posexplode("securities").alias("place", "s"))
     rows = rows.where(F.col("s.security_id").isNotNull())
-    newest = F.max_by("s", F.struct("page", "place", F.to_json("s"))).alias("s")
+    newest = F.max(F.struct("page", "place", F.to_json("s").alias("text"))).alias("newest")
     last = rows.groupBy("item_id", F.col("s.security_id").alias("security_id")).agg(newest)
-    return last.select("item_id", "security_id", security_struct(F.col("s")).alias("security"))
+    # parsed once, in a generator that no later projection takes apart
+    parsed = F.inline(F.array(F.struct(F.from_json("newest.text", rows.schema["s"].dataType).alias("s"))))
+    return last.select("item_id", "security_id", parsed).select(
+        "item_id", "security_id", security_struct(F.col("s")).alias("security")
+    )
 
 
 def attach_security(

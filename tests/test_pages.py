@@ -287,3 +287,16 @@ def test_pages_are_made_once_of_lines_that_are_numbered(spark):
     twice = trades_landed_twice(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     # one for the trades and one for the securities, which share their shuffles
     assert "Union" not in twice and twice.count("Window ") == 2
+
+
+def test_one_security_per_pair_crosses_the_shuffle_as_text(spark, tmp_path):
+    """Every value of a security comes back from its text."""
+    odd = SECURITY | {"name": 'a "b" \\ \n é 😀', "close_price": 0.1 + 0.2, "option_contract": {}, "cusip": ""}
+    page = {"item": {"item_id": "i"}, "page": 1, "securities": [odd], "investment_transactions": []}
+    raw = land(spark, tmp_path, [page, page | {"page": 2, "securities": []}], TRADES_PAGE)
+    found = P.securities_of(raw)
+    (got,) = found.collect()
+    (want,) = raw.where("page = 1").select(P.security_struct(F.col("securities")[0]).alias("s")).collect()
+    assert got.security == want.s and got.security.name == odd["name"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan
