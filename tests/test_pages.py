@@ -300,3 +300,26 @@ def test_one_security_per_pair_crosses_the_shuffle_as_text(spark, tmp_path):
     assert got.security == want.s and got.security.name == odd["name"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "max_by" not in plan
+
+
+def test_pages_are_dealt_out_by_their_size(spark):
+    """A fixed number of tasks grows with the rows: at 6 GB each of them read 2.5 GB."""
+    from tallybook.session import configure
+    from workload.ingest import as_json, holding_pages
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    configure(spark)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 40_000, 1, 8).select(F.struct(F.md5(F.col("id").cast("string")).alias("item_id")).alias("item"))
+        parts = as_json(rows, HOLDINGS_PAGE).select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 2 * spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    # lines are dealt out, not the pages made of them
+    plan = holding_pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array(" not in plan.split("RebalancePartitions")[1]

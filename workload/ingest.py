@@ -291,7 +291,8 @@ def holding_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         quantity=F.col("l_quantity"),
         security_id=_security_id(),
     )
-    return _lines_with_parts(spark, sf_dir).select(
+    # lines are dealt out before they meet their part and become pages, which are many times as wide
+    return _lines_with_parts(spark, sf_dir, dealt(table(spark, sf_dir, "lineitem"))).select(
         F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
         F.array(row).alias("holdings"),
         F.array(_raw_security(security)).alias("securities"),
@@ -327,7 +328,7 @@ SELECT 'item-' || l_suppkey AS item_id, 'acct-' || l_suppkey AS account_id,
        l_quantity AS quantity, {_SECURITY_SQL}""",
 )
 def normalize_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landed.normalize_holdings(as_json(holding_pages(spark, sf_dir), HOLDINGS_PAGE))
+    rows = landed.normalize_holdings(as_json(holding_pages(spark, sf_dir), HOLDINGS_PAGE, deal=False))
     return _flat_security(
         rows, "item_id", "account_id", "cost_basis", "institution_price", "institution_price_date",
         "institution_value", "quantity",
