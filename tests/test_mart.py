@@ -234,3 +234,11 @@ def test_trades_of_incomplete_items_are_held_back(spark, tmp_path):
     assert [tuple(r) for r in late.collect()] == [("i", 2, 3)]
     got = store.read("investment_transactions", AS_OF).collect()
     assert sorted(r.investment_transaction_id for r in got) == ["u", "v"]
+
+
+def test_each_query_stores_its_own_marts(spark):
+    """What one query of a session wrote is no input of the next one."""
+    from workload.pipelines import stored_marts
+
+    first, second = ({f.rsplit("/", 2)[0] for f in stored_marts(spark, SF).inputFiles()} for _ in range(2))
+    assert first and second and not first & second
