@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook import session
 from tallybook.functions.text import category_path, first_of, title_case
 from tallybook.operators.budgeting import (
     actuals,
@@ -244,12 +245,37 @@ def aggregate_lines(tx: DataFrame, budget: DataFrame) -> DataFrame:
     return with_paths(with_balance(budget_vs_actual(budget_totals(budget), actuals(tx, unique=True))))
 
 
+def held_positions(holdings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Positions with the newest labels of their account."""
+    return enrich(positions(holdings), labels.drop("institution_name"), ["item_id", "account_id"])
+
+
+def stored_labels(tables: dict[str, DataFrame], rules: MartRules) -> DataFrame:
+    """Labels of the accounts that hold something, stored.
+
+    They are few beside all accounts, and known to be before the join is planned: wide positions
+    needn't cross a shuffle to meet them where they are small enough to be broadcast.
+    """
+    on = ["item_id", "account_id"]
+    labels = account_labels(account_balances(tables["financial_accounts"], rules))
+    holders = tables["investment_holdings"].select(*on).distinct()
+    return session.stage(labels.join(holders, on, "left_semi"), "labels")
+
+
+def stored_positions(tables: dict[str, DataFrame], rules: MartRules | None = None) -> DataFrame:
+    """``held_positions``, stored: they are the same in the marts of all days of these tables."""
+    held = held_positions(tables["investment_holdings"], stored_labels(tables, rules or MartRules()))
+    return session.stage(held, "positions")
+
+
 def mart_parts(
     tables: dict[str, DataFrame],
     as_of: date | Column,
     rules: MartRules,
     stage: Callable[[DataFrame], DataFrame] | None = None,
+    held: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
+    """``held`` gives positions that ``held_positions`` has made already."""
     today = as_of if isinstance(as_of, Column) else F.lit(as_of)
     balances = account_balances(tables["financial_accounts"], rules)
     labels = account_labels(balances)
@@ -258,9 +284,7 @@ def mart_parts(
     tx = categorized_transactions(label_transactions(live, labels, rules), budget, rules)
     if stage is not None:
         tx = stage(tx)
-    held = enrich(
-        positions(tables["investment_holdings"]), labels.drop("institution_name"), ["item_id", "account_id"]
-    )
+    held = held_positions(tables["investment_holdings"], labels) if held is None else held
     return {
         TRANSACTIONS_AGG: aggregate_lines(tx, budget).withColumn(PARTITION, today),
         TRANSACTIONS: with_paths(tx),
@@ -297,23 +321,29 @@ def write_mart(
     root: str,
     day: date | None = None,
     rules: MartRules | None = None,
+    held: DataFrame | None = None,
 ) -> DataFrame:
     """Store the mart of ``as_of`` as partition ``day`` and return the stored rows.
 
+    ``held`` gives positions that are stored already (``stored_positions``), for marts of several days.
+
     Detail rows are written first, and the aggregate rows read them back (five columns of them),
     so the transaction pipeline runs once.  Both are built out of sight; the partition changes in
     one step, and a run that fails at any point leaves the old one.
     """
-    parts = mart_parts(tables, as_of, rules or MartRules())
+    rules = rules or MartRules()
+    if held is None:
+        held = held_positions(tables["investment_holdings"], stored_labels(tables, rules))
+    parts = mart_parts(tables, as_of, rules, held=held)
     del parts[TRANSACTIONS_AGG]
     table = TABLES["metric_mart"]
     day, col, spark = day or as_of, table.partition_col, parts[ACCOUNTS].sparkSession
     with publishing(spark, f"{root}/{partition_folder(day, col)}") as path:
-        conform(metric_union(parts), MART).write.parquet(path)
+        conform(metric_union(parts), MART).write.option("compression", "zstd").parquet(path)
         stored = spark.read.schema(MART).parquet(path)
         lines = aggregate_lines(
             stored.where(F.col("metric_category") == TRANSACTIONS), budget_months(tables["budget_values"])
         )
         aggregate = lines.withColumn(PARTITION, F.lit(as_of))
-        conform(metric_union({TRANSACTIONS_AGG: aggregate}), MART).write.mode("append").parquet(path)
+        conform(metric_union({TRANSACTIONS_AGG: aggregate}), MART).write.mode("append").option("compression", "zstd").parquet(path)
     return scan(spark, root, MART, partition=day, col=col)

@@ -236,6 +236,37 @@ def test_trades_of_incomplete_items_are_held_back(spark, tmp_path):
     assert sorted(r.investment_transaction_id for r in got) == ["u", "v"]
 
 
+def test_marts_of_two_days_share_their_positions(spark, monkeypatch):
+    """They are the same on both days: found, labelled and stored once."""
+    from tallybook.plans import mart
+    from workload.pipelines import stored_marts
+
+    found, real = [], mart.positions
+    monkeypatch.setattr(mart, "positions", lambda *a, **k: found.append(1) or real(*a, **k))
+    stored = stored_marts(spark, SF)
+    assert len(found) == 1
+    for day in (AS_OF, date(2001, 7, 31)):
+        fresh = build_mart(ledger_tables(spark, SF), day, RULES)
+        kept = stored.where(F.col("built_on") == F.lit(day)).drop("built_on")
+        assert kept.exceptAll(fresh).isEmpty() and fresh.exceptAll(kept).isEmpty()
+
+
+def test_stored_labels_are_those_of_holders(spark, tables):
+    """Accounts that hold nothing and holders without an account add no label."""
+    from tallybook.plans.mart import held_positions, stored_labels
+
+    labels = stored_labels(tables, RULES)
+    key = ["item_id", "account_id"]
+    holders = {tuple(r) for r in tables["investment_holdings"].select(*key).distinct().collect()}
+    accounts = {tuple(r) for r in tables["financial_accounts"].select(*key).distinct().collect()}
+    got = [tuple(r) for r in labels.select(*key).collect()]
+    assert len(got) == len(set(got)) and set(got) == {k for k in holders & accounts if None not in k}
+    assert 0 < len(got) < len(accounts)
+    held = held_positions(tables["investment_holdings"], labels)
+    parts = mart_parts(tables, AS_OF, RULES)["INVESTMENTS"].select(*held.columns)
+    assert held.exceptAll(parts).isEmpty() and parts.exceptAll(held).isEmpty()
+
+
 def test_each_query_stores_its_own_marts(spark):
     """What one query of a session wrote is no input of the next one."""
     from workload.pipelines import stored_marts

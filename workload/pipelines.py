@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.operators.shape import union_all
-from tallybook.plans.mart import build_mart, write_mart
+from tallybook.plans.mart import build_mart, stored_positions, write_mart
 from tallybook.plans.pipelines import Ledger, accounts_snapshot, load_transactions, run_status
 from tallybook.plans.quality import alerts, long_report, quality_report
 from tallybook.schemas import MART, TABLES
@@ -142,10 +142,11 @@ def metric_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The marts of two days, stored as two partitions."""
-    root = new_scratch_table(spark, "mart")
+    """The marts of two days, stored as two partitions; both take the positions from one store."""
+    root, tables = new_scratch_table(spark, "mart"), ledger(spark, sf_dir)
+    held = stored_positions(tables, RULES)
     for day in (AS_OF, DAY_BEFORE):
-        write_mart(ledger(spark, sf_dir), date.fromisoformat(day), root, rules=RULES)
+        write_mart(tables, date.fromisoformat(day), root, rules=RULES, held=held)
     return scan(spark, root, MART, col="built_on")
 
 
