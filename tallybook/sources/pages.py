@@ -292,7 +292,9 @@ def normalize_trades(raw: DataFrame, unknown: str = "error", repeated: bool = Tr
         i["unofficial_currency_code"].alias("unofficial_currency_code"),
         i["security_id"].alias("security_id"),
     )
-    return _typed(attach_security(rows, securities_of(raw), unknown=unknown), TRADES, unknown)
+    # merged whatever their size is taken for: they grow with the pages, and Spark counts a text as 20 bytes
+    securities = securities_of(raw).hint("merge")
+    return _typed(attach_security(rows, securities, unknown=unknown), TRADES, unknown)
 
 
 def _typed(df: DataFrame, schema: T.StructType, unknown: str) -> DataFrame:

@@ -289,6 +289,29 @@ def test_pages_are_made_once_of_lines_that_are_numbered(spark):
     assert "Union" not in twice and twice.count("Window ") == 2
 
 
+def test_every_line_and_part_is_a_page_of_its_own(spark, tmp_path):
+    """Parts that come twice make two pages of a line, which are no copies of each other."""
+    from workload.ingest import trade_pages
+
+    for name, n in (("lineitem", 1), ("part", 2)):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        rows.select("*", F.explode(F.array(*[F.lit(i) for i in range(n)])).alias("copy")).drop("copy").write.parquet(
+            str(tmp_path / f"{name}.parquet")
+        )
+    pages = trade_pages(spark, str(tmp_path)).select("item.item_id", "page")
+    assert pages.count() == pages.distinct().count() > spark.read.parquet(str(tmp_path / "lineitem.parquet")).count()
+
+
+def test_securities_of_trades_are_never_broadcast(spark):
+    """They grow with the pages, and the text that pages are read from hides their size."""
+    from workload.ingest import normalize_trades
+
+    df = normalize_trades(spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "security_id" not in "".join(x for x in plan.splitlines() if "BroadcastHashJoin" in x)
+
+
 def test_one_security_per_pair_crosses_the_shuffle_as_text(spark, tmp_path):
     """Every value of a security comes back from its text."""
     odd = SECURITY | {"name": 'a "b" \\ \n é 😀', "close_price": 0.1 + 0.2, "option_contract": {}, "cusip": ""}

@@ -355,9 +355,9 @@ def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # order and line number don't name a line: some have several
     by_item = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    # bare lines are numbered: a page made before would cross the shuffle, with many times the bytes
-    numbered = table(spark, sf_dir, "lineitem").withColumn("page", F.row_number().over(by_item).cast("bigint"))
-    return _lines_with_parts(spark, sf_dir, numbered).select(
+    # bare rows are numbered: a page made before would cross the shuffle, with many times the bytes
+    numbered = _lines_with_parts(spark, sf_dir).withColumn("page", F.row_number().over(by_item).cast("bigint"))
+    return numbered.select(
         F.struct(F.concat(F.lit("item-"), "l_suppkey").alias("item_id")).alias("item"),
         "page",
         F.array(row).alias("investment_transactions"),
