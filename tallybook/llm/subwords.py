@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +13,12 @@ import pyarrow.compute as pc
 #: A word without white space or control characters of its own, maybe after one blank.
 _PLAIN = r"^ ?[^\s\v\x01\x1c-\x1f\x85\p{Z}]+$"
 #: Characters of text encoded together, and distinct words that a worker remembers; beyond them it
-#: forgets those that it met once.
+#: forgets those that it met once. Texts that can't be cut count as words, so their bytes are bounded too.
 PART = 6_000_000
 REMEMBERED = 600_000
+REMEMBERED_BYTES = 64_000_000
 #: Words that are given to the library as one text.
-TOGETHER = 1000
+TOGETHER = 100
 
 
 def encoder(path: str) -> WordEncoder:
@@ -50,6 +50,7 @@ class WordEncoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.uncut = "|".join([r"\x1f|[\s\v\x1c-\x1e\x85\p{Z}] ", *map(re.escape, special)])
         self.special = "|".join(map(re.escape, special)) or None
+        self.largest = max(self.tokenizer.get_vocab().values(), default=0)
         # between words stands what is always one token: a line break, or where white space is
         # dropped a control character
         self.between = next(x for x in ("\n", " \x01 ") if len(self._ids([f"a{x}b"])[0]) == 3)
@@ -63,7 +64,7 @@ class WordEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def forget(self) -> None:
-        self.slots: dict[str, int] = {}
+        self.words = pa.array([], pa.string())
         self.pool = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int32)
         self.lengths = np.zeros(0, dtype=np.int32)
@@ -72,33 +73,34 @@ class WordEncoder:
     def trim(self) -> None:
         """Forget the words that were met once; all of them if most were met again."""
         keep = self.met > 1
-        if 2 * keep.sum() > REMEMBERED:
+        words = self.words.filter(pa.array(keep))
+        if 2 * len(words) > REMEMBERED or 2 * words.nbytes > REMEMBERED_BYTES:
             self.forget()
             return
-        words = list(compress(self.slots, keep))
-        self.slots = dict(zip(words, range(len(words))))
+        self.words = words
         self.pool = _gather(self.pool, self.starts[keep], self.lengths[keep])
         self.lengths = self.lengths[keep]
         self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
         self.met = np.ones(len(words), dtype=np.int64)
 
-    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _flat(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each has."""
-        given = pa.array(words, pa.string())
-        plain = np.asarray(pc.match_substring_regex(given, _PLAIN))
+        plain = pc.match_substring_regex(words, _PLAIN)
         if self.special:
-            plain = plain & ~np.asarray(pc.match_substring_regex(given, self.special))
-        simple = list(compress(words, plain))
-        joined = [self.between.join(simple[k : k + TOGETHER]) + self.between for k in range(0, len(simple), TOGETHER)]
-        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, dtype=np.uint32) for x in self._ids(joined))])
+            plain = pc.and_not(plain, pc.match_substring_regex(words, self.special))
+        simple = words.filter(plain)
+        edges = pa.array(np.append(np.arange(0, len(simple), TOGETHER), len(simple)), pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(edges, simple), self.between).to_pylist()
+        joined = self._ids([text + self.between for text in joined])
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, dtype=np.uint32) for x in joined)])
         ends = np.flatnonzero(ids == self.mark)
         if len(ends) != len(simple):  # a mark was merged with a neighbour: each word on its own
-            parts = [np.array(x, dtype=np.uint32) for x in self._ids(words)]
+            parts = [np.array(x, dtype=np.uint32) for x in self._ids(words.to_pylist())]
             lengths = np.array([len(x) for x in parts], dtype=np.int32)
             return np.concatenate([np.zeros(0, np.uint32), *parts]), lengths
         begins = np.concatenate((np.zeros(1, ends.dtype), ends + 1))[:-1]
-        rest = [np.array(x, dtype=np.uint32) for x in self._ids(list(compress(words, ~plain)))]
-        order = np.argsort(~plain, kind="stable")  # the simple ones, then the rest
+        rest = [np.array(x, dtype=np.uint32) for x in self._ids(words.filter(pc.invert(plain)).to_pylist())]
+        order = np.argsort(~np.asarray(plain), kind="stable")  # the simple ones, then the rest
         lengths = np.zeros(len(words), dtype=np.int32)
         lengths[order] = np.concatenate((ends - begins, [len(x) for x in rest])).astype(np.int32)
         starts = np.zeros(len(words), dtype=np.int64)
@@ -106,18 +108,20 @@ class WordEncoder:
         starts[order] = np.concatenate((begins, len(ids) + sizes))
         return _gather(np.concatenate([ids, *rest]), starts, lengths), lengths
 
-    def learn(self, words: list[str]) -> np.ndarray:
+    def learn(self, words: pa.Array) -> np.ndarray:
         """Slot of each word; the new ones are encoded."""
-        new = [w for w in words if w not in self.slots]
-        if new:
-            new = list(dict.fromkeys(new))
-            self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
+        # what is known comes first, so a word's place in the dictionary is its slot
+        both = pa.chunked_array([self.words.cast(words.type), words]).dictionary_encode()
+        found = both.chunk(both.num_chunks - 1)
+        new = found.dictionary[len(self.words) :]
+        if len(new):
             flat, lengths = self._flat(new)
             starts = len(self.pool) + np.cumsum(lengths) - lengths
             self.starts = np.concatenate((self.starts, starts.astype(np.int32)))
             self.lengths = np.concatenate((self.lengths, lengths))
             self.pool = np.concatenate((self.pool, flat))
-        return np.fromiter(map(self.slots.__getitem__, words), dtype=np.int32, count=len(words))
+            self.words = found.dictionary
+        return np.asarray(found.indices)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, in order; a null text is empty."""
@@ -130,7 +134,7 @@ class WordEncoder:
             at = upto
 
     def _part(self, texts: pa.Array) -> list[np.ndarray]:
-        if len(self.slots) > REMEMBERED:
+        if len(self.words) > REMEMBERED or self.words.nbytes > REMEMBERED_BYTES:
             self.trim()
         plain = pc.ascii_lower(texts) if self.lower else texts
         whole = pc.match_substring_regex(plain, self.uncut)
@@ -142,10 +146,12 @@ class WordEncoder:
         cut = pc.split_pattern(cut, "\x1f")
         bounds = np.asarray(cut.offsets).astype(np.int64)
         bounds -= bounds[0]
-        pieces = cut.flatten().dictionary_encode()
-        slots = self.learn(pieces.dictionary.to_pylist())[np.asarray(pieces.indices)]
-        rows = np.flatnonzero(np.asarray(whole))
-        slots[bounds[rows]] = self.learn(texts.filter(whole).to_pylist())
+        pieces, rows = cut.flatten(), np.flatnonzero(np.asarray(whole))
+        if len(rows):
+            uncut = np.zeros(len(pieces), dtype=bool)
+            uncut[bounds[rows]] = True
+            pieces = pc.replace_with_mask(pieces, pa.array(uncut), texts.filter(whole))
+        slots = self.learn(pieces)
         self.met = np.bincount(slots, minlength=len(self.starts)) + np.pad(self.met, (0, len(self.starts) - len(self.met)))
         lengths = self.lengths[slots]
         ids = _gather(self.pool, self.starts[slots], lengths)

@@ -287,6 +287,55 @@ def test_token_files_of_many_shards(spark, docs, monkeypatch):
     assert sorted(map(tuple, token_files.round_trip(docs.repartition(7), WORDS).collect())) == whole
 
 
+def test_token_files_hand_on_short_ids(odd):
+    """Between the passes an id takes two bytes where that is enough, and four where the end id needs them."""
+    for end_id, width, kind in ((1, 2, "<u2"), (70_000, 4, "<u4")):
+        rows = token_files.tokens(odd, WORDS, end_id).where("ids IS NOT NULL").collect()
+        texts = {r["doc_id"]: r["text"] or "" for r in odd.collect()}
+        for r in rows:
+            assert len(r["ids"]) == width * r["n"]
+            if r["doc_id"]:  # 0 has two texts
+                want = loaded(WORDS).encode(texts[r["doc_id"]], add_special_tokens=False).ids
+                assert np.frombuffer(r["ids"], dtype=kind).tolist() == [*want, end_id]
+        assert len(rows) == odd.count()
+
+
+def test_token_files_with_a_large_end_id(odd):
+    tokenizer, want = loaded(WORDS), []
+    for r in odd.collect():
+        ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [2**24 + 5]
+        want.append((r["doc_id"], len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+    got = token_files.round_trip(odd, WORDS, end_id=2**24 + 5).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == sorted(want)
+
+
+def test_token_files_are_decoded_where_they_are_read(spark, docs, tmp_path, monkeypatch):
+    """Blocks hold their place in the shard, so no stream of ids crosses a shuffle to find its start."""
+    monkeypatch.setattr(token_files, "SHARD_IDS", 5000)
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 700)
+    by_rank = token_files.write_files(docs, WORDS, 1, f"{tmp_path}/files")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = token_files.read_files(spark, f"{tmp_path}/files", by_rank)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(got.collect(), key=lambda r: r["start"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert [r["start"] for r in rows] == np.cumsum([0, *(r["n_tokens"] for r in rows)])[:-1].tolist()
+    assert [r["doc_id"] for r in rows] == sorted(r["doc_id"] for r in docs.select("doc_id").collect())
+
+
+def test_documents_packed_together_equal_each_alone():
+    lengths, spread = [0, 1, 3, 4, 5, 0, 9, 1000], np.random.default_rng(3)
+    parts = [(spread.integers(0, 2**32, n) >> spread.integers(0, 32, n)).astype(np.uint32) for n in lengths]
+    control, data = token_files.pack_documents(np.concatenate(parts), np.array(lengths))
+    assert [*zip(control.to_pylist(), data.to_pylist())] == [token_files.pack_values(p) for p in parts]
+    for c, d, p in zip(control.to_pylist(), data.to_pylist(), parts):
+        assert token_files.unpack_values(c, d, np.array([len(p)])).tolist() == p.tolist()
+
+
 # ------------------------------------------------------------------ language
 
 
@@ -518,3 +567,21 @@ def test_encoder_forgets_words_and_stays_right(docs, monkeypatch):
         monkeypatch.setattr(subwords, "REMEMBERED", room)
         encoder = subwords.WordEncoder(WORDS)
         assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+
+
+def test_encoder_bounds_the_bytes_of_remembered_texts(monkeypatch):
+    """Texts that can't be cut count as words; what is remembered of them stays bounded, the ids stay right."""
+    import pyarrow as pa
+
+    from tallybook.llm import subwords
+
+    monkeypatch.setattr(subwords, "PART", 3000)
+    monkeypatch.setattr(subwords, "REMEMBERED_BYTES", 5000)
+    texts = [f"a  text {k} of blanks  " + "word " * 50 for k in range(200)] * 2
+    want = [e.ids for e in loaded(WORDS).encode_batch(texts, add_special_tokens=False)]
+    encoder = subwords.WordEncoder(WORDS)
+    got = []
+    for text in texts:
+        got += [x.tolist() for x in encoder.encode(pa.array([text]))]
+        assert encoder.words.nbytes <= 5000 + 3000
+    assert got == want
